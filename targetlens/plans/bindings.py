@@ -87,8 +87,7 @@ def screening(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
         (-F.col("l_extendedprice") / 10000.0).alias("affinity"),
-        F.when(F.col("l_returnflag") == "R", "failed")
-        .when(F.col("l_returnflag") == "A", "ok").otherwise("ok").alias("status"),
+        F.when(F.col("l_returnflag") == "R", "failed").otherwise("ok").alias("status"),
     )
 
 
