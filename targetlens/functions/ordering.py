@@ -3,7 +3,8 @@
 An unkeyed window sorts everything in one task, and a keyed window does the same to a hot key.
 Here values are first collapsed to one row per distinct value (map-side combined, so ties of any
 size cost nothing), then cut into value ranges; windows run inside a range and the ranges are
-shifted by the totals before them.
+shifted by the totals before them. The collapsed rows are materialised once in the shared
+checkpoint folder: they are read several times and their number decides between the two ways.
 """
 
 from __future__ import annotations
@@ -21,15 +22,12 @@ RANGES = 2048
 
 
 def _range_cuts(per_value: DataFrame, value: str) -> list:
-    """Range borders when the distinct values are too many for one task, else nothing."""
-    probes = [i / RANGES for i in range(1, RANGES)]
-    head = per_value.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.percentile_approx(value, probes, 10 * RANGES).alias("cuts"),
-    ).first()
-    if head["rows"] <= ONE_TASK_ROWS or not head["cuts"]:
+    """Range borders when the (materialised) rows are too many for one task, else nothing."""
+    if per_value.count() <= ONE_TASK_ROWS:
         return []
-    return sorted(set(head["cuts"]))
+    probes = [i / RANGES for i in range(1, RANGES)]
+    cuts = per_value.agg(F.percentile_approx(value, probes, 10 * RANGES)).first()[0]
+    return sorted(set(cuts or []))
 
 
 def _range_of(value: Column, cuts: list) -> Column:
@@ -60,7 +58,9 @@ def running_totals(
 ) -> DataFrame:
     """One row per (by, value) with every sum and its inclusive running total ``cum_<name>``."""
     keys = list(by)
-    per_value = df.groupBy(*keys, value).agg(*[c.alias(n) for n, c in sums.items()])
+    per_value = cut_lineage(
+        df.groupBy(*keys, value).agg(*[c.alias(n) for n, c in sums.items()])
+    )
     cuts = _range_cuts(per_value, value)
     direction = F.col(value).desc() if descending else F.col(value).asc()
     if not cuts:
@@ -86,11 +86,17 @@ def running_totals(
     ).drop("_range", *[f"_before_{n}" for n in sums])
 
 
-def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Per distinct non-null value: ``n`` rows, ``avg_rank``, ``min_rank`` and group size ``n_all``."""
+def value_ranks(
+    df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
+    """Per distinct non-null value: ``n`` rows, ``avg_rank``, ``min_rank`` and group size ``n_all``.
+
+    ``weight`` names a column of multiplicities when the rows are already counts.
+    """
     present = df.where(F.col(value).isNotNull())
-    ranked = running_totals(present, value, {"n": F.count(F.lit(1))}, by)
-    sizes = present.groupBy(*by).agg(F.count(F.lit(1)).alias("n_all"))
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    ranked = running_totals(present, value, {"n": size}, by)
+    sizes = ranked.groupBy(*by).agg(F.sum("n").alias("n_all"))
     if by:
         ranked = ranked.join(sizes, list(by))
     else:
@@ -114,6 +120,7 @@ def pct_rank(
 
 def pct_ranks(df: DataFrame, key: str, scores: Mapping[str, str]) -> DataFrame:
     """Percentile ranks of several columns in one pass; ``scores`` maps column -> result name."""
+    df = cut_lineage(df)
     long = df.select(
         key,
         F.explode(
@@ -172,16 +179,19 @@ def bh_adjust(
 ) -> DataFrame:
     """Add Benjamini-Hochberg adjusted p-values; a missing p counts as 1."""
     keys = list(by)
-    tests = df.withColumn("_p", F.coalesce(F.col(p_value), F.lit(1.0)))
-    sizes = tests.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tests"))
-    ranked = running_totals(tests, "_p", {"n": F.count(F.lit(1))}, keys)
-    ranked = (
-        ranked.join(sizes, keys) if keys else ranked.withColumn("_tests", sizes.scalar())
-    ).withColumn("_raw", F.col("_p") * F.col("_tests") / F.col("cum_n"))
-    adjusted = suffix_minimum(ranked.select(*keys, "_p", "_raw"), "_p", "_raw", name, keys)
-    out = df.withColumn("_p", F.coalesce(F.col(p_value), F.lit(1.0))).join(
-        adjusted, [*keys, "_p"], "left"
+    tests = cut_lineage(df.withColumn("_p", F.coalesce(F.col(p_value), F.lit(1.0))))
+    if tests.count() <= ONE_TASK_ROWS:
+        up = W.partitionBy(*keys).orderBy("_p")
+        down = W.partitionBy(*keys).orderBy(F.col("_p").desc()).rowsBetween(W.unboundedPreceding, 0)
+        share = F.col("_p") * F.count(F.lit(1)).over(W.partitionBy(*keys)) / F.row_number().over(up)
+        out = tests.withColumn("_raw", share).withColumn(name, F.min("_raw").over(down))
+        return out.withColumn(name, F.least(F.lit(1.0), F.col(name))).drop("_p", "_raw")
+    ranked = value_ranks(tests, "_p", keys).select(
+        *keys, "_p",
+        (F.col("_p") * F.col("n_all") / (F.col("min_rank") + F.col("n") - 1)).alias("_raw"),
     )
+    adjusted = suffix_minimum(ranked, "_p", "_raw", name, keys)
+    out = tests.join(adjusted, [*keys, "_p"])
     return out.withColumn(name, F.least(F.lit(1.0), F.col(name))).drop("_p")
 
 
@@ -213,11 +223,12 @@ def suffix_minimum(
 
 
 def quantiles(
-    df: DataFrame, value: str, probes: Mapping[str, float], by: Sequence[str] = ()
+    df: DataFrame, value: str, probes: Mapping[str, float], by: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles, one column per probe, from value counts."""
     keys = list(by)
-    ranks = value_ranks(df, value, keys)
+    ranks = value_ranks(df, value, keys, weight)
     top = F.col("min_rank") + F.col("n") - 1
     picks = []
     for name, q in probes.items():

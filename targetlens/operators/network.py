@@ -104,7 +104,7 @@ def clustering_coef(edges: DataFrame) -> DataFrame:
     )
 
 
-def betweenness(edges: DataFrame, sources: DataFrame | None = None, max_depth: int = 64) -> DataFrame:
+def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
     """(gene, ppi_betweenness): normalised betweenness by level-synchronous shortest-path counts.
 
     All sources advance together, one join per distance level; then dependencies flow back one
@@ -119,7 +119,7 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None, max_depth: i
     )
     seen = frontier.select("source", "node")
     levels = [cut_lineage(frontier)]
-    for _ in range(max_depth):
+    while True:
         reached = (
             levels[-1].join(links, "node")
             .groupBy("source", F.col("neighbour").alias("node"))

@@ -8,9 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from targetlens.operators.expression import log_normalize
+
 MITO = "^small "
 RIBO = "^large "
 CASE, NORMAL = "EUROPE", "ASIA"
+WORDS = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,6 +60,21 @@ def expression(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def normalised(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-normalised counts."""
+    return log_normalize(counts(spark, folder))
+
+
+def word_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """(set_name, set_pos, gene): part names grouped by their first word."""
+    names = table(spark, folder, "part").select(F.col("p_name").alias("gene")).distinct()
+    word = F.split_part("gene", F.lit(" "), F.lit(1))
+    order = F.array(*[F.lit(w) for w in WORDS])
+    return names.select(
+        word.alias("set_name"), F.array_position(order, word).cast("int").alias("set_pos"), "gene"
+    )
+
+
 def samples(spark: SparkSession, folder: str) -> DataFrame:
     """(sample, condition, cell_type): nations with region; the cell type is the key class."""
     nations = table(spark, folder, "nation")
@@ -109,7 +127,9 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 def interactions(spark: SparkSession, folder: str) -> DataFrame:
     """(protein1, protein2): suppliers of consecutive line numbers of the same order."""
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    lines = (
+        table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").distinct()
+    )
     following = lines.select(
         "l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"),
         F.col("l_suppkey").alias("next"),
@@ -148,9 +168,14 @@ CTES = {
     "cells": """cells AS (SELECT c_custkey AS cell, n_name AS sample, r_name AS condition,
         c_mktsegment AS celltype FROM customer JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey)""",
+    "norm": """norm AS (SELECT gene, cell,
+        ln(1 + 1e4 * value / sum(value) OVER (PARTITION BY cell)) AS value FROM counts)""",
     "expression": """expression AS (SELECT gene, sample, sum(value) / max(n) AS value
         FROM counts JOIN cells USING (cell)
         JOIN (SELECT sample, count(*) AS n FROM cells GROUP BY 1) USING (sample) GROUP BY 1, 2)""",
+    "word_sets": """word_sets AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS set_name,
+        CAST(list_position(['blue','cold','hot','large','new','old','red','small'],
+        split_part(p_name, ' ', 1)) AS INTEGER) AS set_pos, p_name AS gene FROM part)""",
     "samples": """samples AS (SELECT n_name AS sample, r_name AS condition,
         'T' || CAST(n_nationkey % 4 AS VARCHAR) AS cell_type
         FROM nation JOIN region ON n_regionkey = r_regionkey)""",

@@ -8,24 +8,11 @@ from targetlens.operators import network as net
 from targetlens.operators import signals as sig
 from targetlens.plans import bindings as b
 from targetlens.plans.bindings import sql
+from targetlens.plans.registry import Family, rounded
 
-QUERIES, ORACLES = {}, {}
-
-
-def rounded(df, *columns, digits=6):
-    """Round the doubles so that both engines print the same value; -0.0 becomes 0.0."""
-    names = columns or [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in names})
-
-
-def register(name, twin=None):
-    def keep(run):
-        QUERIES[name] = run
-        if twin is not None:
-            ORACLES[name] = twin
-        return run
-    return keep
-
+family = Family()
+register = family.register
+QUERIES, ORACLES = family.queries, family.oracles
 
 SIGNALS_SQL = """
 pairs AS (SELECT trim(drug) AS drug, trim(event) AS event, sum(count) AS a FROM reports GROUP BY 1, 2),
