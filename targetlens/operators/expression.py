@@ -182,7 +182,7 @@ def expression_specificity(means: DataFrame, group: str = "celltype") -> DataFra
     value = 1.0 - (F.col("_h") + absent) / F.log2("_k")
     return parts.withColumn("_k", k).select(
         "gene",
-        F.when(F.col("_all") == 0, 0.5)
+        F.when(F.col("_all") == 0, 1.0)
         .otherwise(F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)), F.lit(0.5)))
         .alias("specificity"),
     )
