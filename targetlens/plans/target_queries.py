@@ -186,14 +186,14 @@ _RANK_BINDINGS = ("counts", "cells", "expression", "samples")
 
 
 @register("rank_targets", sql(
-    RANK_SQL + "SELECT rank, gene, target_class, " + rsql("log2fc", *_S, digits=5)
+    RANK_SQL + "SELECT rank, gene, target_class, " + rsql("log2fc", *_S, digits=9)
     + """, off_target_paralogs, safety_concern, CASE WHEN target_score >= 0.75 THEN 'high'
     WHEN target_score >= 0.5 THEN 'medium' ELSE 'low' END AS target_priority FROM ranked""", *_RANK_BINDINGS))
 def rank_targets(spark, folder):
     return rounded(
         _ranked(spark, folder).select(
             "rank", "gene", "target_class", "log2fc", *_S, "off_target_paralogs", "safety_concern",
-            "target_priority"), digits=5)
+            "target_priority"), digits=9)
 
 
 @register("weighted_score", """SELECT p_partkey AS gene, """ + rsql(
