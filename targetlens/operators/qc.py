@@ -140,8 +140,9 @@ def qc_gate(
     metrics: DataFrame,
     thresholds: Mapping[str, tuple[str, float | None, str]],
     fail_on_missing: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Checks of a one-row metrics table.
+    """Checks of a metrics table, one row per check (and per metrics row); ``keep`` passes columns on.
 
     ``thresholds`` maps a check name to (metric column, threshold, "min" or "max"); a threshold
     of None or 0 switches the check off. A missing metric warns, or fails on request.
@@ -167,7 +168,7 @@ def qc_gate(
     if not checks:
         empty = "name string, value double, threshold double, level string, ok boolean"
         return metrics.sparkSession.createDataFrame([], empty)
-    return metrics.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
+    return metrics.select(*keep, F.explode(F.array(*checks)).alias("c")).select(*keep, "c.*")
 
 
 def gate_status(checks: DataFrame) -> DataFrame:

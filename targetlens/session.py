@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +35,12 @@ def _checkpoint_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """New folder under the checkpoint folder, for streams and intermediate tables."""
+    root = _checkpoint_folder(spark)
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder; survives the loss of executors."""
     context = df.sparkSession.sparkContext
