@@ -16,6 +16,7 @@ from targetlens.plans.registry import Family, rounded, rsql
 from targetlens.sources import parsers as ps
 from targetlens.sources import readers as rd
 from targetlens.sources import sinks as sk
+from targetlens.session import shared_folder
 
 family = Family()
 register = family.register
@@ -372,6 +373,25 @@ def safe_name_query(spark, folder):
         F.col("doc_id").alias("id"), safe_name("text", F.lit("doc")).alias("name"))
 
 
+@register("sink_tables", "SELECT p_partkey AS id, p_name || ',' || p_brand AS names, p_size FROM part")
+def sink_tables(spark, folder):
+    path = shared_folder(spark, "table")
+    parts = b.table(spark, folder, "part").select(
+        F.col("p_partkey").alias("id"), F.array("p_name", "p_brand").alias("names"), "p_size")
+    sk.sink_tables(parts, path, "csv")
+    return spark.read.option("header", True).schema("id long, names string, p_size int").csv(path)
+
+
+@register("sink_append_results", """SELECT l_orderkey AS id, l_returnflag AS status FROM lineitem
+    WHERE l_returnflag IN ('R', 'A')""")
+def sink_append_results(spark, folder):
+    path = shared_folder(spark, "results")
+    rows = b.table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_returnflag").alias("status"))
+    for flag in ("R", "A"):
+        sk.sink_append_results(rows.where(F.col("status") == flag), path)
+    return spark.read.parquet(path)
+
+
 @register("sink_summary_json", """SELECT '{"events":' || CAST(count(*) AS VARCHAR) || ',"users":' || CAST(count(DISTINCT user_id) AS VARCHAR) || '}' AS value FROM events""")
 def sink_summary_json(spark, folder):
     return sk.summary_json(b.table(spark, folder, "events").agg(

@@ -214,6 +214,14 @@ def target_score(spark, folder):
     return rounded(parts.withColumn("priority", tg.priority(F.col("score"))))
 
 
+@register("priority", """SELECT l_orderkey AS id, l_partkey AS gene, CASE WHEN l_quantity / 50 >= 0.75 THEN 'high'
+    WHEN l_quantity / 50 >= 0.5 THEN 'medium' ELSE 'low' END AS priority FROM lineitem""")
+def priority(spark, folder):
+    return b.table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("gene"),
+        tg.priority(F.col("l_quantity") / 50).alias("priority"))
+
+
 @register("target_class", """SELECT l_partkey AS gene, l_orderkey AS id, CASE
     WHEN l_quantity / 50 >= 0.75 AND l_discount * 10 >= 0.6 THEN 'core_driver'
     WHEN l_quantity / 50 >= 0.75 THEN 'high_priority' WHEN l_tax * 10 >= 0.6 THEN 'microenvironment_regulator'
