@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 
 from targetlens.session import cut_lineage
 
-ONE_TASK_ROWS = 200_000
+ONE_TASK_ROWS = 500_000
 RANGES = 2048
 
 
-def _range_cuts(per_value: DataFrame, value: str) -> list:
-    """Range borders when the (materialised) rows are too many for one task, else nothing."""
-    if per_value.count() <= ONE_TASK_ROWS:
+def _range_cuts(per_value: DataFrame, value: str, by: Sequence[str] = ()) -> list:
+    """Range borders when some group of the (materialised) rows is too large for one task."""
+    sizes = per_value.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= ONE_TASK_ROWS:
         return []
     probes = [i / RANGES for i in range(1, RANGES)]
     cuts = per_value.agg(F.percentile_approx(value, probes, 10 * RANGES)).first()[0]
@@ -61,7 +62,7 @@ def running_totals(
     per_value = cut_lineage(
         df.groupBy(*keys, value).agg(*[c.alias(n) for n, c in sums.items()])
     )
-    cuts = _range_cuts(per_value, value)
+    cuts = _range_cuts(per_value, value, keys)
     direction = F.col(value).desc() if descending else F.col(value).asc()
     if not cuts:
         upto = W.partitionBy(*keys).orderBy(direction).rowsBetween(W.unboundedPreceding, 0)
@@ -180,7 +181,7 @@ def bh_adjust(
     """Add Benjamini-Hochberg adjusted p-values; a missing p counts as 1."""
     keys = list(by)
     tests = cut_lineage(df.withColumn("_p", F.coalesce(F.col(p_value), F.lit(1.0))))
-    if tests.count() <= ONE_TASK_ROWS:
+    if not _range_cuts(tests, "_p", keys):
         up = W.partitionBy(*keys).orderBy("_p")
         down = W.partitionBy(*keys).orderBy(F.col("_p").desc()).rowsBetween(W.unboundedPreceding, 0)
         share = F.col("_p") * F.count(F.lit(1)).over(W.partitionBy(*keys)) / F.row_number().over(up)
@@ -200,7 +201,7 @@ def suffix_minimum(
 ) -> DataFrame:
     """Per (by, value): the least ``target`` at this value or any larger one."""
     keys = list(by)
-    cuts = _range_cuts(df, value)
+    cuts = _range_cuts(df, value, keys)
     inside_keys = keys
     if cuts:
         df = df.withColumn("_range", _range_of(F.col(value), cuts))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from targetlens.functions.columns import col, first_alias
-from targetlens.functions.ordering import pct_rank
+from targetlens.functions.ordering import pct_rank, row_numbers
 from targetlens.session import cut_lineage
 
 # Accepted endpoint column names, in order of preference.
@@ -67,27 +67,32 @@ def edges_within(edges: DataFrame, genes: DataFrame) -> DataFrame:
 def triangles(edges: DataFrame) -> DataFrame:
     """(gene, triangles). Edges point from the lower to the higher degree.
 
-    A node then has at most sqrt(2 * edges) outgoing edges, however many neighbours it has, so
-    a hub does not blow up the two-step paths.
+    A node then points to at most sqrt(2 * edges) others, however many neighbours it has, so
+    these lists are short and a triangle is a common member of the lists of an edge's two ends.
     """
-    sizes = degree(edges)
-    place = F.struct(F.col("_du"), F.col("src")) < F.struct(F.col("_dv"), F.col("dst"))
-    pointed = (
-        edges.join(sizes.select(F.col("gene").alias("src"), F.col("ppi_degree").alias("_du")), "src")
-        .join(sizes.select(F.col("gene").alias("dst"), F.col("ppi_degree").alias("_dv")), "dst")
-        .select(
-            F.when(place, F.col("src")).otherwise(F.col("dst")).alias("u"),
-            F.when(place, F.col("dst")).otherwise(F.col("src")).alias("v"),
-        )
+    places = row_numbers(degree(edges), [F.col("ppi_degree"), F.col("gene")], "place").select("gene", "place")
+    at = lambda end, name: places.select(F.col("gene").alias(end), F.col("place").alias(name))
+    pointed = cut_lineage(
+        edges.join(at("src", "_a"), "src").join(at("dst", "_b"), "dst")
+        .select(F.least("_a", "_b").alias("u"), F.greatest("_a", "_b").alias("v"))
     )
-    steps = pointed.join(pointed.select(F.col("u").alias("v"), F.col("v").alias("w")), "v")
-    closed = steps.join(
-        pointed.select("u", F.col("v").alias("w")), ["u", "w"], "left_semi"
-    )
-    return (
-        closed.select(F.explode(F.array("u", "v", "w")).alias("gene"))
-        .groupBy("gene").agg(F.count(F.lit(1)).alias("triangles"))
+    lists = pointed.groupBy("u").agg(F.collect_list("v").alias("_to"))
+    closed = (
+        pointed.join(lists, "u")
+        .join(lists.select(F.col("u").alias("v"), F.col("_to").alias("_on")), "v")
+        .select("u", "v", F.array_intersect("_to", "_on").alias("w"))
+        .where(F.size("w") > 0)
     )
+    per_node = closed.select(
+        F.explode(F.concat(
+            F.array(
+                F.struct(F.col("u").alias("place"), F.size("w").alias("n")),
+                F.struct(F.col("v").alias("place"), F.size("w").alias("n")),
+            ),
+            F.transform("w", lambda x: F.struct(x.alias("place"), F.lit(1).alias("n"))),
+        )).alias("t")
+    ).groupBy("t.place").agg(F.sum("t.n").alias("triangles"))
+    return per_node.join(places, "place").select("gene", "triangles")
 
 
 def clustering_coef(edges: DataFrame) -> DataFrame:

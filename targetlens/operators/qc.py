@@ -16,6 +16,7 @@ MITO_PATTERN = "^MT-|^mt-"
 RIBO_PATTERN = "^RP[SL]"
 
 # Column aliases used when profiling a table.
+NUMERIC_TYPES = ("double", "float", "integer", "long", "short", "byte", "decimal")
 P_ALIASES = (
     "p_val_adj", "padj", "fdr", "p.adjust", "pvalue", "p_value", "p.value",
 )
@@ -217,18 +218,23 @@ def table_profile(df: DataFrame) -> DataFrame:
     """One pass over a table: (item, field, value) with row count, column statistics, p-value and
     fold-change counts and distinct labels, by column alias."""
     aggs: dict[tuple[str, str], Column] = {("rows", ""): F.count(F.lit(1))}
+    numeric = {f.name for f in df.schema.fields if f.dataType.typeName() in NUMERIC_TYPES}
+
+    def read(name: str) -> Column:
+        return col(name).cast("double") if name in numeric else number(col(name).cast("string"))
+
     for field in df.schema.fields:
-        x = number(col(field.name).cast("string"))
+        x = read(field.name)
         for item, fn in (("valid", F.count), ("mean", F.avg), ("min", F.min), ("max", F.max)):
             aggs[(item, field.name)] = fn(x)
     p = resolve_column(df, P_ALIASES)
     if p:
-        x = number(col(p).cast("string"))
+        x = read(p)
         aggs[("p_below_0.05", p)] = F.count_if(x < 0.05)
         aggs[("p_below_0.01", p)] = F.count_if(x < 0.01)
     fold = resolve_column(df, FOLD_CHANGE_ALIASES)
     if fold:
-        x = number(col(fold).cast("string"))
+        x = read(fold)
         aggs[("up", fold)] = F.count_if(x > 0)
         aggs[("down", fold)] = F.count_if(x < 0)
     for item, aliases in DISTINCT_ALIASES.items():

@@ -126,37 +126,31 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def interactions(spark: SparkSession, folder: str) -> DataFrame:
-    """(protein1, protein2): suppliers of consecutive line numbers of the same order."""
+    """(protein1, protein2): parts of consecutive line numbers of the same order."""
     lines = (
-        table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").distinct()
+        table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
     )
     following = lines.select(
-        "l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"),
-        F.col("l_suppkey").alias("next"),
+        "l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_partkey").alias("next")
     )
-    return (
-        lines.join(following, ["l_orderkey", "l_linenumber"])
-        .select(
-            F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("protein1"),
-            F.concat(F.lit("S"), F.col("next").cast("string")).alias("protein2"),
-        )
+    return lines.join(following, ["l_orderkey", "l_linenumber"]).select(
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("protein1"),
+        F.concat(F.lit("P"), F.col("next").cast("string")).alias("protein2"),
     )
 
 
 def target_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """(gene, source): supplier of a line item under each brand."""
-    lines = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey")
-    parts = table(spark, folder, "part").select("p_partkey", "p_type")
-    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("gene"),
-        F.col("p_type").alias("source"),
+    """(gene, source): part of a line item under its return flag and line status."""
+    return table(spark, folder, "lineitem").select(
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("gene"),
+        F.concat("l_returnflag", "l_linestatus").alias("source"),
     )
 
 
 def disease_genes(spark: SparkSession, folder: str) -> DataFrame:
-    """(gene): suppliers in debt or with a small balance."""
-    return table(spark, folder, "supplier").where(F.col("s_acctbal") < 5000).select(
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("gene")
+    """(gene): small parts."""
+    return table(spark, folder, "part").where(F.col("p_size") < 25).select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("gene")
     )
 
 
@@ -188,13 +182,13 @@ CTES = {
         text AS summary, lang AS organism, CAST(n_chars AS VARCHAR) AS samples, source AS platform,
         concat_ws('-', 2000 + doc_id % 25, 1 + doc_id % 12, 1 + doc_id % 28) AS date,
         'Expression by ' || source AS type FROM documents)""",
-    "interactions": """interactions AS (SELECT 'S' || CAST(a.l_suppkey AS VARCHAR) AS protein1,
-        'S' || CAST(b.l_suppkey AS VARCHAR) AS protein2 FROM lineitem a JOIN lineitem b
+    "interactions": """interactions AS (SELECT 'P' || CAST(a.l_partkey AS VARCHAR) AS protein1,
+        'P' || CAST(b.l_partkey AS VARCHAR) AS protein2 FROM lineitem a JOIN lineitem b
         ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber)""",
-    "target_sources": """target_sources AS (SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS gene,
-        p_type AS source FROM lineitem JOIN part ON l_partkey = p_partkey)""",
-    "disease_genes": """disease_genes AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS gene
-        FROM supplier WHERE s_acctbal < 5000)""",
+    "target_sources": """target_sources AS (SELECT 'P' || CAST(l_partkey AS VARCHAR) AS gene,
+        l_returnflag || l_linestatus AS source FROM lineitem)""",
+    "disease_genes": """disease_genes AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS gene
+        FROM part WHERE p_size < 25)""",
     "edges": """edges AS (SELECT DISTINCT least(protein1, protein2) AS src,
         greatest(protein1, protein2) AS dst FROM interactions WHERE protein1 <> protein2)""",
 }

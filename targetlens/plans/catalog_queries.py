@@ -87,7 +87,7 @@ _LEX = ("sqrt((contains(txt, 'with')::INT + contains(txt, 'haben')::INT + contai
 
 @register("lexical_score", sql(f"SELECT accession, {rsql(_LEX + ' AS score')} FROM (SELECT *, {TEXT} AS txt FROM catalog)", "catalog"))
 def lexical_score(spark, folder):
-    return rounded(b.catalog(spark, folder).select("accession", ct.lexical_score(TOPICS[0]).alias("score")))
+    return rounded(ct.lexical_score(b.catalog(spark, folder), TOPICS[0], "score").select("accession", "score"))
 
 
 @register("rerank", sql(f"""SELECT accession, {rsql('0.6 * coalesce(quality, 0) + 0.4 * ' + _LEX + ' AS relevance_score')}
@@ -111,7 +111,7 @@ TOPIC_SQL = f"texts AS (SELECT accession, {TEXT} AS txt FROM catalog), asked AS
 @register("is_relevant", sql(f"""SELECT accession, {_any(TOPICS[0].terms()[0])} AND {_any(TOPICS[0].terms()[1])} AS relevant
     FROM (SELECT *, {TEXT} AS txt FROM catalog)""", "catalog"))
 def is_relevant(spark, folder):
-    return b.catalog(spark, folder).select("accession", ct.is_relevant(TOPICS[0]).alias("relevant"))
+    return ct.is_relevant(b.catalog(spark, folder), TOPICS[0]).select("accession", "relevant")
 
 
 @register("labeled_samples", sql(TOPIC_SQL + """ SELECT disease, research_direction, accession,

@@ -16,7 +16,7 @@ from targetlens.plans.registry import Family, rounded, rsql
 from targetlens.sources import parsers as ps
 from targetlens.sources import readers as rd
 from targetlens.sources import sinks as sk
-from targetlens.session import shared_folder
+from targetlens.session import cut_lineage, shared_folder
 
 family = Family()
 register = family.register
@@ -209,14 +209,14 @@ def preferred_target(spark, folder):
 
 def _atom_lines(spark, folder):
     """One coordinate line per line item; the order is the file."""
-    number = lambda c: F.lpad(F.format_string("%.3f", c), 8, " ")
+    number = lambda c: F.lpad(c.cast("decimal(8,3)").cast("string"), 8, " ")
     record = F.when(F.col("l_returnflag") == "R", "HETATM").otherwise("ATOM  ")
     name = F.when(F.col("l_linestatus") == "O", "LIG").otherwise("HOH")
     value = F.concat(
         record, F.lpad(_s("l_linenumber"), 5, " "), F.lit("  C1  "), name, F.lit(" A"), F.lpad((F.col("l_suppkey") % 3).cast("string"), 4, " "),
         F.lit("    "), number(F.col("l_quantity")), number(F.col("l_discount") * 100), number(F.col("l_tax") * 100))
-    return b.table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("file"), F.col("l_linenumber").cast("long").alias("line_no"), value.alias("value"))
+    return cut_lineage(b.table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("file"), F.col("l_linenumber").cast("long").alias("line_no"), value.alias("value")))
 
 
 _BOX_AXES = (("x", "l_quantity"), ("y", "round(l_discount * 100, 3)"), ("z", "round(l_tax * 100, 3)"))
@@ -241,10 +241,10 @@ def scan_hetero_groups(spark, folder):
 
 def _log_lines(spark, folder):
     value = F.concat_ws(
-        "  ", F.lit(""), _s("l_linenumber"), F.format_string("%.2f", -F.col("l_quantity") / 5), F.lit("0.000"), _s("l_tax"))
-    return b.table(spark, folder, "lineitem").select(
+        "  ", F.lit(""), _s("l_linenumber"), (-F.col("l_quantity") / 5).cast("decimal(8,2)").cast("string"), F.lit("0.000"), _s("l_tax"))
+    return cut_lineage(b.table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("file"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("line_no"),
-        F.when(F.col("l_returnflag") == "N", "-----+----").otherwise(value).alias("value"))
+        F.when(F.col("l_returnflag") == "N", "-----+----").otherwise(value).alias("value")))
 
 
 @register("scan_affinity_log", """SELECT l_orderkey AS file, l_linenumber AS mode, """ + rsql("-l_quantity / 5 AS affinity") + """,

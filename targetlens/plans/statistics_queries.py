@@ -12,6 +12,7 @@ from targetlens.plans import bindings as b
 from targetlens.plans.bindings import CASE, NORMAL, erfc_sql, sql
 from targetlens.plans.expression_queries import METRICS_SQL, MODULE_SQL
 from targetlens.plans.registry import Family, rounded, rsql
+from targetlens.session import cut_lineage
 
 family = Family()
 register = family.register
@@ -390,7 +391,7 @@ mat AS (SELECT gene, sample, log2(value + 1) AS v FROM expression)
 
 
 def _matrix(spark, folder):
-    return ex.log2_transform(b.expression(spark, folder))
+    return cut_lineage(ex.log2_transform(b.expression(spark, folder)))
 
 
 @register("signature_corr", sql(LOG_SQL + """,
