@@ -183,7 +183,7 @@ def bh_adjust(
     tests = cut_lineage(df.withColumn("_p", F.coalesce(F.col(p_value), F.lit(1.0))))
     if not _range_cuts(tests, "_p", keys):
         up = W.partitionBy(*keys).orderBy("_p")
-        down = W.partitionBy(*keys).orderBy(F.col("_p").desc()).rowsBetween(W.unboundedPreceding, 0)
+        down = W.partitionBy(*keys).orderBy(F.col("_p").desc())  # with all ties of the current p
         share = F.col("_p") * F.count(F.lit(1)).over(W.partitionBy(*keys)) / F.row_number().over(up)
         out = tests.withColumn("_raw", share).withColumn(name, F.min("_raw").over(down))
         return out.withColumn(name, F.least(F.lit(1.0), F.col(name))).drop("_p", "_raw")

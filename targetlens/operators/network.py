@@ -97,6 +97,7 @@ def triangles(edges: DataFrame) -> DataFrame:
 
 def clustering_coef(edges: DataFrame) -> DataFrame:
     """(gene, ppi_degree, ppi_clustering): local clustering coefficient."""
+    edges = cut_lineage(edges)
     d = F.col("ppi_degree").cast("double")
     return (
         degree(edges).join(triangles(edges), "gene", "left")

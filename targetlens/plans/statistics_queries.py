@@ -21,7 +21,7 @@ QUERIES, ORACLES = family.queries, family.oracles
 
 def bh_sql(source: str, p: str = "p_value", out: str = "p_adjust") -> str:
     """CTE body adding the BH column to every row of ``source``."""
-    return f"""SELECT *, least(1, min({p} * m / r) OVER (ORDER BY {p} DESC ROWS UNBOUNDED PRECEDING)) AS {out}
+    return f"""SELECT *, least(1, min({p} * m / r) OVER (ORDER BY {p} DESC)) AS {out}
         FROM (SELECT *, row_number() OVER (ORDER BY {p}) AS r, count(*) OVER () AS m FROM {source})"""
 
 
