@@ -119,27 +119,6 @@ def pct_rank(
     return df.join(scores, [*by, value], "left").withColumn(name, F.coalesce(name, F.lit(0.5)))
 
 
-def pct_ranks(df: DataFrame, key: str, scores: Mapping[str, str]) -> DataFrame:
-    """Percentile ranks of several columns in one pass; ``scores`` maps column -> result name."""
-    df = cut_lineage(df)
-    long = df.select(
-        key,
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(out).alias("dimension"), F.col(c).cast("double").alias("value"))
-                for c, out in scores.items()
-            ])
-        ).alias("s"),
-    ).select(key, "s.dimension", "s.value")
-    wide = (
-        pct_rank(long, "value", "score", by=["dimension"])
-        .groupBy(key)
-        .pivot("dimension", list(scores.values()))
-        .agg(F.first("score"))
-    )
-    return df.join(wide, key)
-
-
 def row_numbers(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Add ``name``: 1..n in the given total order, with no task seeing more than its range.
 

@@ -449,7 +449,7 @@ def stratified_cap(cells: DataFrame, group: str, n: int, seed: int = 42, key: st
     size is cut down in parallel before its survivors meet.
     """
     mark = F.xxhash64(F.lit(seed), F.col(key))
-    salted = cells.withColumn("_h", mark).withColumn("_salt", F.pmod("_h", F.lit(64)))
+    salted = cells.withColumn("_h", mark).withColumn("_salt", F.pmod("_h", F.lit(1024)))
     first = W.partitionBy(group, "_salt").orderBy("_h", key)
     kept = salted.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= n)
     last = W.partitionBy(group).orderBy("_h", key)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from targetlens.operators.expression import log_normalize
 
@@ -16,8 +17,15 @@ CASE, NORMAL = "EUROPE", "ASIA"
 WORDS = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table of the folder; its footer is read for the schema only once."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Session settings and the shared checkpoint folder."""
+"""Session settings and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -26,24 +26,28 @@ def local_session(cpus: str | int = "*", app: str = "targetlens") -> SparkSessio
     return spark
 
 
-def _checkpoint_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+def _shared_root(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; on one machine a new one when it is unset."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the executors")
-    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """New folder under the checkpoint folder, for streams and intermediate tables."""
-    root = _checkpoint_folder(spark)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """New folder under the shared one, for streams and intermediate tables."""
+    return f"{_shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder; survives the loss of executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_checkpoint_folder(df.sparkSession))
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    The table outlives lost executors, and its file sizes tell Spark which joins may broadcast.
+    """
+    path = shared_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
