@@ -459,11 +459,12 @@ def ora(
     fewest: int = 3,
 ) -> DataFrame:
     """Over-representation of gene sets (set_name, gene) among the selected genes."""
-    known = sets.select("set_name", "gene").distinct().join(
-        universe.select("gene").distinct(), "gene", "left_semi"
+    known = cut_lineage(
+        sets.select("set_name", "gene").distinct()
+        .join(universe.select("gene").distinct(), "gene", "left_semi")
     )
-    chosen = selected.select("gene").distinct().join(
-        known.select("gene").distinct(), "gene", "left_semi"
+    chosen = cut_lineage(
+        selected.select("gene").distinct().join(known.select("gene").distinct(), "gene", "left_semi")
     )
     population = known.select("gene").distinct().agg(F.count(F.lit(1))).scalar()
     drawn = chosen.agg(F.count(F.lit(1))).scalar()
