@@ -6,9 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from targetlens.llm.common import table
+from targetlens.llm.decontamination import contamination
+from targetlens.llm.quality_rules import quality_report
 from targetlens.llm.simhash_dedup import simhash_near_duplicates
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination(docs, items).select(
+        F.col("_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_duplicates(table(spark, sf_dir, "documents")).select(
         F.col("_id").alias("doc_id"),
@@ -17,6 +30,8 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontamination": op4_decontamination,
+    "op5_quality_rules": op5_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
