@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from targetlens.llm.common import table
 from targetlens.llm.decontamination import contamination
+from targetlens.llm.license_scan import license_report
 from targetlens.llm.quality_rules import quality_report
 from targetlens.llm.simhash_dedup import simhash_near_duplicates
 
@@ -29,9 +30,17 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents")).select(
+        F.col("_id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels",
+        "labels", "score",
+    )
+
+
 QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_license_scan": op10_license_scan,
 }
 ORACLES: dict[str, str] = {}
