@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,12 @@ from targetlens.llm.decontamination import contamination
 from targetlens.llm.license_scan import license_report
 from targetlens.llm.quality_rules import quality_report
 from targetlens.llm.simhash_dedup import simhash_near_duplicates
+from targetlens.llm.token_counts import count_tokens
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary).withColumnRenamed("_id", "doc_id")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +45,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
