@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from targetlens.llm.common import table
 from targetlens.llm.decontamination import contamination
 from targetlens.llm.license_scan import license_report
+from targetlens.llm.pii import personal_data_report
 from targetlens.llm.piece_codec import piece_report
 from targetlens.llm.quality_rules import quality_report
 from targetlens.llm.simhash_dedup import simhash_near_duplicates
@@ -31,6 +32,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_license_scan": op10_license_scan,
