@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from targetlens.llm.common import table
 from targetlens.llm.decontamination import contamination
+from targetlens.llm.html_extraction import extract_main_text
 from targetlens.llm.license_scan import license_report
 from targetlens.llm.pii import personal_data_report
 from targetlens.llm.piece_codec import piece_report
@@ -21,6 +22,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary).withColumnRenamed("_id", "doc_id")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return contamination(docs, items).select(
@@ -56,6 +64,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op3_html_extraction": op3_html_extraction,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op7_pii": op7_pii,
