@@ -15,6 +15,7 @@ from targetlens.llm.pii import personal_data_report
 from targetlens.llm.piece_codec import piece_report
 from targetlens.llm.quality_rules import quality_report
 from targetlens.llm.simhash_dedup import simhash_near_duplicates
+from targetlens.llm.substring_dedup import repeated_passages
 from targetlens.llm.token_counts import count_tokens
 
 
@@ -49,6 +50,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeated_passages(docs).select(
+        F.col("_id").alias("doc_id"), F.col("kept_id").alias("kept_doc_id"), "line", "kept_line", "n_words", "class_id", "kept"
+    )
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_report(table(spark, sf_dir, "documents"))
 
@@ -77,6 +85,7 @@ QUERIES = {
     "op3_html_extraction": op3_html_extraction,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
