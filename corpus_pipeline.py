@@ -1,21 +1,57 @@
-"""Corpus pipeline: documents through the filters and deduplication to piece ids."""
+"""Corpus pipeline: documents through filters and deduplication to piece ids."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from targetlens.llm.decontamination import keep_clean
+from targetlens.llm.line_dedup import dedup_lines
+from targetlens.llm.piece_codec import decode_pieces, encode_pieces
+from targetlens.llm.quality_rules import keep_good
 from targetlens.llm.simhash_dedup import keep_one
 from targetlens.session import cut_lineage
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or the limits of their language and source go."""
+    return keep_good(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go; every document stays, with ``n_chars`` of what is left of its text."""
+    return dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays."""
     return keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def sentencepiece_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of each document, and whether decoding them gives its text back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    both = decode_pieces(encode_pieces(docs, path), path)
+    return both.select(
+        "doc_id", "lang", "source", "n_chars", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
+        (F.col("decoded") == F.regexp_replace(F.coalesce("text", F.lit("")), "▁", " ")).alias("round_trip"),
+    )
+
+
 STAGES = [
-    ("simhash near-dedup", near_duplicates),
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("simhash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("sentencepiece encoding and decoding", sentencepiece_codec),
 ]
+#: SQL can express neither the quantile sketches nor the connected groups nor the best path.
 ORACLE_SQL = None
 
 

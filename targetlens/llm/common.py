@@ -45,7 +45,26 @@ def space_words(text: Column) -> Column:
 
 def row_identity(id_col: str, text_col: str) -> list[Column]:
     """(_id, _h): rows that agree in both get the same answer, so repeated and NULL ids are safe."""
-    return [F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("_h")]
+    return [F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_h")]
+
+
+def boxed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_row, _id, _h): all columns in one struct, so that no name of theirs can clash."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*columns).alias("_row"), *row_identity(id_col, text_col))
+
+
+def unboxed(columns: list[str], replaced: dict[str, Column] | None = None) -> list[Column]:
+    """The columns of a boxed row, some of them replaced."""
+    replaced = replaced or {}
+    return [replaced.get(c, F.col("_row")[c]).alias(c) for c in columns]
+
+
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text less the lines (counted from 0) of the array ``gone``."""
+    left = let(F.split(text, "\n"), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n"))
+    return F.when(F.size(gone) > 0, left).otherwise(text)
 
 
 def same_row(left: DataFrame, right: DataFrame) -> Column:

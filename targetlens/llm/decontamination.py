@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from targetlens.llm.common import Scratch, let, plain_words, row_identity, same_row
+from targetlens.llm.common import Scratch, boxed, let, plain_words, row_identity, same_row, unboxed
 
 WINDOW = 10
 SHINGLE = 5
@@ -148,6 +148,5 @@ def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with the columns of ``docs``."""
     found, _ = occurrences(docs, items)
     tainted = found.select("_id", "_h").distinct()
-    identity = row_identity("doc_id", "text")
-    rows = docs.withColumns({"_id": identity[0], "_h": identity[1]})
-    return rows.join(tainted, same_row(rows, tainted), "left_anti").drop("_id", "_h")
+    rows = boxed(docs, "doc_id", "text")
+    return rows.join(tainted, same_row(rows, tainted), "left_anti").select(*unboxed(docs.columns))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from targetlens.llm.common import Scratch, let, row_identity
+from targetlens.llm.common import Scratch, boxed, row_identity, unboxed, without_lines
 from targetlens.llm.components import connected_components
 from targetlens.llm.linking import bucket_links
 from targetlens.llm.simhash_dedup import block_keys
@@ -169,14 +169,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.collect_list(F.when(~F.col("kept"), F.col("line"))).alias("gone"),
     )
     per_row = per_row.select(F.col("_id").alias("r_id"), F.col("_h").alias("r_h"), "_n_lines", "_n_kept", F.sort_array("gone").alias("gone"))
-    identity = row_identity(id_col, text_col)
-    rows = docs.withColumns({"_id": identity[0], "_h": identity[1]})
+    rows = boxed(docs, id_col, text_col)
     joined = rows.join(per_row, F.col("_id").eqNullSafe(F.col("r_id")) & (F.col("_h") == F.col("r_h")), "left")
-    text = F.col(text_col)
-    left = let(F.split(text, "\n"), lambda lines: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i)
-    ), "\n"))
-    return joined.withColumns({
-        text_col: F.when(F.size("gone") > 0, left).otherwise(text),
-        "_n_lines": F.coalesce("_n_lines", F.lit(0)).cast("long"), "_n_kept": F.coalesce("_n_kept", F.lit(0)).cast("long"),
-    }).drop("_id", "_h", "r_id", "r_h", "gone")
+    text = without_lines(F.col("_row")[text_col], F.col("gone"))
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("_n_lines", "_n_kept")]
+    return joined.select(*unboxed([c for c in docs.columns if c not in ("_n_lines", "_n_kept")], {text_col: text}), *counts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from targetlens.llm.common import Scratch, let, space_words
+from targetlens.llm.common import Scratch, let, space_words, unboxed
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -125,19 +125,23 @@ def learned_limits(rates: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``docs`` with ``_stats`` (struct of counts), ``_base_failed`` and ``_kept``.
+    """(_row, _stats, _base_failed, _kept): each row of ``docs`` as a struct, its counts and verdicts.
 
     A NULL or empty text has no words and fails the base rules. NULL languages and sources form
     groups of their own. Repeated rows each keep their row; an empty table gives no rows. The
     thresholds are one small row per (lang, source), joined on both; the counts are computed once
     for the thresholds and once for the verdicts, so that no text is ever shuffled.
     """
-    counted = docs.withColumn("_stats", text_statistics(F.col(text_col)))
+    counted = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(lang_col).alias("lang"),
+        F.col(source_col).alias("source"), text_statistics(F.col(text_col)).alias("_stats"),
+    )
     measured = counted.where(~base_failed("_stats")).select(
-        F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
-        *[c.alias(n) for n, c in _rates("_stats").items()],
+        "lang", "source", *[c.alias(n) for n, c in _rates("_stats").items()]
+    )
+    return _with_verdict(counted, learned_limits(measured), "lang", "source").select(
+        "_row", "_stats", "_base_failed", "_kept"
     )
-    return _with_verdict(counted, learned_limits(measured), lang_col, source_col)
 
 
 def _with_verdict(counted: DataFrame, limits: DataFrame, lang_col: str, source_col: str) -> DataFrame:
@@ -173,4 +177,4 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs``."""
-    return judged(docs).where("_kept").drop("_stats", "_base_failed", "_kept")
+    return judged(docs).where("_kept").select(*unboxed(docs.columns))

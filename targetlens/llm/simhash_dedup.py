@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from targetlens.llm.common import Scratch, row_identity, same_row
+from targetlens.llm.common import Scratch, boxed, row_identity, same_row, unboxed
 from targetlens.llm.components import connected_components
+from targetlens.llm.linking import bucket_links
 
 SHINGLE = 3
 SEED = 42
@@ -79,17 +80,17 @@ def block_keys(fp: Column, blocks: int = BLOCKS, distance: int = MAX_DISTANCE) -
     ])
 
 
-def close_pairs(distinct_fps: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints that differ in at most ``distance`` bits."""
-    keyed = distinct_fps.select(
-        "fp", F.explode(block_keys(F.col("fp"), BLOCKS, distance)).alias("k")
-    ).select("fp", F.col("k.mask").alias("mask"), F.col("k.key").alias("key"))
-    left, right = keyed.alias("l"), keyed.alias("r")
-    near = F.bit_count(F.col("l.fp").bitwiseXOR(F.col("r.fp"))) <= distance
-    return (
-        left.join(right, ["mask", "key"]).where((F.col("l.fp") < F.col("r.fp")) & near)
-        .select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
+def close_links(nodes: DataFrame, scratch: Scratch, distance: int = MAX_DISTANCE) -> DataFrame:
+    """Pairs (a, b) of fingerprints at most ``distance`` bits apart that connect all such pairs.
+
+    ``nodes`` has the distinct fingerprints ``fp`` and their numbers of copies ``weight``.
+    """
+    members = nodes.select(
+        F.explode(block_keys(F.col("fp"), BLOCKS, distance)).alias("bucket"),
+        F.col("fp").alias("node"), "weight", F.col("fp").alias("sketch"),
     )
+    near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance
+    return bucket_links(members, near, lambda pairs: pairs, scratch)
 
 
 def simhash_near_duplicates(
@@ -106,8 +107,8 @@ def simhash_near_duplicates(
     scratch = Scratch(docs.sparkSession)
     fps = scratch.keep(fingerprints(docs, id_col, text_col))
     first = F.struct(F.isnull("_id").alias("no"), F.col("_id").alias("id"), F.col("_h").alias("h"))
-    nodes = fps.groupBy("fp").agg(F.min(first).alias("first"))
-    component = connected_components(close_pairs(fps.select("fp").distinct(), distance))
+    nodes = scratch.keep(fps.groupBy("fp").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("weight")))
+    component = connected_components(close_links(nodes.select("fp", "weight"), scratch, distance))
     placed = nodes.join(component, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root")
     )
@@ -123,5 +124,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row of each near-duplicate group, with the columns of ``docs``."""
     groups = simhash_near_duplicates(docs, id_col, text_col)
     chosen = groups.where("chosen").select("_id", "_h").distinct()
-    rows = docs.withColumns({"_id": F.col(id_col), "_h": row_identity(id_col, text_col)[1]})
-    return rows.join(chosen, same_row(rows, chosen), "left_semi").dropDuplicates(["_id", "_h"]).drop("_id", "_h")
+    rows = boxed(docs, id_col, text_col)
+    return rows.join(chosen, same_row(rows, chosen), "left_semi").dropDuplicates(["_id", "_h"]).select(
+        *unboxed(docs.columns)
+    )
