@@ -19,6 +19,23 @@ CONTEXT_TOKENS = 2048
 #: Words whose counts a task remembers; beyond it the memory is emptied, never the work left out.
 REMEMBERED = 600_000
 
+#: Letters, digits and lower-case pairs (first, last, distance) of the Unicode version of
+#: the tokenizer library that the interpreter's tables may not know yet.
+NEWER_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+    (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA),
+    (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEWER_DIGITS = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+    (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+]
+NEWER_LOWER = [
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1),
+    (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
+]
+
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
@@ -87,11 +104,19 @@ class MergeCounter:
                     heapq.heappush(heap, (found[0] << 40) | h)
         return n - done
 
+    def _split(self, text: str) -> list[str]:
+        """Matches of the file's pattern. Characters that the interpreter's tables do not assign are
+        shown to it as a letter, digit or sign of known kind, as its tables may differ."""
+        if text.isascii() or not any(unicodedata.category(c) == "Cn" for c in text):
+            return self.pieces.findall(text)
+        shape = "".join(_known_kind(c) for c in text)
+        return [text[m.start():m.end()] for m in self.pieces.finditer(shape)]
+
     def _chunk(self, chunk: str) -> int:
         """Tokens of a stretch without blanks; remembered, as words come again and again."""
         plain = chunk.lower() if chunk.isascii() else lower_by_character(unicodedata.normalize("NFC", chunk))
         total, seen = 0, self.seen
-        for word in self.pieces.findall(plain):
+        for word in self._split(plain):
             n = seen.get(word)
             if n is None:
                 n = self.word_tokens(word)
@@ -120,11 +145,23 @@ class MergeCounter:
         return total
 
 
+def _within(code: int, ranges: list) -> tuple | None:
+    return next((r for r in ranges if r[0] <= code <= r[1]), None)
+
+
+def _known_kind(char: str) -> str:
+    if unicodedata.category(char) != "Cn":
+        return char
+    return "a" if _within(ord(char), NEWER_LETTERS) else "1" if _within(ord(char), NEWER_DIGITS) else "#"
+
+
 def lower_by_character(text: str) -> str:
     """Lower case of each character on its own: no special case for a final sigma."""
-    if "Σ" in text:
-        return "σ".join(part.lower() for part in text.split("Σ"))
-    return text.lower()
+    lowered = "σ".join(part.lower() for part in text.split("Σ")) if "Σ" in text else text.lower()
+    if any(unicodedata.category(c) == "Cn" for c in lowered):
+        moved = [(c, _within(ord(c), NEWER_LOWER)) for c in lowered]
+        return "".join(chr(ord(c) + r[2]) if r and unicodedata.category(c) == "Cn" else c for c, r in moved)
+    return lowered
 
 
 @cache
