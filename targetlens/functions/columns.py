@@ -91,11 +91,17 @@ def lenient_date(text: Column | str) -> Column:
 
 
 def safe_name(value: Column | str, fallback: Column) -> Column:
-    """File-safe name: runs of other characters become ``_``, ends trimmed, 80 characters."""
+    """File-safe name: runs of other characters become ``_``, ends trimmed.
+
+    A name of over 80 characters keeps its first 63 and the first 16 digits of the hash of the
+    whole, so that different long names stay different.
+    """
     raw = F.col(value) if isinstance(value, str) else value
     cleaned = F.regexp_replace(F.coalesce(raw, fallback), r"[^A-Za-z0-9_.-]+", "_")
     cleaned = F.regexp_replace(cleaned, r"^[._]+|[._]+$", "")
-    return F.substring(F.when(cleaned == "", fallback).otherwise(cleaned), 1, 80)
+    named = F.when(cleaned == "", fallback).otherwise(cleaned)
+    short = F.concat_ws("_", F.substring(named, 1, 63), F.substring(F.sha2(named, 256), 1, 16))
+    return F.when(F.char_length(named) <= 80, named).otherwise(short)
 
 
 def split_ids(value: Column | str) -> Column:

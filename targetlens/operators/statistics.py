@@ -10,8 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -659,18 +658,24 @@ def reversal_corr(
     )
 
 
-def pathway_corr(values: DataFrame, pathway: Sequence[str], max_genes: int = 2000) -> DataFrame:
-    """(gene, pathway_control): mean |r| with the pathway genes among the most variable genes.
+def _variable_moments(values: DataFrame, max_genes: int | None) -> DataFrame:
+    """(gene, _sx, _sxx, _n) of all genes, or of the ``max_genes`` most variable when given."""
+    n = sample_count(values).cast("double")
+    moments = _moment_columns(values).withColumn("_n", n)
+    if max_genes is None:
+        return moments
+    spread = F.col("_sxx") - F.col("_sx") * F.col("_sx") / F.col("_n")
+    return top_rows(moments.withColumn("_var", spread), [F.col("_var").desc(), F.col("gene")], max_genes).drop("_var")
+
+
+def pathway_corr(values: DataFrame, pathway: Sequence[str], max_genes: int | None = None) -> DataFrame:
+    """(gene, pathway_control): mean |r| with the pathway genes.
 
-    Genes outside the most variable ones get 0. Every measurement meets at most the pathway
-    genes of its sample, a list given by parameter.
+    Every measurement meets at most the pathway genes of its sample, a list given by parameter.
+    With ``max_genes`` only the most variable genes count and the others get 0.
     """
-    n = sample_count(values).cast("double")
-    moments = _moment_columns(values).withColumn("_n", n).withColumn(
-        "_var", F.col("_sxx") - F.col("_sx") * F.col("_sx") / F.col("_n")
-    )
-    top = top_rows(moments, [F.col("_var").desc(), F.col("gene")], max_genes)
-    chosen = values.join(top.select("gene"), "gene", "left_semi")
+    top = _variable_moments(values, max_genes)
+    chosen = values if max_genes is None else values.join(top.select("gene"), "gene", "left_semi")
     mine = chosen.where(F.col("gene").isin(list(pathway))).select(
         F.col("gene").alias("pg"), "sample", F.col("value").alias("y")
     )
@@ -692,43 +697,84 @@ def pathway_corr(values: DataFrame, pathway: Sequence[str], max_genes: int = 200
     )
 
 
+#: Entries of one gene block; the number of blocks grows with the table, their size does not.
+BLOCK_ENTRIES = 1_000_000
+#: Cells of one dense slice of a block.
+SLICE_CELLS = 4_000_000
+
+
+def _block_strength(cutoff: float):
+    """Per gene of two gene blocks: how many genes of the other block it goes with, and its sum of |r|."""
+
+    def strength(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        n = float(part["n"].iloc[0])
+        sides = []
+        for block in key:
+            rows = part[part["block"] == block]
+            if rows.empty:
+                return pd.DataFrame({"gene": [], "linked": [], "total": []})
+            genes, g = np.unique(rows["gene"].to_numpy(dtype=object), return_inverse=True)
+            sides.append((genes, g, rows["sample_no"].to_numpy(), rows["value"].to_numpy()))
+        samples, cells = part["sample_no"].unique(), max(len(sides[0][0]), len(sides[1][0]))
+        samples.sort()
+        step = max(1, SLICE_CELLS // cells)
+        cross = np.zeros((len(sides[0][0]), len(sides[1][0])))
+        for at in range(0, len(samples), step):
+            low, high = samples[at], samples[min(at + step, len(samples)) - 1]
+            grids = []
+            for genes, g, s, v in sides:
+                inside = (s >= low) & (s <= high)
+                grid = np.zeros((len(genes), min(step, len(samples) - at)))
+                grid[g[inside], np.searchsorted(samples[at:at + step], s[inside])] = v[inside]
+                grids.append(grid)
+            cross += grids[0] @ grids[1].T
+        sums = [(np.bincount(g, v, len(genes)), np.bincount(g, v * v, len(genes))) for genes, g, _, v in sides]
+        spread = [n * xx - x * x for x, xx in sums]
+        flat = [d <= 1e-9 * np.abs(n * xx) for d, (_, xx) in zip(spread, sums)]
+        scale = [np.where(f, np.inf, np.sqrt(np.maximum(d, 0))) for f, d in zip(flat, spread)]
+        r = np.abs((n * cross - np.outer(sums[0][0], sums[1][0])) / np.outer(scale[0], scale[1]))
+        alone = key[0] == key[1]
+        if alone:
+            np.fill_diagonal(r, 0.0)
+        out = [pd.DataFrame({"gene": sides[0][0], "linked": (r >= cutoff).sum(axis=1), "total": r.sum(axis=1)})]
+        if not alone:
+            out.append(pd.DataFrame({"gene": sides[1][0], "linked": (r >= cutoff).sum(axis=0), "total": r.sum(axis=0)}))
+        return pd.concat(out)
+
+    return strength
+
+
 def coexpression_degree(
-    values: DataFrame, max_genes: int = 2000, cutoff: float = 0.7
+    values: DataFrame, max_genes: int | None = None, cutoff: float = 0.7
 ) -> DataFrame:
-    """(gene, hub_degree): co-expressed genes with |r| >= cutoff among the most variable genes.
+    """(gene, hub_degree): number of genes with |r| >= cutoff.
 
-    Without any such pair the mean |r| is used; other genes get 0. Each sample becomes one vector
-    over at most ``max_genes`` genes and the correlation matrix, bounded by that parameter, is
-    built from per-partition Gram matrices, so gene pairs are never written as rows.
+    Without any such pair the mean |r| is used. Genes are dealt to blocks of bounded size and each
+    pair of blocks is one task; only the row sums of its part of the matrix leave it, so neither
+    gene pairs nor the matrix are ever written. With ``max_genes`` only the most variable genes
+    count and the others get 0.
     """
-    n = sample_count(values).cast("double")
-    moments = _moment_columns(values).withColumn("_n", n).withColumn(
-        "_var", F.col("_sxx") - F.col("_sx") * F.col("_sx") / F.col("_n")
-    )
-    top = top_rows(moments, [F.col("_var").desc(), F.col("gene")], max_genes, "i").select("gene", "i")
-    names = [r["gene"] for r in top.orderBy("i").collect()]  # at most max_genes names
-    places = top.select("gene", (F.col("i") - 1).cast("int").alias("_i"))
-    entries = values.join(places, "gene")
-    vectors = entries.groupBy("sample").agg(
-        F.map_from_entries(F.collect_list(F.struct("_i", "value"))).alias("_m")
-    )
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(len(names) - 1)),
-        lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0.0)),
-    )
-    matrix = Correlation.corr(vectors.select(array_to_vector(dense).alias("v")), "v").first()[0]
-    strength = np.abs(np.nan_to_num(matrix.toArray()))
-    np.fill_diagonal(strength, 0.0)
-    degree = (strength >= cutoff).sum(axis=1).astype(float)
-    if degree.max(initial=0.0) <= 0:
-        degree = strength.mean(axis=1)
-    spark = values.sparkSession
-    found = spark.createDataFrame(
-        [(g, float(x)) for g, x in zip(names, degree)], "gene string, hub_degree double"
-    )
+    top = _variable_moments(values, max_genes).select("gene", "_n")
+    chosen = cut_lineage(values.join(top, "gene").select("gene", "sample", "value", F.col("_n").alias("n")))
+    numbered = row_numbers(chosen.select("sample").distinct(), [F.col("sample")], "sample_no")
+    blocks = max(1, -(-chosen.count() // BLOCK_ENTRIES))
+    own = F.pmod(F.xxhash64("gene"), F.lit(blocks))
+    others = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda o: F.struct(
+        F.least(F.col("block"), o).alias("low"), F.greatest(F.col("block"), o).alias("high")))
+    dealt = chosen.join(numbered, "sample").select(
+        "gene", "sample_no", F.col("value").cast("double").alias("value"), "n", own.cast("int").alias("block")
+    ).withColumn("pair", F.explode(others)).select("*", "pair.low", "pair.high").drop("pair")
+    parts = dealt.groupBy("low", "high").applyInPandas(_block_strength(cutoff), "gene string, linked long, total double")
+    sums = cut_lineage(parts.groupBy("gene").agg(
+        F.sum("linked").cast("double").alias("linked"), F.sum("total").alias("total")))
+    most = sums.agg(F.coalesce(F.max("linked"), F.lit(0.0))).scalar()
+    genes = sums.agg(F.count(F.lit(1))).scalar()
+    found = sums.withColumns({"_most": most, "_genes": genes}).select(
+        "gene", F.when(F.col("_most") > 0, F.col("linked")).otherwise(F.col("total") / F.col("_genes")).alias("hub_degree"))
     return values.select("gene").distinct().join(found, "gene", "left").fillna(0.0, ["hub_degree"])
 
 
+
 def cox_median_split(
     expression: DataFrame, survival: DataFrame, rounds: int = 25,
     fewest_rows: int = 20, fewest_events: int = 5,

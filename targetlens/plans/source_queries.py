@@ -44,50 +44,54 @@ def scan_metadata(spark, folder):
     return scan(rows)
 
 
+def _files():
+    return F.array(*[F.lit(f) for f in "ANR"])
+
+
 def _mtx(spark, folder):
     lines = b.table(spark, folder, "lineitem").join(
         b.table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     body = lines.select(
-        F.lit("m").alias("file"), (F.col("l_orderkey") + 10).alias("line_no"),
+        F.col("l_returnflag").alias("file"), (F.col("l_orderkey") + 10).alias("line_no"),
         F.concat_ws(" ", F.col("l_partkey") + 1, F.col("o_custkey") + 1, F.col("l_quantity")).alias("value"))
     head = b.table(spark, folder, "part").agg(
         F.array(
             F.struct(F.lit(1).cast("long").alias("line_no"), F.lit("%%MatrixMarket matrix").alias("value")),
             F.struct(F.lit(2).cast("long").alias("line_no"), F.concat(F.count(F.lit(1)), F.lit(" 9 9")).alias("value")),
-        ).alias("h")).select(F.lit("m").alias("file"), F.explode("h").alias("h")).select("file", "h.*")
+        ).alias("h")).select(F.explode("h").alias("h")).select(F.explode(_files()).alias("file"), "h.*")
     genes = b.table(spark, folder, "part").select(
-        F.lit("m").alias("file"), (F.col("p_partkey") + 1).alias("pos"), F.col("p_name").alias("name"))
+        F.explode(_files()).alias("file"), (F.col("p_partkey") + 1).alias("pos"), F.col("p_name").alias("name"))
     barcodes = b.table(spark, folder, "customer").where("c_acctbal > 0").select(
-        F.lit("m").alias("file"), (F.col("c_custkey") + 1).alias("pos"), F.col("c_name").alias("name"))
+        F.explode(_files()).alias("file"), (F.col("c_custkey") + 1).alias("pos"), F.col("c_name").alias("name"))
     return head.unionByName(body), genes, barcodes
 
 
 @register("scan_mtx", """WITH g AS (SELECT p_partkey, p_name, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS k FROM part)
-    SELECT CASE WHEN k = 1 THEN p_name ELSE p_name || '.' || CAST(k - 1 AS VARCHAR) END AS gene,
+    SELECT l_returnflag AS file, CASE WHEN k = 1 THEN p_name ELSE p_name || '.' || CAST(k - 1 AS VARCHAR) END AS gene,
     coalesce(c_name, 'Cell' || CAST(o_custkey + 1 AS VARCHAR)) AS cell, l_quantity AS value
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN g ON l_partkey = p_partkey
     LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_custkey = o_custkey""")
 def scan_mtx(spark, folder):
-    return ps.scan_mtx(*_mtx(spark, folder)).select("gene", "cell", "value")
+    return ps.scan_mtx(*_mtx(spark, folder)).select("file", "gene", "cell", "value")
 
 
-@register("scan_gene_csv", """SELECT p_name AS gene, cell, CAST(value AS DOUBLE) AS value FROM
-    (SELECT p_name, p_partkey % 3 AS "AA-1", p_size AS "CC-1", 0 AS "GG-1" FROM part)
+@register("scan_gene_csv", """SELECT p_name || ', ' || p_brand AS gene, cell, CAST(value AS DOUBLE) AS value FROM
+    (SELECT p_name, p_brand, p_partkey % 3 AS "AA-1", p_size AS "CC-1", 0 AS "GG-1" FROM part)
     UNPIVOT (value FOR cell IN ("AA-1", "CC-1", "GG-1")) WHERE value <> 0""")
 def scan_gene_csv(spark, folder):
     parts = b.table(spark, folder, "part")
     head = parts.agg(F.min(F.lit("AA-1,CC-1,GG-1")).alias("value")).select(F.lit("f").alias("file"), F.lit(1).cast("long").alias("line_no"), "value")
     body = parts.select(F.lit("f").alias("file"), (F.col("p_partkey") + 2).alias("line_no"),
-        F.concat_ws(",", F.concat(F.lit('"'), "p_name", F.lit('"')), F.col("p_partkey") % 3, "p_size", F.lit("0")).alias("value"))
+        F.concat_ws(",", F.concat(F.lit('"'), "p_name", F.lit(", "), "p_brand", F.lit('"')), F.col("p_partkey") % 3, "p_size", F.lit("0")).alias("value"))
     return ps.scan_gene_csv(head.unionByName(body)).select("gene", "cell", "value")
 
 
 @register("merge_matrices", """WITH m AS (SELECT l_returnflag || l_linestatus AS file, p_name || ' ' || p_brand AS gene, l_orderkey AS cell,
-      l_quantity AS value FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 40),
+      l_quantity AS value FROM lineitem JOIN part ON l_partkey = p_partkey),
     c AS (SELECT gene FROM m GROUP BY 1 HAVING count(DISTINCT file) = (SELECT count(DISTINCT file) FROM m))
     SELECT file, gene, cell, value FROM m WHERE gene IN (SELECT gene FROM c)""")
 def merge_matrices(spark, folder):
-    lines, parts = b.table(spark, folder, "lineitem").where("l_quantity > 40"), b.table(spark, folder, "part")
+    lines, parts = b.table(spark, folder, "lineitem"), b.table(spark, folder, "part")
     m = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat("l_returnflag", "l_linestatus").alias("file"), F.concat_ws(" ", "p_name", "p_brand").alias("gene"),
         F.col("l_orderkey").alias("cell"), F.col("l_quantity").alias("value"))
@@ -173,15 +177,15 @@ def scan_affinity_json(spark, folder):
 
 @register("scan_link_table", """WITH f AS (SELECT p_name AS gene, l_suppkey AS s, min(l_orderkey) AS first_at FROM lineitem
       JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
-    r AS (SELECT *, rank() OVER (PARTITION BY gene ORDER BY first_at) AS k FROM f)
+    r AS (SELECT * FROM f)
     SELECT gene, count(*) AS pathway_count, string_agg('path:' || CAST(s AS VARCHAR), ',' ORDER BY first_at, 'path:' || CAST(s AS VARCHAR))
-    FILTER (k <= 5) AS pathways FROM r GROUP BY 1""")
+    AS pathways FROM r GROUP BY 1""")
 def scan_link_table(spark, folder):
     lines = b.table(spark, folder, "lineitem").join(
         b.table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_name").alias("gene"), F.col("l_orderkey").alias("line_no"),
         F.concat(F.lit("hsa:1\tpath:"), _s("l_suppkey")).alias("value"))
-    return ps.scan_link_table(lines, limit=5)
+    return ps.scan_link_table(lines)
 
 
 @register("scan_id_map", """SELECT 'CUST' || CAST(c_custkey AS VARCHAR) AS gene, CAST(c_custkey AS VARCHAR) AS entrez,
@@ -366,8 +370,8 @@ def barcode_match_join(spark, folder):
         "cell", "barcode", "strategy")
 
 
-@register("safe_name", r"""SELECT doc_id AS id, substr(CASE WHEN c = '' THEN 'doc' ELSE c END, 1, 80) AS name FROM
-    (SELECT doc_id, regexp_replace(regexp_replace(text, '[^A-Za-z0-9_.-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS c FROM documents)""")
+@register("safe_name", r"""SELECT doc_id AS id, CASE WHEN length(n) <= 80 THEN n ELSE substr(n, 1, 63) || '_' || substr(sha256(n), 1, 16) END AS name
+    FROM (SELECT doc_id, CASE WHEN c = '' THEN 'doc' ELSE c END AS n FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '[^A-Za-z0-9_.-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS c FROM documents))""")
 def safe_name_query(spark, folder):
     return b.table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"), safe_name("text", F.lit("doc")).alias("name"))
@@ -382,12 +386,11 @@ def sink_tables(spark, folder):
     return spark.read.option("header", True).schema("id long, names string, p_size int").csv(path)
 
 
-@register("sink_append_results", """SELECT l_orderkey AS id, l_returnflag AS status FROM lineitem
-    WHERE l_returnflag IN ('R', 'A')""")
+@register("sink_append_results", "SELECT l_orderkey AS id, l_returnflag AS status FROM lineitem")
 def sink_append_results(spark, folder):
     path = shared_folder(spark, "results")
     rows = b.table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_returnflag").alias("status"))
-    for flag in ("R", "A"):
+    for flag in ("R", "A", "N"):
         sk.sink_append_results(rows.where(F.col("status") == flag), path)
     return spark.read.parquet(path)
 
@@ -398,12 +401,18 @@ def sink_summary_json(spark, folder):
         F.count(F.lit(1)).alias("events"), F.countDistinct("user_id").alias("users")))
 
 
-_HASH = "sum(CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_returnflag)), 1, 15)) AS HUGEINT))"
+_FIELDS = [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "CAST(l_shipdate AS DATE)",
+    "CAST(round(l_quantity * 100) AS BIGINT)", "CAST(round(l_extendedprice * 100) AS BIGINT)",
+    "CAST(round(l_discount * 100) AS BIGINT)", "CAST(round(l_tax * 100) AS BIGINT)",
+]  # money as whole hundredths: engines print doubles differently
+_TEXT = ", ".join(f"coalesce(length(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in _FIELDS)
+_HASH = f"sum(CAST(('0x' || substr(md5(concat_ws('|', {_TEXT})), 1, 15)) AS HUGEINT))"
 
 
 @register("input_fingerprint", f"SELECT 'lineitem' AS name, count(*) AS rows, CAST({_HASH} AS VARCHAR) AS digest FROM lineitem")
 def input_fingerprint(spark, folder):
-    lines = b.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    lines = b.table(spark, folder, "lineitem").selectExpr(*_FIELDS)
     return sk.input_fingerprint(lines, "lineitem")
 
 

@@ -199,9 +199,8 @@ def rank_targets(spark, folder):
 @register("weighted_score", """SELECT p_partkey AS gene, """ + rsql(
     "(0.35 * p_size + 0.2 * (p_retailprice / 1000)) / 0.55 AS score") + " FROM part")
 def weighted_score(spark, folder):
-    weights = tg.normalised_weights(tg.BASE_WEIGHTS, ["expression", "network"])
     parts = b.table(spark, folder, "part").withColumn("p_retailprice", F.col("p_retailprice") / 1000)
-    score = tg.weighted_score({"expression": "p_size", "network": "p_retailprice"}, weights)
+    score = tg.weighted_score({"expression": "p_size", "network": "p_retailprice"}, tg.BASE_WEIGHTS)
     return rounded(parts.select(F.col("p_partkey").alias("gene"), score.alias("score")))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,10 +65,13 @@ def label_by_rules(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return label
 
 
-def make_unique(names: DataFrame, name: str = "name", position: str = "pos") -> DataFrame:
-    """Repeats of a name get .1, .2, ... in position order."""
-    ranks = value_ranks(names, position, [name]).select(name, position, F.col("min_rank").alias("_k"))
-    return names.join(ranks, [name, position]).withColumn(
+def make_unique(
+    names: DataFrame, name: str = "name", position: str = "pos", within: Sequence[str] = ("file",)
+) -> DataFrame:
+    """Repeats of a name inside a file get .1, .2, ... in position order."""
+    keys = [*within, name]
+    ranks = value_ranks(names, position, keys).select(*keys, position, F.col("min_rank").alias("_k"))
+    return names.join(ranks, [*keys, position]).withColumn(
         name, F.when(F.col("_k") == 1, F.col(name)).otherwise(
             F.concat_ws(".", name, (F.col("_k") - 1).cast("string")))
     ).drop("_k")
@@ -98,22 +102,29 @@ def scan_mtx(lines: DataFrame, genes: DataFrame, barcodes: DataFrame) -> DataFra
     )
 
 
+def quoted_fields(line: Column, sep: str = ",") -> Column:
+    """Fields of a delimited line; a separator inside double quotes does not split, quotes go."""
+    outside = re.escape(sep) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    plain = F.when(F.contains(line, F.lit('"')), F.split(line, outside, -1)).otherwise(F.split(line, re.escape(sep), -1))
+    return F.transform(plain, lambda f: F.replace(
+        F.regexp_replace(F.trim(f), r'^"|"$', ""), F.lit('""'), F.lit('"')))
+
+
 def scan_gene_csv(lines: DataFrame, sep: str = ",") -> DataFrame:
     """(file, gene, cell, value) from gene x cell text: non-zero entries only.
 
-    The header names the cells; it has no corner field when it starts like a barcode.
+    The header names the cells; it has no corner field when it starts like a barcode. Its names are
+    one row per (file, place) and joined there, so no entry carries the header.
     """
-    fields = F.split("value", sep)
-    head = lines.where("line_no = 1").select("file", fields.alias("_h"))
-    rows = lines.where("line_no > 1 AND trim(value) <> ''").select(
-        "file", F.trim(fields[0], F.lit('"')).alias("gene"),
-        F.posexplode(F.slice(fields, F.lit(2), F.size(fields))).alias("_i", "_v"),
+    rows = lines.where("line_no > 1 AND trim(value) <> ''").select("file", quoted_fields(F.col("value"), sep).alias("_f")).select(
+        "file", F.col("_f")[0].alias("gene"), F.posexplode(F.slice("_f", F.lit(2), F.size("_f"))).alias("_i", "_v"),
     ).select("file", "gene", "_i", number("_v").alias("value")).where("value <> 0")
-    first = F.trim(F.trim(F.col("_h")[0]), F.lit('"'))
-    place = F.col("_i") + F.when(first.rlike(BARCODE_HEADER), 1).otherwise(2)
-    return rows.join(head, "file").select(
-        "file", "gene", F.trim(F.try_element_at("_h", place), F.lit('"')).alias("cell"), "value"
+    names = quoted_fields(F.col("value"), sep)
+    bare = F.col("_h")[0].rlike(BARCODE_HEADER)
+    head = lines.where("line_no = 1").select("file", names.alias("_h")).select(
+        "file", F.posexplode(F.when(bare, F.col("_h")).otherwise(F.slice("_h", F.lit(2), F.size("_h")))).alias("_i", "cell")
     )
+    return rows.join(head, ["file", "_i"], "left").select("file", "gene", "cell", "value")
 
 
 def merge_matrices(matrices: DataFrame, order: str = "file") -> DataFrame:
@@ -144,7 +155,7 @@ def scan_series_matrix(lines: DataFrame) -> DataFrame:
     """(file, pos, sample, source_name, condition, traits): transposed sample annotation lines.
 
     The condition is Healthy when the source name says healthy, normal or control, else Disease;
-    ``traits`` maps each characteristic to its value.
+    ``traits`` maps each characteristic to its value; several lines of one are joined by "; ".
     """
     tag = F.regexp_extract("value", r"^!Sample_(\w+)\t", 1)
     cells = F.transform(
@@ -161,12 +172,16 @@ def scan_series_matrix(lines: DataFrame) -> DataFrame:
     long = usable.select("file", "tag", "line_no", F.col("v")[0].alias("_lead"), F.posexplode("v").alias("pos", "x"))
     key = F.regexp_replace(F.regexp_replace("_lead", r":.*$", ""), r"[^A-Za-z0-9._]", ".")
     value = F.regexp_replace("x", r"^[^:]+:\s*", "")
-    trait = F.when(F.col("tag") == "characteristics_ch1", F.struct(key.alias("k"), value.alias("v")))
     pick = lambda t: F.max(F.when(F.col("tag") == t, F.col("x")))
-    wide = long.groupBy("file", "pos").agg(
-        pick("title").alias("sample"), pick("source_name_ch1").alias("source_name"),
-        F.map_from_entries(F.array_distinct(F.collect_list(trait))).alias("traits"),
-    )
+    named = long.groupBy("file", "pos").agg(pick("title").alias("sample"), pick("source_name_ch1").alias("source_name"))
+    lines_of = F.array_sort(F.collect_set(F.struct("line_no", value.alias("v"))))
+    traits = (
+        long.where(F.col("tag") == "characteristics_ch1").groupBy("file", "pos", key.alias("k"))
+        .agg(F.array_join(F.array_distinct(F.transform(lines_of, lambda s: s["v"])), "; ").alias("v"))
+        .groupBy("file", "pos").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("traits"))
+    )
+    no_traits = F.create_map().cast("map<string,string>")
+    wide = named.join(traits, ["file", "pos"], "left").withColumn("traits", F.coalesce("traits", no_traits))
     healthy = F.lower("source_name").rlike("healthy|normal|control")
     return wide.withColumn(
         "condition", F.when(F.col("source_name").isNotNull(), F.when(healthy, "Healthy").otherwise("Disease"))
@@ -189,12 +204,17 @@ def record_count(json: Column) -> Column:
     return F.coalesce(*[c.cast("long") for c in counts], F.lit(0).cast("long"))
 
 
-def record_ids(json: Column, keys: Sequence[str], limit: int = 10) -> Column:
-    """First ``limit`` distinct ids: per record the first non-empty key."""
+def head_of(items: Column, limit: int | None) -> Column:
+    """The first ``limit`` items, all when it is None."""
+    return items if limit is None else F.slice(items, 1, limit)
+
+
+def record_ids(json: Column, keys: Sequence[str], limit: int | None = None) -> Column:
+    """Distinct ids, per record the first non-empty key; the first ``limit`` when given."""
     records = F.from_json(F.get_json_object(json, "$.records"), "array<map<string,string>>")
     first = lambda r: F.coalesce(*[F.nullif(F.try_element_at(r, F.lit(k)), F.lit("")) for k in keys])
     ids = F.array_distinct(F.filter(F.transform(records, first), lambda x: x.isNotNull()))
-    return F.array_join(F.coalesce(F.slice(ids, 1, limit), F.array().cast("array<string>")), ",")
+    return F.array_join(F.coalesce(head_of(ids, limit), F.array().cast("array<string>")), ",")
 
 
 # Id keys per database section and the evidence columns they fill.
@@ -206,7 +226,7 @@ EVIDENCE_SECTIONS = {
 }
 
 
-def scan_evidence_json(answers: DataFrame, limit: int = 10) -> DataFrame:
+def scan_evidence_json(answers: DataFrame, limit: int | None = None) -> DataFrame:
     """Evidence columns per gene from (gene, section, json)."""
     json = F.col("json")
     ok = F.coalesce(
@@ -233,7 +253,7 @@ def scan_evidence_json(answers: DataFrame, limit: int = 10) -> DataFrame:
         aggs.append(F.coalesce(only(name, record_ids(json, keys, limit)), none).alias(ids))
     aggs += [
         F.coalesce(only("opentargets", F.size(target_ids).cast("long")), zero).alias("opentargets_hits"),
-        F.coalesce(only("opentargets", F.array_join(F.slice(target_ids, 1, limit), ",")), none)
+        F.coalesce(only("opentargets", F.array_join(head_of(target_ids, limit), ",")), none)
         .alias("opentargets_target_ids"),
         F.coalesce(only("kegg", F.get_json_object(json, "$.pathway_count").try_cast("long")), zero)
         .alias("kegg_pathways"),
@@ -243,20 +263,23 @@ def scan_evidence_json(answers: DataFrame, limit: int = 10) -> DataFrame:
     return answers.groupBy("gene").agg(*aggs)
 
 
-def scan_affinity_json(documents: DataFrame, limit: int = 100) -> DataFrame:
-    """Ligand rows from saved affinity answers (file, value, target), at most ``limit`` per file.
+# Names under which an affinity answer holds its list.
+AFFINITY_RESPONSES = (
+    "getLindsByPDBsResponse", "getLigandsByPDBsResponse", "getLindsByUniprotsResponse",
+    "getLigandsByUniprotsResponse",
+)
+
+
+def scan_affinity_json(documents: DataFrame, limit: int | None = None) -> DataFrame:
+    """Ligand rows from saved affinity answers (file, value, target), the first ``limit`` per file when given.
 
     The list sits at the top or under one of the known response names.
     """
-    names = (
-        "getLindsByPDBsResponse", "getLigandsByPDBsResponse", "getLindsByUniprotsResponse",
-        "getLigandsByUniprotsResponse",
-    )
-    paths = [F.get_json_object("value", f"$.{n}.affinities") for n in names]
+    paths = [F.get_json_object("value", f"$.{n}.affinities") for n in AFFINITY_RESPONSES]
     items = F.from_json(
         F.coalesce(*paths, F.get_json_object("value", "$.affinities")), "array<map<string,string>>"
     )
-    rows = documents.select("file", "target", F.explode(F.slice(items, 1, limit)).alias("m"))
+    rows = documents.select("file", "target", F.explode(head_of(items, limit)).alias("m"))
     first = lambda *keys: F.coalesce(
         *[F.nullif(F.try_element_at("m", F.lit(k)), F.lit("")) for k in keys], F.lit(""))
     default = lambda c, d: F.when(c == "", d).otherwise(c)
@@ -270,8 +293,8 @@ def scan_affinity_json(documents: DataFrame, limit: int = 100) -> DataFrame:
     )
 
 
-def scan_link_table(lines: DataFrame, key: str = "gene", limit: int = 10) -> DataFrame:
-    """(gene, pathway_count, pathways): distinct second fields, the first ones in line order."""
+def scan_link_table(lines: DataFrame, key: str = "gene", limit: int | None = None) -> DataFrame:
+    """(gene, pathway_count, pathways): distinct second fields in line order, the first ``limit`` when given."""
     fields = F.split("value", "\t")
     seen = (
         lines.where(F.size(fields) >= 2).select(key, "line_no", fields[1].alias("pathway"))
@@ -279,7 +302,9 @@ def scan_link_table(lines: DataFrame, key: str = "gene", limit: int = 10) -> Dat
     )
     places = value_ranks(seen, "_at", [key]).select(key, "_at", F.col("min_rank").alias("_k"))
     counts = seen.groupBy(key).agg(F.count(F.lit(1)).alias("pathway_count"))
-    head = seen.join(places, [key, "_at"]).where(F.col("_k") <= limit).groupBy(key).agg(
+    chosen = seen.join(places, [key, "_at"])
+    chosen = chosen if limit is None else chosen.where(F.col("_k") <= limit)
+    head = chosen.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "pathway"))), lambda s: s["pathway"]), ",")
         .alias("pathways")
     )
@@ -480,6 +505,7 @@ def classify_files(files: DataFrame) -> DataFrame:
     )
 
 
+# Column names that hold the condition.
 CONDITION_ALIASES = (
     "condition", "group", "disease", "disease_status", "health_status", "histology", "cancer_type",
     "cancer.type", "tissue", "site", "tissue_sub", "sample_type", "status", "treatment",

@@ -40,8 +40,12 @@ def _portable_hash(row: Column) -> Column:
 
 
 def input_fingerprint(df: DataFrame, name: str) -> DataFrame:
-    """(name, rows, digest): order-insensitive content hash; duplicate rows count."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns])
+    """(name, rows, digest): order-insensitive content hash; duplicate rows count.
+
+    Every field is written with its length before it, so no two rows read alike.
+    """
+    field = lambda c: F.coalesce(F.concat(F.char_length(c), F.lit(":"), c), F.lit("-"))
+    text = F.concat_ws("|", *[field(F.col(f"`{c}`").cast("string")) for c in df.columns])
     return df.agg(
         F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(_portable_hash(text)), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest"),

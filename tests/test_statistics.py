@@ -2,6 +2,7 @@ import math
 import random
 import statistics as py
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +218,22 @@ def test_stratified_cap(spark):
     assert got == {"a": 60, "b": 60}
     assert sorted(r.cell for r in capped.collect()) == sorted(
         r.cell for r in ex.stratified_cap(df.repartition(5), "g", 60).collect())
+
+
+@pytest.mark.parametrize("entries", [10_000_000, 150])
+def test_coexpression_in_blocks(spark, monkeypatch, entries):
+    monkeypatch.setattr(st, "BLOCK_ENTRIES", entries)
+    monkeypatch.setattr(st, "SLICE_CELLS", 60)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(5, 40))
+    grid = np.vstack([base[i % 5] + rng.normal(scale=0.2 + 0.2 * (i // 5), size=40) for i in range(20)])
+    grid[rng.random(grid.shape) < 0.2] = 0
+    grid[19] = 3.0
+    rows = [(f"g{i}", f"s{j}", float(v)) for i, line in enumerate(grid) for j, v in enumerate(line) if v]
+    strength = np.nan_to_num(np.abs(np.corrcoef(grid)))
+    np.fill_diagonal(strength, 0)
+    df = spark.createDataFrame(rows, "gene string, sample string, value double")
+    got = {r["gene"]: r["hub_degree"] for r in st.coexpression_degree(df, cutoff=0.5).collect()}
+    assert got == {f"g{i}": float((strength[i] >= 0.5).sum()) for i in range(20)}
+    weak = {r["gene"]: r["hub_degree"] for r in st.coexpression_degree(df, cutoff=1.1).collect()}
+    assert weak == {f"g{i}": pytest.approx(strength[i].sum() / 20, abs=1e-9) for i in range(20)}
