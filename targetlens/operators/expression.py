@@ -334,9 +334,13 @@ def module_score(
 
 
 def cell_cycle_phase(
-    values: DataFrame, s_genes: DataFrame, g2m_genes: DataFrame, cells: DataFrame
+    values: DataFrame, s_genes: DataFrame, g2m_genes: DataFrame, cells: DataFrame, fewest: int = 5
 ) -> DataFrame:
-    """(cell, s_score, g2m_score, phase); the phase is G1 when neither score is positive."""
+    """(cell, s_score, g2m_score, phase); the phase is G1 when neither score is positive.
+
+    Both sets need ``fewest`` genes that are measured; otherwise, and where a score is missing, the
+    phase is NULL.
+    """
     sets = s_genes.select(F.lit("S").alias("set_name"), "gene").unionByName(
         g2m_genes.select(F.lit("G2M").alias("set_name"), "gene")
     )
@@ -344,11 +348,12 @@ def cell_cycle_phase(
         F.max(F.when(F.col("set_name") == "S", F.col("score"))).alias("s_score"),
         F.max(F.when(F.col("set_name") == "G2M", F.col("score"))).alias("g2m_score"),
     )
+    measured = sets.join(values.select("gene").distinct(), "gene", "left_semi")
+    usable = measured.groupBy("set_name").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.count(F.when(F.col("n") >= fewest, 1))).scalar()
     s, g = F.col("s_score"), F.col("g2m_score")
-    return wide.withColumn(
-        "phase",
-        F.when((s <= 0) & (g <= 0), "G1").when(s >= g, "S").otherwise("G2M"),
-    )
+    phase = F.when((s <= 0) & (g <= 0), "G1").when(s >= g, "S").when(s < g, "G2M")
+    return wide.withColumn("_usable", usable).withColumn("phase", F.when(F.col("_usable") == 2, phase)).drop("_usable")
 
 
 def regress_out(values: DataFrame, covariates: DataFrame, n_cells: Column, x1: str, x2: str) -> DataFrame:

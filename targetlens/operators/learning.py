@@ -273,9 +273,13 @@ def infer_task(df: DataFrame, label: str) -> str:
 def rescoring(train: DataFrame, score: DataFrame, label: str, model: str = "rf", seed: int = 42) -> DataFrame:
     """Train on (features array, label) and add ``ml_score`` to the rows to score.
 
-    The score is the probability of the second class, or the prediction of a regression.
+    The score is the probability (or the margin) of the second class, or the prediction of a
+    regression. Text labels are numbered in alphabetical order.
     """
     task = infer_task(train, label)
+    if train.schema[label].dataType.typeName() == "string":
+        indexer = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc").fit(train)
+        train = indexer.transform(train).drop(label).withColumnRenamed("_y", label)
     fit_rows = train.select(array_to_vector("features").alias("features"), F.col(label).cast("double").alias("label"))
     rows = score.withColumn("_raw", F.col("features")).withColumn("features", array_to_vector("features"))
     if task == "regression":
@@ -286,8 +290,11 @@ def rescoring(train: DataFrame, score: DataFrame, label: str, model: str = "rf",
     else:
         width = len(fit_rows.select("features").first()[0])
         estimator = build_classifier(model, width, 2, seed)
-        value = vector_to_array("probability")[1] if model != "svm" else F.col("prediction")
-    predicted = estimator.fit(fit_rows).transform(rows).withColumn("ml_score", value)
+        value = None
+    predicted = estimator.fit(fit_rows).transform(rows)
+    if value is None:  # machines without probabilities give their margin
+        value = vector_to_array("probability" if "probability" in predicted.columns else "rawPrediction")[1]
+    predicted = predicted.withColumn("ml_score", value)
     return predicted.select(*[c for c in score.columns if c != "features"], "ml_score")
 
 

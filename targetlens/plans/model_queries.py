@@ -153,11 +153,11 @@ def feature_importance(spark, folder):
 def permutation_importance(spark, folder):
     from pyspark.ml.feature import VectorAssembler
 
-    columns = ["x0", "x1", "x2"]
-    rows = _labelled(spark, folder).select("id", "label", *columns)
+    columns = [f"x{i}" for i in range(8)]
+    rows = _labelled(spark, folder)
     data = VectorAssembler(inputCols=columns, outputCol="features").transform(rows)
-    model = ml.build_classifier("lr", 3, 2).fit(data)
-    return rounded(ml.permutation_importance(model, rows, columns, "label", "id", repeats=1))
+    model = ml.build_classifier("lr", len(columns), 2).fit(data)
+    return rounded(ml.permutation_importance(model, rows, columns, "label", "id"))
 
 
 # Predictions for the report operators: labels against a score made from the text length.

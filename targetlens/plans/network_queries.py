@@ -150,18 +150,12 @@ def overlap_with_hubs(spark, folder):
 
 
 @register("venn_regions", """
-    WITH m AS (SELECT DISTINCT l_suppkey AS gene, p_type AS set_name
-      FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_discount >= 0.1)
+    WITH m AS (SELECT DISTINCT l_partkey AS gene, l_returnflag || l_linestatus AS set_name FROM lineitem)
     SELECT region, count(*) AS n FROM (SELECT gene, string_agg(set_name, '&' ORDER BY set_name) AS region
       FROM m GROUP BY 1) GROUP BY 1""")
 def venn_regions(spark, folder):
-    lines = b.table(spark, folder, "lineitem").where(F.col("l_discount") >= 0.1)
-    parts = b.table(spark, folder, "part")
-    return net.venn_regions(
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-            F.col("l_suppkey").alias("gene"), F.col("p_type").alias("set_name")
-        )
-    )
+    return net.venn_regions(b.table(spark, folder, "lineitem").select(
+        F.col("l_partkey").alias("gene"), F.concat("l_returnflag", "l_linestatus").alias("set_name")))
 
 
 CTPD = ("target_sources", "interactions", "edges", "disease_genes")
@@ -190,8 +184,7 @@ def betweenness(spark, folder):
     # Nations joined by suppliers and customers of the same line item.
     lines = b.table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey")
     orders = b.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    suppliers = b.table(spark, folder, "supplier").where(F.col("s_acctbal") > 0)
-    customers = b.table(spark, folder, "customer").where(F.col("c_acctbal") > 0)
+    suppliers, customers = b.table(spark, folder, "supplier"), b.table(spark, folder, "customer")
     trade = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -225,10 +218,9 @@ def intersect_keys(spark, folder):
         lines.where("l_returnflag = 'R'"), lines.where("l_returnflag = 'A'"), "key")
 
 
-@register("except_keys", """SELECT p_partkey AS key FROM part
-    EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 45""")
+@register("except_keys", """SELECT c_custkey AS key FROM customer
+    EXCEPT SELECT user_id FROM events""")
 def except_keys(spark, folder):
-    lines = b.table(spark, folder, "lineitem").where("l_quantity > 45")
     return net.except_keys(
-        b.table(spark, folder, "part").withColumnRenamed("p_partkey", "key"),
-        lines.withColumnRenamed("l_partkey", "key"), "key")
+        b.table(spark, folder, "customer").withColumnRenamed("c_custkey", "key"),
+        b.table(spark, folder, "events").withColumnRenamed("user_id", "key"), "key")

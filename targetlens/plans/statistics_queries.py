@@ -382,7 +382,7 @@ def deg_selection(spark, folder):
 @register("gsea")
 def gsea(spark, folder):
     deg = _deg(spark, folder, min_lfc=0.0, min_pct=0.0)
-    return rounded(st.gsea(deg, b.word_sets(spark, folder), permutations=100, smallest=5))
+    return rounded(st.gsea(deg, b.word_sets(spark, folder), smallest=5))
 
 
 LOG_SQL = """

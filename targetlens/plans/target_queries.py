@@ -116,11 +116,11 @@ def assign_case_normal(spark, folder):
 
 @register("attach_by_gene", sql(SIDES_SQL + """SELECT DISTINCT p_name AS gene, coalesce(n, 0) AS n FROM part
     LEFT JOIN (SELECT p_name AS g, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey
-    WHERE l_quantity = 50 AND l_discount = 0 GROUP BY 1) ON g = p_name""",
+    GROUP BY 1) ON g = p_name""",
     "counts", "cells", "expression", "samples"))
 def attach_by_gene(spark, folder):
     genes = b.table(spark, folder, "part").select(F.col("p_name").alias("gene")).distinct()
-    side = _lines(spark, folder).where("l_quantity = 50 AND l_discount = 0").groupBy(
+    side = _lines(spark, folder).groupBy(
         F.col("p_name").alias("gene")).agg(F.count(F.lit(1)).alias("n"))
     return tg.attach_by_gene(genes, side, {"n": 0})
 
@@ -281,7 +281,7 @@ FEEDBACK_SQL = """
 ko AS (SELECT p_name AS gene, max(p_size / 60.0) AS ts, max(p_retailprice / 2000) AS ks,
   arg_min(p_type, (p_partkey, p_type)) AS cls FROM part WHERE p_name NOT LIKE 'hot %' GROUP BY 1),
 dock0 AS (SELECT p_name AS gene, max(l_linenumber) AS hits FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE p_name NOT LIKE 'cold %' AND l_quantity > 49 GROUP BY 1),
+  WHERE p_name NOT LIKE 'cold %' GROUP BY 1),
 m AS (SELECT gene, concat_ws('|', CASE WHEN ts IS NOT NULL THEN 'knockout' END, CASE WHEN hits IS NOT NULL THEN 'docking' END)
   AS source, coalesce(cls, '') AS target_class, coalesce(ts, 0.5) AS target_score, coalesce(ks, 0.5) AS knockout_score,
   CASE WHEN hits IS NULL THEN '' ELSE 'ok' END AS docking_status, CAST(coalesce(hits, 0) AS BIGINT) AS docking_hits,
@@ -302,7 +302,7 @@ def feedback_merge(spark, folder):
         F.col("p_name").alias("gene"), (F.col("p_size") / 60.0).alias("target_score"),
         (F.col("p_retailprice") / 2000).alias("knockout_score"), F.col("p_partkey").alias("rank"),
         F.col("p_type").alias("target_class"))
-    dock = _lines(spark, folder).where("p_name NOT LIKE 'cold %' AND l_quantity > 49").select(
+    dock = _lines(spark, folder).where("p_name NOT LIKE 'cold %'").select(
         F.col("p_name").alias("gene"), F.lit("ok").alias("status"), F.col("l_linenumber").alias("hits"),
         F.lit("-8.5").alias("best_affinity"), F.lit("1ABC").alias("pdb_id"))
     return rounded(tg.feedback_merge(ko, dock))
@@ -448,3 +448,11 @@ def similarity_join(spark, folder):
     sets = b.table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"), F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("bits"))
     return rounded(sc.similarity_join(sets, 0.7))
+
+
+@register("similarity_members", r"""WITH w AS (SELECT doc_id AS id, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS bits FROM documents)
+    SELECT id, min(id) OVER (PARTITION BY bits) AS class_id, count(*) OVER (PARTITION BY bits) AS copies FROM w WHERE len(bits) > 0""")
+def similarity_members(spark, folder):
+    sets = b.table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("bits"))
+    return sc.similarity_members(sets)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -98,6 +98,14 @@ def append_once(path: str, key: str = "id") -> Callable[[DataFrame, int], None]:
     return write
 
 
+def latest_results(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
+    """One row per key of what ``append_once`` has written: an ok row if there is one, else the latest."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    columns = [c for c in rows.columns if c != "batch"]
+    newest = F.max_by(F.struct(*columns), F.struct((F.col("status") == "ok").alias("ok"), F.col("batch"), F.struct(*columns)))
+    return rows.groupBy(key).agg(newest.alias("r")).select("r.*")
+
+
 def stream_results_append(results: DataFrame, path: str, checkpoint: str, key: str = "id") -> StreamingQuery:
     """Idempotent append of finished work (key, status, ...)."""
     return (

@@ -98,3 +98,16 @@ def test_venn(spark):
     rows = [("a", "s1"), ("a", "s2"), ("b", "s1"), ("c", "s2"), ("c", "s2"), ("d", "s2")]
     got = {r.region: r.n for r in net.venn_regions(spark.createDataFrame(rows, "gene string, set_name string")).collect()}
     assert got == {"s1&s2": 1, "s1": 1, "s2": 2}
+
+
+def test_results_over_several_batches(spark, tmp_path):
+    """A key that fails, fails again and then succeeds has one ok row in the end."""
+    from targetlens.streaming.streams import latest_results, stream_results_append
+
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in ([(1, "failed"), (2, "ok")], [(1, "failed"), (2, "failed")], [(1, "ok"), (3, "failed")]):
+        spark.createDataFrame(rows, "id long, status string").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("id long, status string").parquet(source)
+        stream_results_append(stream, f"{out}/rows", f"{out}/state").awaitTermination()
+    got = {r["id"]: r["status"] for r in latest_results(spark, f"{out}/rows").collect()}
+    assert got == {1: "ok", 2: "ok", 3: "failed"}

@@ -208,3 +208,23 @@ def test_append_once(spark, tmp_path):
     write(spark.createDataFrame([("b", "ok"), ("c", "failed")], "id string, status string"), 1)
     got = sorted((r.id, r.status) for r in spark.read.parquet(str(tmp_path / "r")).collect())
     assert got == [("a", "ok"), ("b", "ok"), ("c", "failed")]
+
+
+def test_parsers_on_ordinary_variations(spark):
+    lines = [("a", 1, 'x,"C,1",C2'), ("a", 2, '"A,B",1,2'), ("a", 3, 'G"",0,3'), ("b", 1, "AAAC-1,AAAG-1"), ("b", 2, "TP53,4,0")]
+    df = spark.createDataFrame(lines, "file string, line_no int, value string")
+    got = {(r.file, r.gene, r.cell, r.value) for r in ps.scan_gene_csv(df).collect()}
+    assert got >= {("a", "A,B", "C,1", 1.0), ("a", "A,B", "C2", 2.0), ("b", "TP53", "AAAC-1", 4.0)} and len(got) == 4
+    names = spark.createDataFrame([("a", 1, "TP53"), ("a", 2, "TP53"), ("b", 1, "TP53")], "file string, pos long, name string")
+    assert sorted((r.file, r.name) for r in ps.make_unique(names).collect()) == [("a", "TP53"), ("a", "TP53.1"), ("b", "TP53")]
+    series = [
+        ("f", 1, '!Sample_title\t"s1"\t"s2"'), ("f", 2, '!Sample_characteristics_ch1\t"age: 1"\t"age: 2"'),
+        ("f", 3, '!Sample_characteristics_ch1\t"age: 3"\t"age: 2"'),
+    ]
+    rows = ps.scan_series_matrix(spark.createDataFrame(series, "file string, line_no int, value string")).collect()
+    assert {r["sample"]: dict(r.traits) for r in rows} == {"s1": {"age": "1; 3"}, "s2": {"age": "2"}}
+
+
+def test_fingerprint_tells_fields_apart(spark):
+    mark = lambda *row: sk.input_fingerprint(spark.createDataFrame([row], "a string, b string"), "t").first().digest
+    assert mark("a|b", "c") != mark("a", "b|c") and mark(None, "a") != mark("-", "a")
