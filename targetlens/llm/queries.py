@@ -91,4 +91,25 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_license_scan": op10_license_scan,
 }
-ORACLES: dict[str, str] = {}
+_WORDS = (
+    "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+)
+#: The contract in SQL, by comparing every run of words; the other queries are tested against
+#: libraries and brute force instead.
+ORACLES = {
+    "op4_decontamination": f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS run FROM
+      (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+    lens AS (SELECT DISTINCT n FROM win),
+    hit AS (SELECT DISTINCT doc_id, item_id, i, n FROM
+      (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS run FROM
+        (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d JOIN lens ON len(w) >= n)) JOIN win USING (run, n)),
+    places AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS spot FROM hit) GROUP BY 1),
+    items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM
+      (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit > 0, false) AS contaminated
+    FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
