@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from targetlens.session import shared_folder
 
+#: Rows of a few longs or short strings up to which a join side is sent to every executor.
+BROADCAST_ROWS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPACE_GAP = r"[\x20\x09-\x0D]+"
@@ -18,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Marked for broadcast if its counted ``rows`` are within the bound, else left to a shuffle join."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row.
 

@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from targetlens.llm.common import Scratch, boxed, let, plain_words, row_identity, same_row, unboxed
+from targetlens.llm.common import Scratch, bounded, boxed, let, plain_words, row_identity, same_row, unboxed
 
 WINDOW = 10
 SHINGLE = 5
-#: Benchmark rows (about 100 bytes each) up to which a side is sent to every executor.
-BROADCAST_ROWS = 200_000
 
 
 def _shingles(words: Column, size: int) -> Column:
@@ -44,11 +42,6 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return tokens, owned.select("item", "window")
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Marked for broadcast when its row count is within the bound; a shuffle join otherwise."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def occurrences(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
@@ -77,7 +70,7 @@ def occurrences(
         *row_identity(id_col, text_col),
         F.explode(let(plain_words(F.col(text_col)), places)).alias("e"),
     ).select("_id", "_h", "e.pos", "e.token")
-    hits = scratch.keep(found.join(_bounded(vocabulary, number), "token", "left_semi").distinct())
+    hits = scratch.keep(found.join(bounded(vocabulary, number), "token", "left_semi").distinct())
 
     rarity = hits.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     ranked = tokens.join(rarity, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
@@ -86,13 +79,13 @@ def occurrences(
         ranked.withColumn("rank", F.row_number().over(order)).where("rank = 1 and df > 0")
         .select("window", "len", "off", "token")
     )
-    candidates = hits.join(_bounded(prefixes, number), "token").select(
+    candidates = hits.join(bounded(prefixes, number), "token").select(
         "_id", "_h", (F.col("pos") - F.col("off")).alias("start"), "window", "len"
     ).where("start >= 0")
     needed = tokens.groupBy("window").agg(
         F.collect_list(F.struct("off", "token")).alias("parts"), F.count(F.lit(1)).alias("n_parts")
     )
-    asked = candidates.join(_bounded(needed, number), "window").select(
+    asked = candidates.join(bounded(needed, number), "window").select(
         "_id", "_h", "start", "len", "window", "n_parts", F.explode("parts").alias("p")
     ).select("_id", "_h", "start", "len", "window", "n_parts", (F.col("start") + F.col("p.off")).alias("pos"), F.col("p.token").alias("token"))
     there = hits.alias("t")

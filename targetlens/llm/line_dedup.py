@@ -2,70 +2,89 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from targetlens.llm.common import Scratch, boxed, row_identity, unboxed, without_lines
+from targetlens.llm.common import Scratch, bounded, boxed, row_identity, unboxed, without_lines
 from targetlens.llm.components import connected_components
-from targetlens.llm.linking import bucket_links
-from targetlens.llm.simhash_dedup import block_keys
+from targetlens.llm.linking import bucket_links, links_between
+from targetlens.llm.simhash_dedup import block_keys, close_members, hamming_near
 
 MIN_SIMILARITY = 0.8
 MAX_DISTANCE = 3
 BLOCKS = 6
-CHUNK = 1 << 16
-#: Edit distances are tried in these bounds first; each costs length x bound.
-EDIT_BOUNDS = (8, 64, 512)
-NOT_WORD = regex.compile(r"[^\p{L}\p{N}]+")
+WORD = re.compile(r"[^\W_]+")
+#: Total weight of a line up to which four counters fit in one 64-bit number.
+LANE = (1 << 16) - 1
+#: Words of the texts that are counted in one call, at least.
+WORDS_TOGETHER = 30_000
 
 
-def normalised(line: str) -> str:
-    """Lower case, letters and digits only; a line without any is taken as it is, blanks joined."""
-    return NOT_WORD.sub(" ", line.lower()).strip() or " ".join(line.split())
+def line_words(line: str) -> list[str]:
+    """Lower-case runs of letters and digits; a line without any gives its stretches between blanks."""
+    return WORD.findall(line.lower()) or line.split()
 
 
-def normalised_column(line: Column) -> Column:
-    """The same on columns."""
-    plain = F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
-    return F.when(plain != "", plain).otherwise(F.trim(F.regexp_replace(line, r"\s+", " ")))
+def normalised(line: str) -> str:
+    return " ".join(line_words(line))
 
 
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def line_fingerprints(lines: list[str]) -> np.ndarray:
-    """64-bit SimHash of each line's words, all lines of a text together."""
-    words = [line.split() for line in lines]
-    sizes = np.array([len(w) for w in words])
-    hashes = np.array([xxh64_intdigest(w) for ws in words for w in ws], dtype="<u8")
-    owner = np.repeat(np.arange(len(lines)), sizes)
-    counts = np.zeros((len(lines), 64), dtype=np.int64)
-    for at in range(0, len(hashes), CHUNK):
-        bits = np.unpackbits(hashes[at:at + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        part = owner[at:at + CHUNK]
-        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        counts[part[starts]] += np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little").view("<i8").ravel()
+def line_fingerprints(lines: list[list[str]]) -> np.ndarray:
+    """64-bit SimHash of each line's words, all lines of a text together.
+
+    A word weighs its length, as the short words of a language are in most lines: without weights
+    unlike lines would meet by chance. Counters of 16 bits are summed four to a number; a line too
+    heavy for them is counted bit by bit.
+    """
+    sizes = np.array([len(w) for w in lines])
+    words = [w for ws in lines for w in ws]
+    hashes = np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    weights = np.fromiter(map(len, words), dtype=np.uint64, count=len(words))
+    starts = np.cumsum(sizes) - sizes
+    totals = np.add.reduceat(weights, starts)
+    set_bits = np.zeros((len(lines), 64), dtype=bool)
+    for shift in range(16):
+        lanes = (hashes >> np.uint64(shift) & np.uint64(0x0001_0001_0001_0001)) * np.minimum(weights, LANE)
+        sums = np.add.reduceat(lanes, starts).astype("<u8").view("<u2").reshape(-1, 4)
+        set_bits[:, shift::16] = 2 * sums.astype(np.int64) > totals.astype(np.int64)[:, None]
+    for line in np.flatnonzero(totals > LANE):
+        part = slice(starts[line], starts[line] + sizes[line])
+        for bit in range(64):
+            held = weights[part][(hashes[part] >> np.uint64(bit) & np.uint64(1)).astype(bool)].sum()
+            set_bits[line, bit] = 2 * int(held) > int(totals[line])
+    return np.packbits(set_bits, axis=1, bitorder="little").view("<i8").ravel()
 
 
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of many texts are counted together: a call per text would cost more than its words."""
     for batch in batches:
-        rows, places, keys, prints = [], [], [], []
+        rows, places, keys, prints, held, n_words = [], [], [], [], [], 0
         for row, text in enumerate(batch.column(2)):
-            lines = [(i, normalised(x)) for i, x in enumerate((text.as_py() or "").split("\n")) if x and not x.isspace()]
-            if lines:
-                rows += [row] * len(lines)
-                places += [i for i, _ in lines]
-                keys += [signed(xxh64_intdigest(x)) for _, x in lines]
-                prints.append(line_fingerprints([x for _, x in lines]))
+            for i, line in enumerate((text.as_py() or "").split("\n")):
+                if line and not line.isspace():
+                    words = line_words(line)
+                    rows.append(row)
+                    places.append(i)
+                    keys.append(signed(xxh64_intdigest(" ".join(words))))
+                    held.append(words)
+                    n_words += len(words)
+            if n_words >= WORDS_TOGETHER:
+                prints.append(line_fingerprints(held))
+                held, n_words = [], 0
+        if held:
+            prints.append(line_fingerprints(held))
         take = pa.array(rows, pa.int64())
         yield pa.RecordBatch.from_arrays([
             batch.column(0).take(take), batch.column(1).take(take), pa.array(places, pa.int32()),
@@ -86,7 +105,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def wanted_lines(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, text) of the lines at the places (_id, _h, line, node) of ``wanted``."""
+    """(node, text) of the lines at the places (_id, _h, line, node) of ``wanted``, a written table."""
     lines = docs.select(
         *row_identity(id_col, text_col), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("line", "text")
     ).where(F.col("text").rlike(r"\S"))
@@ -94,17 +113,53 @@ def wanted_lines(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
         F.col("_id").alias("w_id"), F.col("_h").alias("w_h"), F.col("line").alias("w_line"), "node"
     )
     at = (F.col("_h") == F.col("w_h")) & (F.col("line") == F.col("w_line")) & F.col("_id").eqNullSafe(F.col("w_id"))
-    return lines.join(places, at).select("node", "text").dropDuplicates(["node"])
-
-
-def edit_similar(a: Column, b: Column, least: float = MIN_SIMILARITY) -> Column:
-    """1 - edit distance / longer length >= ``least``, in growing bounds so that close pairs are cheap."""
-    allowed = F.floor((1 - least) * F.greatest(F.char_length(a), F.char_length(b)) + 1e-9).cast("int")
-    out = F.levenshtein(a, b) <= allowed
-    for bound in reversed(EDIT_BOUNDS):
-        within = F.levenshtein(a, b, bound)
-        out = F.when(within >= 0, within <= allowed).when(allowed <= bound, F.lit(False)).otherwise(out)
-    return (F.abs(F.char_length(a) - F.char_length(b)) <= allowed) & out
+    return lines.join(bounded(places, places.count()), at).select("node", "text").dropDuplicates(["node"])
+
+
+def edit_distance(a: list[str], b: list[str]) -> int:
+    """Words to insert, delete or replace: bit-parallel, a column of the table is one integer."""
+    start = 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    end = 0
+    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[start:len(a) - end], b[start:len(b) - end]
+    if not a or not b:
+        return len(a) + len(b)
+    full, last, distance = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
+    where: dict[str, int] = {}
+    for i, word in enumerate(a):
+        where[word] = where.get(word, 0) | 1 << i
+    up, down = full, 0  # places where the column grows, shrinks by one
+    for word in b:
+        same = where.get(word, 0)
+        diagonal = (((same & up) + up) ^ up) | same | down
+        right, left = down | (full & ~(diagonal | up)), up & diagonal
+        distance += bool(right & last) - bool(left & last)
+        right, left = (right << 1 | 1) & full, left << 1 & full
+        same |= down
+        up, down = left | (full & ~(same | right)), right & same
+    return distance
+
+
+def similar_words(a: str, b: str, least: float = MIN_SIMILARITY) -> bool:
+    """1 - edit distance in words / words of the longer line >= ``least``."""
+    x, y = line_words(a), line_words(b)
+    allowed = int((1 - least) * max(len(x), len(y)) + 1e-9)
+    return abs(len(x) - len(y)) <= allowed and edit_distance(x, y) <= allowed
+
+
+@F.pandas_udf(T.BooleanType())
+def edit_similar(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([similar_words(x, y) for x, y in zip(a, b)], dtype=bool)
+
+
+def _similar_members(inside: pd.DataFrame):
+    """Lookup for ``links_between``: members with a close fingerprint and a similar line."""
+    close, _ = close_members(MAX_DISTANCE)(inside)
+    texts = dict(zip(inside["node"], inside["t"]))
+    return close, lambda end, other: similar_words(end.t, texts[other])
 
 
 def line_classes(
@@ -117,25 +172,28 @@ def line_classes(
     lines = scratch.keep(line_table(docs, id_col, text_col))
     place = F.struct(F.isnull("_id").alias("no"), F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("line").alias("line"))
     nodes = scratch.keep(lines.groupBy("node").agg(
-        F.min("fp").alias("fp"), F.count(F.lit(1)).alias("weight"), F.min(place).alias("first")
+        F.min("fp").alias("sketch"), F.count(F.lit(1)).alias("weight"), F.min(place).alias("first")
     ))
-    members = nodes.select(
-        F.explode(block_keys(F.col("fp"), BLOCKS, MAX_DISTANCE)).alias("bucket"), "node", "weight", F.col("fp").alias("sketch")
-    )
-    near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= MAX_DISTANCE
+    members = nodes.select(F.explode(block_keys(F.col("sketch"), BLOCKS, MAX_DISTANCE)).alias("bucket"), "node")
+
+    def line_texts(wanted_nodes: DataFrame) -> DataFrame:
+        wanted = scratch.keep(nodes.join(wanted_nodes.distinct(), "node", "left_semi").select(
+            F.col("first.id").alias("_id"), F.col("first.h").alias("_h"), F.col("first.line").alias("line"), "node"
+        ))
+        return scratch.keep(wanted_lines(docs, wanted, id_col, text_col).withColumnRenamed("text", "t"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = scratch.keep(pairs)
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = nodes.join(ends, "node", "left_semi").select(
-            F.col("first.id").alias("_id"), F.col("first.h").alias("_h"), F.col("first.line").alias("line"), "node"
-        )
-        texts = scratch.keep(wanted_lines(docs, wanted, id_col, text_col).select("node", normalised_column(F.col("text")).alias("t")))
+        texts = line_texts(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         left = texts.select(F.col("node").alias("a"), F.col("t").alias("ta"))
         right = texts.select(F.col("node").alias("b"), F.col("t").alias("tb"))
         return pairs.join(left, "a").join(right, "b").where(edit_similar(F.col("ta"), F.col("tb"))).select("a", "b")
 
-    links = bucket_links(members, near, verify, scratch)
+    def settle(ends: DataFrame, inside: DataFrame) -> DataFrame:
+        facts = line_texts(inside.select("node")).join(nodes.select("node", "sketch"), "node")
+        return links_between(ends, inside, facts, _similar_members)
+
+    links = bucket_links(members, nodes, hamming_near(MAX_DISTANCE), verify, scratch, settle)
     component = connected_components(links).withColumnRenamed("node", "n")
     placed = nodes.join(component, F.col("node") == F.col("n"), "left").select(
         "node", "first", F.coalesce("component", "node").alias("root")
@@ -158,7 +216,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Lines are split at line ends; blank ones always stay and are not counted. Lines whose
     normalised forms are equal, or whose fingerprints differ in at most MAX_DISTANCE bits and that
-    are edit-similar, form groups; the rest of a group goes wherever it stands, in the same text
+    are edit-similar in words, form groups; the rest of a group goes wherever it stands, in the same text
     too. A NULL text stays NULL. Repeated rows: the same places are kept in each of them. A text
     that loses all of its lines becomes empty, its row stays. An empty table gives no rows.
     """

@@ -4,56 +4,121 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from targetlens.llm.common import Scratch
+from targetlens.llm.common import Scratch, bounded
 
 Near = Callable[[Column, Column], Column]
+#: Rows of one side of a comparison task.
+PIECE = 4096
 
 
-def spokes(members: DataFrame, near: Near) -> tuple[DataFrame, DataFrame]:
-    """(near, far) rows (bucket, node, sketch, center) of each bucket's members and its center.
+def unordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def with_sketches(pairs: DataFrame, nodes: DataFrame, near: Near) -> DataFrame:
+    """The pairs (a, b) whose sketches are near."""
+    left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+    return pairs.join(left, "a").join(right, "b").where(near(F.col("sa"), F.col("sb"))).select("a", "b")
+
+
+def _spokes(members: DataFrame, near: Near) -> DataFrame:
+    """(bucket, node, sketch, center, close): each member and the center of its bucket.
 
-    ``members`` has bucket, node, weight and sketch; the center is the heaviest member, the
-    smallest node of equals. Its row is found by an aggregate that combines before the shuffle and
-    joined back, so a bucket of m members gives m - 1 rows.
+    The center is the heaviest member, the smallest node of equals. It is found by an aggregate
+    and joined back, so a bucket of m members gives m - 1 rows.
     """
     order = F.struct(F.col("weight"), (-F.col("node")).alias("minus"), F.col("node"), F.col("sketch"))
-    centers = members.groupBy("bucket").agg(F.max(order).alias("c"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    around = members.join(centers, "bucket").where(F.col("node") != F.col("c.node")).select(
+    centers = members.groupBy("bucket").agg(F.max(order).alias("c"))
+    return members.join(centers, "bucket").where(F.col("node") != F.col("c.node")).select(
         "bucket", "node", "sketch", F.col("c.node").alias("center"),
         near(F.col("sketch"), F.col("c.sketch")).alias("close"),
     )
-    return around.where("close").drop("close"), around.where("not close").drop("close")
-
-
-def unordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
 def bucket_links(
-    members: DataFrame, near: Near, verify: Callable[[DataFrame], DataFrame], scratch: Scratch
+    members: DataFrame, nodes: DataFrame, near: Near, verify: Callable[[DataFrame], DataFrame], scratch: Scratch,
+    settle: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> DataFrame:
     """Verified pairs (a, b) that connect everything the verified pairs of all buckets would.
 
-    Members that are verified against their bucket's center need no link among each other. Only
-    the others are compared with all members of the bucket, and of these only near ones become
-    pairs, so what is written grows with the links that are needed, not with the square of a
-    group of copies. ``near`` is the cheap test on sketches, ``verify`` the exact one.
+    ``members`` has (bucket, node), two longs; ``nodes`` has one row per node with weight and
+    sketch. Most buckets hold one node and some hold two: a count with the smallest and largest
+    node finds them. In larger buckets, members that are verified
+    against the bucket's center need no link among each other. Only the others are compared with
+    all members of the bucket, by ``settle`` (see ``links_between``), so what is written grows with
+    the links that are needed, not with the square of a group of copies. ``near`` is the cheap test
+    on sketches, ``verify`` the exact one; ``settle`` gets both sides as (bucket, node).
     """
-    members = scratch.keep(members)
-    close, far = spokes(members, near)
-    close = scratch.keep(close.select("bucket", "node", "sketch", "center"))
-    first = scratch.keep(verify(unordered(close, "node", "center")))
+    # two longs per row are dealt by bucket and counted there; partial counts would only be wider
+    crowds = scratch.keep(
+        members.select("bucket", "node").repartition("bucket").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+        .where("n > 1 and lo != hi")
+    )
+    twos = with_sketches(unordered(crowds.where("n = 2"), "lo", "hi"), nodes, near)
+    large = crowds.where("n > 2").select("bucket")
+    inside = members.join(bounded(large, large.count()), "bucket", "left_semi").distinct()
+    crowd = scratch.keep(inside.join(nodes.select("node", "weight", "sketch"), "node"))
+    around = scratch.keep(_spokes(crowd, near))
+    first = scratch.keep(verify(twos.unionByName(unordered(around.where("close"), "node", "center")).distinct()))
     sure = first.select(F.col("a").alias("sa"), F.col("b").alias("sb"))
-    failed = close.join(
+    ends = around.join(
         sure, (F.least("node", "center") == F.col("sa")) & (F.greatest("node", "center") == F.col("sb")), "left_anti"
-    )
-    open_ends = far.unionByName(failed).select("bucket", F.col("node").alias("x"), F.col("sketch").alias("x_sketch"), "center")
-    others = members.select("bucket", F.col("node").alias("y"), F.col("sketch").alias("y_sketch"))
-    rest = open_ends.join(others, "bucket").where(
-        (F.col("x") != F.col("y")) & (F.col("y") != F.col("center")) & near(F.col("x_sketch"), F.col("y_sketch"))
-    )
-    second = verify(unordered(rest, "x", "y"))
-    return scratch.keep(first.unionByName(second).distinct())
+    ).select("bucket", "node").distinct()
+    ends = scratch.keep(ends)
+    inside = scratch.keep(crowd.select("bucket", "node").join(ends.select("bucket").distinct(), "bucket", "left_semi"))
+    return scratch.keep(first.unionByName(settle(ends, inside)).distinct())
+
+
+def links_between(
+    ends: DataFrame, inside: DataFrame, facts: DataFrame, lookup: Callable[[pd.DataFrame], Callable]
+) -> DataFrame:
+    """Links (a, b) that connect ``ends`` (bucket, node) to the similar members ``inside`` their buckets.
+
+    Both sides of a bucket are dealt to pieces of about PIECE rows; a pair of pieces is compared
+    exactly and gives a spanning forest of its similar pairs, so a group of m near copies has a few
+    links per member, never its pairs. A call holds pairs of pieces with about 2 * PIECE rows in
+    all, as most buckets are small. ``facts`` has what
+    is compared per node; ``lookup`` turns the members of a piece into a function from an end to
+    the members that may be linked to it and, if that needs confirming, a test of an end and a
+    member, which is made only while the two are not connected yet.
+    """
+    pieces = lambda df, name: df.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias(f"{name}_rows"), F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias(f"n_{name}"))
+    counts = pieces(ends, "ends").join(pieces(inside, "inside"), "bucket")
+    rows = counts.agg(F.sum(F.expr("ends_rows * n_inside + inside_rows * n_ends"))).first()[0] or 0
+    calls = int(rows // (2 * PIECE)) + 1
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = ends.join(counts, "bucket").select("bucket", own("n_ends").alias("i"), upto("n_inside").alias("j"), "node", F.lit(True).alias("end"))
+    right = inside.join(counts, "bucket").select("bucket", upto("n_ends").alias("i"), own("n_inside").alias("j"), "node", F.lit(False).alias("end"))
+    dealt = left.unionByName(right).join(facts, "node")
+
+    def forest(part: pd.DataFrame) -> list[tuple[int, int]]:
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        (similar, confirm), out = lookup(part[~part["end"]]), []
+        for end in part[part["end"]].itertuples(index=False):
+            for other in similar(end):
+                a, b = root(int(end.node)), root(int(other))
+                if a != b and (confirm is None or confirm(end, other)):
+                    up[max(a, b)] = min(a, b)
+                    out.append((min(int(end.node), int(other)), max(int(end.node), int(other))))
+        return out
+
+    def forests(parts: pd.DataFrame) -> pd.DataFrame:
+        links = [link for _, part in parts.groupby(["bucket", "i", "j"], sort=False) for link in forest(part)]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    call = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(calls))
+    return dealt.groupBy(call.alias("call")).applyInPandas(forests, "a long, b long").distinct()

@@ -14,7 +14,7 @@ from xxhash import xxh64_intdigest
 
 from targetlens.llm.common import Scratch, boxed, row_identity, same_row, unboxed
 from targetlens.llm.components import connected_components
-from targetlens.llm.linking import bucket_links
+from targetlens.llm.linking import bucket_links, links_between
 
 SHINGLE = 3
 SEED = 42
@@ -64,20 +64,37 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def block_keys(fp: Column, blocks: int = BLOCKS, distance: int = MAX_DISTANCE) -> Column:
-    """Array of masked fingerprints with the number of the mask.
+    """Array of one long per choice of blocks: a hash of the choice and the bits of its blocks.
 
-    At most ``distance`` of the blocks can differ in a close pair, so the pair agrees in the mask
-    of at least one choice of ``blocks - distance`` blocks.
+    At most ``distance`` of the blocks can differ in a close pair, so the pair agrees in the key of
+    at least one choice of ``blocks - distance`` blocks. More blocks make longer keys, and so fewer
+    chance meetings, for more rows.
     """
     edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
     masks = []
     for chosen in combinations(range(blocks), blocks - distance):
         mask = sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in chosen)
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
-    return F.array(*[
-        F.struct(F.lit(i).alias("mask"), fp.bitwiseAND(F.lit(m)).alias("key"))
-        for i, m in enumerate(masks)
-    ])
+    return F.array(*[F.xxhash64(F.lit(i), fp.bitwiseAND(F.lit(m))) for i, m in enumerate(masks)])
+
+
+def hamming_near(distance: int):
+    return lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance
+
+
+def close_members(distance: int):
+    """Lookup for ``links_between``: members whose fingerprints are close to that of an end."""
+
+    def lookup(inside):
+        names, prints = inside["node"].to_numpy(), inside["sketch"].to_numpy().astype(np.uint64)
+
+        def close(end) -> np.ndarray:
+            bits = np.bitwise_count(prints ^ np.uint64(end.sketch & (1 << 64) - 1))
+            return names[bits <= distance]
+
+        return close, None
+
+    return lookup
 
 
 def close_links(nodes: DataFrame, scratch: Scratch, distance: int = MAX_DISTANCE) -> DataFrame:
@@ -85,12 +102,11 @@ def close_links(nodes: DataFrame, scratch: Scratch, distance: int = MAX_DISTANCE
 
     ``nodes`` has the distinct fingerprints ``fp`` and their numbers of copies ``weight``.
     """
-    members = nodes.select(
-        F.explode(block_keys(F.col("fp"), BLOCKS, distance)).alias("bucket"),
-        F.col("fp").alias("node"), "weight", F.col("fp").alias("sketch"),
-    )
-    near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance
-    return bucket_links(members, near, lambda pairs: pairs, scratch)
+    known = nodes.select(F.col("fp").alias("node"), "weight", F.col("fp").alias("sketch"))
+    members = nodes.select(F.explode(block_keys(F.col("fp"), BLOCKS, distance)).alias("bucket"), F.col("fp").alias("node"))
+    settle = lambda ends, inside: links_between(
+        ends, inside, known.select("node", "sketch"), close_members(distance))
+    return bucket_links(members, known, hamming_near(distance), lambda pairs: pairs, scratch, settle)
 
 
 def simhash_near_duplicates(
