@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from targetlens.llm.decontamination import keep_clean
 from targetlens.llm.line_dedup import dedup_lines
-from targetlens.llm.piece_codec import decode_pieces, encode_pieces
+from targetlens.llm.piece_codec import encode_pieces
 from targetlens.llm.quality_rules import keep_good
 from targetlens.llm.simhash_dedup import keep_one
 from targetlens.session import cut_lineage
@@ -37,10 +37,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, and whether decoding them gives its text back."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    both = decode_pieces(encode_pieces(docs, path), path)
-    return both.select(
-        "doc_id", "lang", "source", "n_chars", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
-        (F.col("decoded") == F.regexp_replace(F.coalesce("text", F.lit("")), "▁", " ")).alias("round_trip"),
+    return encode_pieces(docs, path, check_col="round_trip").select(
+        "doc_id", "lang", "source", "n_chars", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), "round_trip"
     )
 
 
