@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from targetlens.llm.decontamination import keep_clean
-from targetlens.llm.line_dedup import dedup_lines
+from targetlens.llm.line_dedup import dedup_lines, similar_characters
 from targetlens.llm.piece_codec import encode_pieces
 from targetlens.llm.quality_rules import keep_good
 from targetlens.llm.simhash_dedup import keep_one
@@ -21,7 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; every document stays, with ``n_chars`` of what is left of its text."""
-    return dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return dedup_lines(docs, similar=similar_characters).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,6 +18,8 @@ from targetlens.llm.components import connected_components
 from targetlens.llm.linking import bucket_links, links_between
 from targetlens.llm.simhash_dedup import block_keys, close_members, hamming_near
 
+Similar = Callable[[str, str], bool]
+
 MIN_SIMILARITY = 0.8
 MAX_DISTANCE = 3
 BLOCKS = 6
@@ -116,8 +118,11 @@ def wanted_lines(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
     return lines.join(bounded(places, places.count()), at).select("node", "text").dropDuplicates(["node"])
 
 
-def edit_distance(a: list[str], b: list[str]) -> int:
-    """Words to insert, delete or replace: bit-parallel, a column of the table is one integer."""
+def edit_distance(a: Sequence[str], b: Sequence[str], most: int | None = None) -> int:
+    """Words (or characters) to insert, delete or replace: bit-parallel, a column of the table is one integer.
+
+    With ``most``, a larger distance may come out as ``most + 1``, as soon as it is sure.
+    """
     start = 0
     while start < min(len(a), len(b)) and a[start] == b[start]:
         start += 1
@@ -132,11 +137,13 @@ def edit_distance(a: list[str], b: list[str]) -> int:
     for i, word in enumerate(a):
         where[word] = where.get(word, 0) | 1 << i
     up, down = full, 0  # places where the column grows, shrinks by one
-    for word in b:
+    for left_over, word in zip(range(len(b) - 1, -1, -1), b):
         same = where.get(word, 0)
         diagonal = (((same & up) + up) ^ up) | same | down
         right, left = down | (full & ~(diagonal | up)), up & diagonal
         distance += bool(right & last) - bool(left & last)
+        if most is not None and distance - left_over > most:
+            return most + 1
         right, left = (right << 1 | 1) & full, left << 1 & full
         same |= down
         up, down = left | (full & ~(same | right)), right & same
@@ -150,20 +157,34 @@ def similar_words(a: str, b: str, least: float = MIN_SIMILARITY) -> bool:
     return abs(len(x) - len(y)) <= allowed and edit_distance(x, y) <= allowed
 
 
-@F.pandas_udf(T.BooleanType())
-def edit_similar(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similar_words(x, y) for x, y in zip(a, b)], dtype=bool)
+def similar_characters(a: str, b: str, least: float = MIN_SIMILARITY) -> bool:
+    """1 - edit distance / length of the longer line >= ``least``, on the normalised lines."""
+    x, y = normalised(a), normalised(b)
+    allowed = int((1 - least) * max(len(x), len(y)) + 1e-9)
+    return abs(len(x) - len(y)) <= allowed and edit_distance(x, y, allowed) <= allowed
+
+
+def edit_similar(similar: Similar):
+    @F.pandas_udf(T.BooleanType())
+    def tested(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([similar(x, y) for x, y in zip(a, b)], dtype=bool)
+
+    return tested
 
 
-def _similar_members(inside: pd.DataFrame):
+def similar_members(distance: int, similar: Similar):
     """Lookup for ``links_between``: members with a close fingerprint and a similar line."""
-    close, _ = close_members(MAX_DISTANCE)(inside)
-    texts = dict(zip(inside["node"], inside["t"]))
-    return close, lambda end, other: similar_words(end.t, texts[other])
+
+    def lookup(inside: pd.DataFrame):
+        close, _ = close_members(distance)(inside)
+        texts = dict(zip(inside["node"], inside["t"]))
+        return close, lambda end, other: similar(end.t, texts[other])
+
+    return lookup
 
 
 def line_classes(
-    docs: DataFrame, id_col: str, text_col: str, scratch: Scratch
+    docs: DataFrame, id_col: str, text_col: str, scratch: Scratch, similar: Similar = similar_words
 ) -> DataFrame:
     """(_id, _h, line, kept) of every line with text; one line of each connected group is kept.
 
@@ -187,11 +208,11 @@ def line_classes(
         texts = line_texts(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         left = texts.select(F.col("node").alias("a"), F.col("t").alias("ta"))
         right = texts.select(F.col("node").alias("b"), F.col("t").alias("tb"))
-        return pairs.join(left, "a").join(right, "b").where(edit_similar(F.col("ta"), F.col("tb"))).select("a", "b")
+        return pairs.join(left, "a").join(right, "b").where(edit_similar(similar)(F.col("ta"), F.col("tb"))).select("a", "b")
 
     def settle(ends: DataFrame, inside: DataFrame) -> DataFrame:
         facts = line_texts(inside.select("node")).join(nodes.select("node", "sketch"), "node")
-        return links_between(ends, inside, facts, _similar_members)
+        return links_between(ends, inside, facts, similar_members(MAX_DISTANCE, similar))
 
     links = bucket_links(members, nodes, hamming_near(MAX_DISTANCE), verify, scratch, settle)
     component = connected_components(links).withColumnRenamed("node", "n")
@@ -210,18 +231,20 @@ def line_classes(
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: Similar = similar_words
+) -> DataFrame:
     """``docs`` with the text of ``text_col`` less its repeated lines, and n_lines, n_kept added as
     ``_n_lines`` and ``_n_kept``.
 
     Lines are split at line ends; blank ones always stay and are not counted. Lines whose
     normalised forms are equal, or whose fingerprints differ in at most MAX_DISTANCE bits and that
-    are edit-similar in words, form groups; the rest of a group goes wherever it stands, in the same text
+    are ``similar``, form groups (the queries take ``similar_characters``); the rest of a group goes wherever it stands, in the same text
     too. A NULL text stays NULL. Repeated rows: the same places are kept in each of them. A text
     that loses all of its lines becomes empty, its row stays. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
-    classes = line_classes(docs, id_col, text_col, scratch)
+    classes = line_classes(docs, id_col, text_col, scratch, similar)
     per_row = classes.distinct().groupBy("_id", "_h").agg(
         F.count(F.lit(1)).alias("_n_lines"), F.count(F.when(F.col("kept"), 1)).alias("_n_kept"),
         F.collect_list(F.when(~F.col("kept"), F.col("line"))).alias("gone"),

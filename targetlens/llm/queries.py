@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from targetlens.llm.common import table
 from targetlens.llm.decontamination import contamination
 from targetlens.llm.html_extraction import extract_main_text
-from targetlens.llm.line_dedup import dedup_lines
+from targetlens.llm.line_dedup import dedup_lines, similar_characters
 from targetlens.llm.license_scan import license_report
 from targetlens.llm.pii import personal_data_report
 from targetlens.llm.piece_codec import piece_report
@@ -21,7 +21,7 @@ from targetlens.llm.token_counts import count_tokens
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select(
+    return dedup_lines(docs, similar=similar_characters).select(
         "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_kept").alias("n_kept"),
         F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
     )
