@@ -1,4 +1,4 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, components."""
+"""Fuzzy line dedup: MinHash bands over character n-grams (or SimHash blocks), edit similarity, components."""
 
 from __future__ import annotations
 
@@ -23,6 +23,19 @@ Similar = Callable[[str, str], bool]
 MIN_SIMILARITY = 0.8
 MAX_DISTANCE = 3
 BLOCKS = 6
+#: Characters of an n-gram, MinHash values of a line, and how many of 64 low bits of them may
+#: differ in a pair that is worth an edit check; see the recall in the README and in the tests.
+GRAM = 5
+VALUES = 72
+MAX_SKETCH_DISTANCE = 26
+#: Characters up to which a line has bands of two values: a typo changes most n-grams of a short line.
+SHORT = 32
+#: N-grams that are counted in one call.
+GRAMS_TOGETHER = 1 << 16
+_RNG = np.random.default_rng(31)
+_TIMES = _RNG.integers(0, 1 << 31, VALUES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PLUS = _RNG.integers(0, 1 << 32, VALUES, dtype=np.uint32)
+_POWERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(GRAM)], dtype=np.uint64)
 WORD = re.compile(r"[^\W_]+")
 #: Total weight of a line up to which four counters fit in one 64-bit number.
 LANE = (1 << 16) - 1
@@ -69,6 +82,67 @@ def line_fingerprints(lines: list[list[str]]) -> np.ndarray:
     return np.packbits(set_bits, axis=1, bitorder="little").view("<i8").ravel()
 
 
+def gram_sketches(lines: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """64 low bits of MinHash values of each normalised line's n-grams, and its band keys.
+
+    Lines of up to SHORT characters have keys of two values, lines that can be similar to longer
+    ones have keys of three; those in between have both, so any two similar lines share a kind.
+    """
+    sizes = np.array([len(x) for x in lines])
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    padded = np.concatenate([codes, np.zeros(GRAM, dtype=np.uint64)])
+    place = np.arange(len(codes))
+    left = np.repeat(np.cumsum(sizes), sizes) - place  # characters of the line from here on
+    grams = np.zeros(len(codes), dtype=np.uint64)
+    for k in range(GRAM):
+        grams += np.where(left > k, padded[place + k] * _POWERS[k], np.uint64(0))
+    is_start = place == np.repeat(np.cumsum(sizes) - sizes, sizes)
+    grams = grams[(left >= GRAM) | is_start]
+    grams ^= grams >> np.uint64(29)
+    short = (grams * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
+    counts = np.maximum(sizes - GRAM + 1, 1)
+    ends = np.cumsum(counts)
+    values = np.empty((len(lines), VALUES), dtype=np.uint32)
+    first = 0
+    while first < len(lines):  # a bounded number of grams together, a line at least
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] - counts[first] + GRAMS_TOGETHER, "right")))
+        base = ends[first] - counts[first]
+        part, starts = short[base:ends[last - 1]], ends[first:last] - counts[first:last] - base
+        for i in range(VALUES):
+            values[first:last, i] = np.minimum.reduceat(part * _TIMES[i] + _PLUS[i], starts)
+        first = last
+    # low bits of a product are poor: mix before one is taken
+    mixed = (values * np.uint32(0x9E3779B1)) >> np.uint32(31)
+    sketch = np.packbits(mixed[:, :64].astype(bool), axis=1, bitorder="little").view("<i8").ravel()
+
+    def keys(width: int) -> np.ndarray:
+        key = np.zeros((len(lines), VALUES // width), dtype=np.uint64)
+        for k in range(width):
+            key = (key ^ values[:, k::width][:, :VALUES // width]) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(32)
+        return ((key + np.arange(VALUES // width, dtype=np.uint64)) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(width)).view(np.int64)
+
+    two, three = keys(2), keys(3)
+    wide = sizes >= MIN_SIMILARITY * (SHORT + 1) - 1e-9
+    return sketch, [
+        np.concatenate([two[i] if sizes[i] <= SHORT else two[i, :0], three[i] if wide[i] else three[i, :0]])
+        for i in range(len(lines))
+    ]
+
+
+def _gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, sketch, bands) of (node, text)."""
+    for batch in batches:
+        lines = [normalised(t) for t in batch.column(1).to_pylist()]
+        if lines:
+            sketch, bands = gram_sketches(lines)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(sketch, pa.int64()),
+                pa.ListArray.from_arrays(
+                    pa.array(np.cumsum([0, *map(len, bands)]), pa.int32()), pa.array(np.concatenate(bands), pa.int64())),
+            ], names=["node", "sketch", "bands"])
+
+
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines of many texts are counted together: a call per text would cost more than its words."""
     for batch in batches:
@@ -184,7 +258,7 @@ def similar_members(distance: int, similar: Similar):
 
 
 def line_classes(
-    docs: DataFrame, id_col: str, text_col: str, scratch: Scratch, similar: Similar = similar_words
+    docs: DataFrame, id_col: str, text_col: str, scratch: Scratch, similar: Similar = similar_words, grams: bool = False
 ) -> DataFrame:
     """(_id, _h, line, kept) of every line with text; one line of each connected group is kept.
 
@@ -195,7 +269,7 @@ def line_classes(
     nodes = scratch.keep(lines.groupBy("node").agg(
         F.min("fp").alias("sketch"), F.count(F.lit(1)).alias("weight"), F.min(place).alias("first")
     ))
-    members = nodes.select(F.explode(block_keys(F.col("sketch"), BLOCKS, MAX_DISTANCE)).alias("bucket"), "node")
+    distance = MAX_SKETCH_DISTANCE if grams else MAX_DISTANCE
 
     def line_texts(wanted_nodes: DataFrame) -> DataFrame:
         wanted = scratch.keep(nodes.join(wanted_nodes.distinct(), "node", "left_semi").select(
@@ -203,6 +277,14 @@ def line_classes(
         ))
         return scratch.keep(wanted_lines(docs, wanted, id_col, text_col).withColumnRenamed("text", "t"))
 
+    if grams:
+        sketched = scratch.keep(line_texts(nodes.select("node")).select("node", "t").mapInArrow(
+            _gram_batches, "node long, sketch long, bands array<long>"))
+        members = sketched.select(F.explode("bands").alias("bucket"), "node")
+        nodes = scratch.keep(nodes.drop("sketch").join(sketched.drop("bands"), "node"))
+    else:
+        members = nodes.select(F.explode(block_keys(F.col("sketch"), BLOCKS, MAX_DISTANCE)).alias("bucket"), "node")
+
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = scratch.keep(pairs)
         texts = line_texts(pairs.select(F.explode(F.array("a", "b")).alias("node")))
@@ -212,9 +294,9 @@ def line_classes(
 
     def settle(ends: DataFrame, inside: DataFrame) -> DataFrame:
         facts = line_texts(inside.select("node")).join(nodes.select("node", "sketch"), "node")
-        return links_between(ends, inside, facts, similar_members(MAX_DISTANCE, similar))
+        return links_between(ends, inside, facts, similar_members(distance, similar))
 
-    links = bucket_links(members, nodes, hamming_near(MAX_DISTANCE), verify, scratch, settle)
+    links = bucket_links(members, nodes, hamming_near(distance), verify, scratch, settle)
     component = connected_components(links).withColumnRenamed("node", "n")
     placed = nodes.join(component, F.col("node") == F.col("n"), "left").select(
         "node", "first", F.coalesce("component", "node").alias("root")
@@ -232,19 +314,22 @@ def line_classes(
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: Similar = similar_words
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: Similar = similar_words,
+    grams: bool = False,
 ) -> DataFrame:
     """``docs`` with the text of ``text_col`` less its repeated lines, and n_lines, n_kept added as
     ``_n_lines`` and ``_n_kept``.
 
     Lines are split at line ends; blank ones always stay and are not counted. Lines whose
-    normalised forms are equal, or whose fingerprints differ in at most MAX_DISTANCE bits and that
-    are ``similar``, form groups (the queries take ``similar_characters``); the rest of a group goes wherever it stands, in the same text
+    normalised forms are equal, or whose fingerprints differ in at most MAX_DISTANCE bits (with
+    ``grams``: that share a MinHash band of their character n-grams and differ in at most
+    MAX_SKETCH_DISTANCE bits of the sketch) and that are ``similar``, form groups (the queries take
+    ``grams`` and ``similar_characters``); the rest of a group goes wherever it stands, in the same text
     too. A NULL text stays NULL. Repeated rows: the same places are kept in each of them. A text
     that loses all of its lines becomes empty, its row stays. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
-    classes = line_classes(docs, id_col, text_col, scratch, similar)
+    classes = line_classes(docs, id_col, text_col, scratch, similar, grams)
     per_row = classes.distinct().groupBy("_id", "_h").agg(
         F.count(F.lit(1)).alias("_n_lines"), F.count(F.when(F.col("kept"), 1)).alias("_n_kept"),
         F.collect_list(F.when(~F.col("kept"), F.col("line"))).alias("gone"),
