@@ -15,7 +15,7 @@ from targetlens.llm.pii import personal_data_report
 from targetlens.llm.piece_codec import piece_report
 from targetlens.llm.quality_rules import quality_report
 from targetlens.llm.simhash_dedup import simhash_near_duplicates
-from targetlens.llm.substring_dedup import repeated_passages
+from targetlens.llm.substring_dedup import repeated_paragraphs
 from targetlens.llm.token_counts import count_tokens
 
 
@@ -52,8 +52,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return repeated_passages(docs).select(
-        F.col("_id").alias("doc_id"), F.col("kept_id").alias("kept_doc_id"), "line", "kept_line", "n_words", "class_id", "kept"
+    return repeated_paragraphs(docs).select(
+        F.col("_id").alias("doc_id"), F.col("kept_id").alias("kept_doc_id"), "line", "kept_line", "n_words", "class_id", "kept",
+        "across", "run_words", "passage_words", "in_passage",
     )
 
 
