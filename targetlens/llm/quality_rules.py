@@ -12,10 +12,13 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SKETCH_K = 1024
 MIN_GROUP = 200
-FENCE = 6.0
-#: Two-sided width that a rate may always have around its median, whatever its spread.
-SLACK = {
-    "symbol_rate": 0.04, "dup_line_rate": 0.60, "repeat_rate": 0.20, "mean_word": 4.0, "shout_rate": 0.40,
+#: Inner and tail quantile of a rate, how many of their distances a limit lies outside the tail, and the
+#: distance that counts if a group has less spread. Most rates are zero in most texts, so those that good
+#: texts have as well look at the last hundredth; symbols and word lengths, of which a twentieth of all
+#: texts is junk, at the last tenth. Calibrated on labels.quality, see the README.
+TAILS = {
+    "symbol_rate": (0.5, 0.9, 2.0, 0.005), "dup_line_rate": (0.9, 0.99, 1.0, 0.05), "repeat_rate": (0.9, 0.99, 1.0, 0.02),
+    "mean_word": (0.5, 0.9, 2.0, 0.05), "shout_rate": (0.9, 0.99, 1.0, 0.01),
 }
 UPPER_SIDE_ONLY = ("symbol_rate", "dup_line_rate", "repeat_rate", "shout_rate")
 
@@ -93,9 +96,9 @@ def learned_limits(rates: DataFrame) -> DataFrame:
     ``rates`` holds lang, source and the rates of the documents that pass the base rules. Each
     (lang, source) has its own sketch; a group of under ``MIN_GROUP`` rows takes the limits of the
     merged sketches of its language, and of all languages if those are too few as well. A limit
-    lies ``FENCE`` interquartile widths outside the quartiles, and never within ``SLACK`` of the median.
+    lies outside a tail quantile, by a multiple of its distance from an inner one (``TAILS``).
     """
-    names = list(SLACK)
+    names = list(TAILS)
     group = rates.groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(n, F.lit(SKETCH_K)).alias(n) for n in names]
     )
@@ -116,10 +119,10 @@ def learned_limits(rates: DataFrame) -> DataFrame:
     ])
     at = lambda n, q: F.kll_sketch_get_quantile_double(n, F.lit(q))
     limits = []
-    for n in names:
-        width, slack = at(n, 0.75) - at(n, 0.25), F.lit(SLACK[n])
-        limits.append(F.greatest(at(n, 0.75) + FENCE * width, at(n, 0.5) + slack).alias(f"high_{n}"))
-        low = F.least(at(n, 0.25) - FENCE * width, at(n, 0.5) - slack)
+    for n, (inner, tail, fence, least) in TAILS.items():
+        width = lambda x, y: F.lit(fence) * F.greatest(y - x, F.lit(least))
+        limits.append((at(n, tail) + width(at(n, inner), at(n, tail))).alias(f"high_{n}"))
+        low = at(n, 1 - tail) - width(at(n, 1 - tail), at(n, 1 - inner))
         limits.append((F.lit(float("-inf")) if n in UPPER_SIDE_ONLY else low).alias(f"low_{n}"))
     return scratch.keep(chosen.select("lang", "source", *limits))
 
