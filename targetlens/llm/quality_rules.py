@@ -11,7 +11,8 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SKETCH_K = 1024
-MIN_GROUP = 200
+#: Rows at which a group's own quantiles count as much as those of its language, and a language's as much as all.
+HALF_WEIGHT = 200
 #: Inner and tail quantile of a rate, how many of their distances a limit lies outside the tail, and the
 #: distance that counts if a group has less spread. Most rates are zero in most texts, so those that good
 #: texts have as well look at the last hundredth; symbols and word lengths, of which a twentieth of all
@@ -94,8 +95,8 @@ def learned_limits(rates: DataFrame) -> DataFrame:
     """(lang, source, low_<rate>, high_<rate>) from mergeable quantile sketches.
 
     ``rates`` holds lang, source and the rates of the documents that pass the base rules. Each
-    (lang, source) has its own sketch; a group of under ``MIN_GROUP`` rows takes the limits of the
-    merged sketches of its language, and of all languages if those are too few as well. A limit
+    (lang, source) has its own sketch; its quantiles are blended by row count with those of the merged
+    sketches of its language, and these with those of all languages, so no size is a switch. A limit
     lies outside a tail quantile, by a multiple of its distance from an inner one (``TAILS``).
     """
     names = list(TAILS)
@@ -112,19 +113,19 @@ def learned_limits(rates: DataFrame) -> DataFrame:
     )
     everything = merged(group).select(*[F.col(n).alias(f"all_{n}") for n in names])
     wide = group.join(lang, F.col("lang").eqNullSafe(F.col("_lang"))).join(F.broadcast(everything))
-    chosen = wide.select("lang", "source", *[
-        F.when(F.col("n") >= MIN_GROUP, F.col(n))
-        .when(F.col("n_lang") >= MIN_GROUP, F.col(f"lang_{n}")).otherwise(F.col(f"all_{n}")).alias(n)
-        for n in names
-    ])
-    at = lambda n, q: F.kll_sketch_get_quantile_double(n, F.lit(q))
+    own, lang_own = (F.col(c) / (F.col(c) + HALF_WEIGHT) for c in ("n", "n_lang"))
+
+    def at(name: str, q: float) -> Column:
+        group, lang, overall = (F.kll_sketch_get_quantile_double(s + name, F.lit(q)) for s in ("", "lang_", "all_"))
+        return own * group + (1 - own) * (lang_own * lang + (1 - lang_own) * overall)
+
     limits = []
     for n, (inner, tail, fence, least) in TAILS.items():
         width = lambda x, y: F.lit(fence) * F.greatest(y - x, F.lit(least))
         limits.append((at(n, tail) + width(at(n, inner), at(n, tail))).alias(f"high_{n}"))
         low = at(n, 1 - tail) - width(at(n, 1 - tail), at(n, 1 - inner))
         limits.append((F.lit(float("-inf")) if n in UPPER_SIDE_ONLY else low).alias(f"low_{n}"))
-    return scratch.keep(chosen.select("lang", "source", *limits))
+    return scratch.keep(wide.select("lang", "source", *limits))
 
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:

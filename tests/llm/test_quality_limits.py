@@ -39,3 +39,23 @@ def test_limits_differ_between_groups(spark):
     limits = {r["source"]: r for r in learned_limits(rates(spark, ("en", "a", 1000, 0.1), ("en", "b", 1000, 0.4))).collect()}
     for name in TAILS:
         assert limits["b"][f"high_{name}"] > 1.8 * limits["a"][f"high_{name}"], name
+
+
+def test_limits_move_smoothly_with_size(spark):
+    """A source of its own kind next to a large one: its limits leave the language's little by little."""
+    high = []
+    for n in (50, 150, 199, 200, 250, 1000, 4000):
+        limits = learned_limits(rates(spark, ("en", "a", 4000, 0.1), ("en", "b", n, 0.4))).where("source = 'b'").first()
+        high.append(limits["high_symbol_rate"])
+    assert abs(high[3] - high[2]) < 0.02 * high[2]
+    assert high[0] < 0.8 * high[5] and high[1] < high[5] <= 1.02 * high[6]
+
+
+def test_the_same_limits_for_labelled_texts(spark):
+    """Good texts stay and bad ones go, also where every source is small."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_report(docs).where("not base_failed").join(labels, "doc_id").groupBy("quality").agg(
+        {"*": "count", "kept": "count_if"}).collect()
+    share = {r["quality"]: r["count_if(kept)"] / r["count(1)"] for r in got}
+    print(share)
+    assert share[1] >= 0.97 and share[0] <= 0.05
