@@ -12,6 +12,7 @@ from targetlens.llm.html_extraction import extract_main_text
 from targetlens.llm.line_dedup import dedup_lines, similar_characters
 from targetlens.llm.license_scan import license_report
 from targetlens.llm.pii import personal_data_report
+from targetlens.llm.phrases import collocations
 from targetlens.llm.piece_codec import piece_report
 from targetlens.llm.quality_rules import quality_report
 from targetlens.llm.simhash_dedup import simhash_near_duplicates
@@ -80,6 +81,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
@@ -91,6 +96,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_license_scan": op10_license_scan,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 _WORDS = (
     "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -113,4 +119,26 @@ ORACLES = {
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit > 0, false) AS contaminated
     FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op13_phrase_collocations": """
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+    g AS (SELECT lang, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM
+      (SELECT lang, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS t(n) WHERE len(w) >= n)),
+    f AS (SELECT lang, n, phrase, count(*) AS a FROM g GROUP BY ALL),
+    totals AS (SELECT lang, sum(a) AS total FROM f WHERE n = 1 GROUP BY 1),
+    c AS (SELECT lang, n, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE n > 1 AND a >= 30),
+    cuts AS (SELECT lang, n, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:n], ' ') AS tail FROM
+      (SELECT *, unnest(range(1, n)) AS k FROM c)),
+    scored AS (SELECT cuts.lang, cuts.n, cuts.phrase, cuts.a, k, h.a AS l, t.a AS r,
+        CAST(2000000 AS HUGEINT) * cuts.a // (h.a + t.a) AS score
+      FROM cuts JOIN f AS h ON h.lang = cuts.lang AND h.phrase = head JOIN f AS t ON t.lang = cuts.lang AND t.phrase = tail),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    covers AS (SELECT lang, phrase, max(a) AS cover FROM
+      (SELECT lang, a, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM
+        (SELECT *, unnest(range(1, n - size + 2)) AS i FROM (SELECT *, unnest(range(2, n)) AS size FROM c))) GROUP BY 1, 2),
+    ranked AS (SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS rank
+      FROM best LEFT JOIN covers USING (lang, phrase) WHERE cover IS NULL OR 100 * cover < 80 * a)
+    SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, CAST(total AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
