@@ -29,7 +29,7 @@ SCALE = 2_000_000
 COVERED_PERCENT = 80
 UNKNOWN_LANG = "und"
 #: Bytes of text that are hashed in one call; a longer text is a call of its own.
-SLAB_BYTES = 1 << 22
+SLAB_BYTES = 1 << 20
 #: Most bits of a Bloom filter (16 MB): beyond some ten million members it lets more rows pass.
 MOST_BITS = 1 << 27
 BITS_PER_MEMBER = 16
