@@ -12,12 +12,14 @@ from targetlens.llm.html_extraction import extract_main_text
 from targetlens.llm.line_dedup import dedup_lines, similar_characters
 from targetlens.llm.license_scan import license_report
 from targetlens.llm.pii import personal_data_report
+from targetlens.llm.periodic_runs import run_digest
 from targetlens.llm.phrases import collocations
 from targetlens.llm.piece_codec import piece_report
 from targetlens.llm.quality_rules import quality_report
 from targetlens.llm.simhash_dedup import simhash_near_duplicates
 from targetlens.llm.substring_dedup import repeated_paragraphs
 from targetlens.llm.token_counts import count_tokens
+from targetlens.llm.warc import archived_pages
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +83,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(table(spark, sf_dir, "documents"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -96,6 +106,8 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_warc": op11_warc,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 _WORDS = (
@@ -119,6 +131,15 @@ ORACLES = {
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit > 0, false) AS contaminated
     FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_warc": """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+    t AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS top FROM p)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+      array_to_string(list_transform(range(0, 4), lambda i: array_to_string(list_transform(range(7, -1, -1), lambda j:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, 1 + 10 * i, 10) AS BIGINT) >> (5 * j)) & 31), 1)), '')), '') AS payload_digest,
+      CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+    FROM t""",
     "op13_phrase_collocations": """
     WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
