@@ -2,7 +2,7 @@
 
 Fingerprints come from numpy prefix polynomials over bytes (words) and over words (n-grams). A
 phrase can be frequent only if its parts are, so words are counted first, then pairs of frequent
-words, then longer phrases of frequent pairs: nothing frequent is lost and rare n-grams, nearly all
+words, then longer phrases of frequent parts: nothing frequent is lost and rare n-grams, nearly all
 of a corpus, are shuffled at most once. What tasks need to know of the level before is a Bloom
 filter of bounded size, whose false hits only cost rows. Counted fingerprints carry a document as
 pointer and the range of a second fingerprint; the phrase is read at its pointer, and where
@@ -185,30 +185,32 @@ def _frequent(rows: DataFrame, least: int, scratch: Scratch) -> DataFrame:
     return scratch.keep(rows.groupBy("fp").agg(F.sum("c").alias("c")).where(F.col("c") >= least).select("fp"))
 
 
+def _candidates(slab: Slab, words: np.ndarray, hasher: Hasher, filters: list[Filter], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, fingerprints, places): the phrases in one piece whose parts the filters of the levels below hold."""
+    below = None
+    for n in range(1, longest + 1):
+        fps = hasher.of_phrases(slab, words, n)
+        if not len(fps):
+            return
+        ok = np.ones(len(fps), dtype=bool) if n == 1 else slab.whole(n) & below[:-1] & below[1:]
+        if n <= len(filters):
+            ok[ok] = filters[n - 1].holds(fps[ok])
+        yield n, fps, np.flatnonzero(ok)
+        below = ok
+
+
 def _level_counts(
-    docs: DataFrame, hasher: Hasher, other: Hasher, words_in: Filter, pairs_in: Filter | None, least: int, longest: int, scratch: Scratch
+    docs: DataFrame, hasher: Hasher, other: Hasher, filters: list[Filter], least: int, longest: int, scratch: Scratch
 ) -> DataFrame:
-    """(n, fp, lang, c, doc, lo, hi) of the phrases whose count may reach ``least``; n = 0: words of a language."""
+    """(n, fp, c, doc, lo, hi) of the phrases whose count may reach ``least``."""
 
     def rows_of(slab: Slab, keys: np.ndarray) -> dict:
         words, seconds = hasher.of_words(slab), other.of_words(slab)
         parts = {k: [] for k in ("n", "fp", "c", "doc", "lo", "hi")}
-        common = words_in.holds(hasher.of_phrases(slab, words, 1))
-        pairs = np.zeros(0, dtype=bool)
-        if pairs_in is not None and len(words) > 1:
-            pairs = slab.whole(2) & common[1:] & common[:-1]
-            pairs[pairs] = pairs_in.holds(hasher.of_phrases(slab, words, 2)[pairs])
-        for n in range(1, longest + 1):
-            size = len(words) - n + 1
-            if size < 1:
-                break
-            ok = common if n == 1 else slab.whole(n)
-            for k in range(n - 1):
-                ok = ok & pairs[k:k + size]
-            at = np.flatnonzero(ok)
+        for n, prints, at in _candidates(slab, words, hasher, filters, longest):
             if not len(at):
                 continue
-            fps, twins = hasher.of_phrases(slab, words, n)[at], other.of_phrases(slab, seconds, n)[at]
+            fps, twins = prints[at], other.of_phrases(slab, seconds, n)[at]
             order = np.argsort(fps, kind="stable")
             fps, twins, at = fps[order], twins[order].view(np.int64), at[order]
             first = np.flatnonzero(np.concatenate([[True], fps[1:] != fps[:-1]]))
@@ -287,21 +289,15 @@ def phrase_counts(
     hasher, other = Hasher(17, bits), Hasher(71)
     plain = docs.select("text", "lang", F.lit(0).cast("long").alias("doc"))
 
-    def words_of(slab: Slab, keys: np.ndarray) -> dict:
-        return _counted(hasher.of_phrases(slab, hasher.of_words(slab), 1))
-
-    words = _frequent(_scan(plain, words_of, "fp long, c long"), least, scratch)
-    words_in, pairs_in = Filter(words, words.count()), None
-    if longest > 1:
-        def pairs_of(slab: Slab, keys: np.ndarray) -> dict:
-            words = hasher.of_words(slab)
-            common = words_in.holds(hasher.of_phrases(slab, words, 1))
-            fps = hasher.of_phrases(slab, words, 2)
-            return _counted(fps[slab.whole(2) & common[1:] & common[:-1]] if len(words) > 1 else fps)
-
-        pairs = _frequent(_scan(plain, pairs_of, "fp long, c long"), least, scratch)
-        pairs_in = Filter(pairs, pairs.count())
-    found = _level_counts(docs, hasher, other, words_in, pairs_in, least, longest, scratch)
+    filters: list[Filter] = []
+    for _ in range(max(1, longest - 1)):
+        def level_of(slab: Slab, keys: np.ndarray, filters: list[Filter] = filters, n: int = len(filters) + 1) -> dict:
+            found = [fps[at] for k, fps, at in _candidates(slab, hasher.of_words(slab), hasher, filters, n) if k == n]
+            return _counted(found[0] if found else np.zeros(0, dtype=np.uint64))
+
+        level = _frequent(_scan(plain, level_of, "fp long, c long"), least, scratch)
+        filters.append(Filter(level, level.count()))
+    found = _level_counts(docs, hasher, other, filters, least, longest, scratch)
     texts = scratch.keep(_read_phrases(docs, found, hasher, other, scratch))
     both = found.join(texts, ["n", "fp"])
     same = (F.col("lo") == F.col("twin")) & (F.col("hi") == F.col("twin"))
