@@ -17,7 +17,7 @@ from targetlens.llm.phrases import collocations
 from targetlens.llm.piece_codec import piece_report
 from targetlens.llm.quality_rules import quality_report
 from targetlens.llm.simhash_dedup import simhash_near_duplicates
-from targetlens.llm.substring_dedup import repeated_paragraphs
+from targetlens.llm.substring_dedup import passage_report
 from targetlens.llm.token_counts import count_tokens
 from targetlens.llm.warc import archived_pages
 
@@ -55,10 +55,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return repeated_paragraphs(docs).select(
-        F.col("_id").alias("doc_id"), F.col("kept_id").alias("kept_doc_id"), "line", "kept_line", "n_words", "class_id", "kept",
-        "across", "run_words", "passage_words", "in_passage",
-    )
+    return passage_report(docs).withColumnRenamed("_id", "doc_id")
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
