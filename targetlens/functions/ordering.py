@@ -18,38 +18,72 @@ from pyspark.sql import functions as F
 from targetlens.session import cut_lineage
 
 ONE_TASK_ROWS = 500_000
-RANGES = 2048
+#: Ranges that a range with too many rows is cut into, again and again until none has too many.
+RANGES = 256
+#: Cut ranges up to which their borders are sent to every executor.
+BROADCAST_CUTS = 1000
 
 
-def _range_cuts(per_value: DataFrame, value: str, by: Sequence[str] = ()) -> list:
-    """Range borders when some group of the (materialised) rows is too large for one task."""
-    sizes = per_value.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    if (sizes.agg(F.max("n")).first()[0] or 0) <= ONE_TASK_ROWS:
-        return []
-    probes = [i / RANGES for i in range(1, RANGES)]
-    cuts = per_value.agg(F.percentile_approx(value, probes, 10 * RANGES)).first()[0]
-    return sorted(set(cuts or []))
+def _matched(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """``left`` with the other columns of the matching rows of ``right``; NULL keys match each other."""
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    other = right.withColumnsRenamed(names)
+    same = F.lit(True)
+    for k, name in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(name))
+    return left.join(other, same, how).drop(*names.values())
+
+
+def _too_large(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.where(F.col("_n") > ONE_TASK_ROWS).drop("_n")
 
 
-def _range_of(value: Column, cuts: list) -> Column:
-    """Number of cuts that are <= value, by binary search in a literal array."""
-    size = 1
-    while size * 2 <= len(cuts):
+def _cuts_at_or_below(value: Column, cuts: Column) -> Column:
+    """Number of the sorted ``cuts`` that are <= value, by binary search; 0 for a NULL value or no cuts."""
+    steps, size = [], 1
+    while size < RANGES:
         size *= 2
-    steps = []
-    while size:
-        steps.append(size)
-        size //= 2
-    borders = F.array(*[F.lit(c) for c in cuts])
+        steps.insert(0, size // 2)
 
     def advance(position: Column, step: Column) -> Column:
         probe = position + step
-        inside = (probe <= len(cuts)) & (F.try_element_at(borders, probe) <= value)
+        inside = (probe <= F.size(cuts)) & (F.try_element_at(cuts, probe) <= value)
         return F.when(inside, probe).otherwise(position)
 
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
+def _ranged(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame | None:
+    """(Materialised) rows with ``_range``, which follows the order of ``value`` inside a group.
+
+    None if every group fits one task. Otherwise groups and ranges of more than ONE_TASK_ROWS rows are
+    cut into RANGES ranges at approximate quantiles of their own until none is too large, so ranges
+    grow in number with the data and borders are rows of a table, which is written: a repeated task
+    cuts at the same places.
+    """
+    keys = list(by)
+    if not keys:
+        if rows.count() <= ONE_TASK_ROWS:
+            return None
+    elif _too_large(rows, keys).isEmpty():
+        return None
+    probes = [i / RANGES for i in range(1, RANGES)]
+    nodes = [*keys, "_range"]
+    ranged = rows.withColumn("_range", F.lit(0).cast("long"))
+    while True:
+        large = cut_lineage(_too_large(ranged, nodes))
+        n = large.count()
+        if not n:
+            return ranged
+        few = F.broadcast if n <= BROADCAST_CUTS else lambda df: df
+        inside = _matched(ranged, few(large), nodes, "inner")
+        cuts = cut_lineage(inside.groupBy(*nodes).agg(F.array_distinct(F.percentile_approx(value, probes, 16 * RANGES)).alias("_cuts")))
+        step = _cuts_at_or_below(F.col(value), F.col("_cuts"))
+        ranged = _matched(ranged, few(cuts), nodes, "left").withColumn(
+            "_range", F.col("_range") * RANGES + F.when(F.col("_cuts").isNull(), 0).otherwise(F.coalesce(step, F.lit(0)))).drop("_cuts")
+
+
 def running_totals(
     df: DataFrame,
     value: str,
@@ -62,12 +96,11 @@ def running_totals(
     per_value = cut_lineage(
         df.groupBy(*keys, value).agg(*[c.alias(n) for n, c in sums.items()])
     )
-    cuts = _range_cuts(per_value, value, keys)
+    ranged = _ranged(per_value, value, keys)
     direction = F.col(value).desc() if descending else F.col(value).asc()
-    if not cuts:
+    if ranged is None:
         upto = W.partitionBy(*keys).orderBy(direction).rowsBetween(W.unboundedPreceding, 0)
         return per_value.withColumns({f"cum_{n}": F.sum(n).over(upto) for n in sums})
-    ranged = per_value.withColumn("_range", _range_of(F.col(value), cuts))
     range_order = F.col("_range").desc() if descending else F.col("_range").asc()
     before = W.partitionBy(*keys).orderBy(range_order).rowsBetween(W.unboundedPreceding, -1)
     shifts = (
@@ -81,7 +114,7 @@ def running_totals(
     inside = (
         W.partitionBy(*keys, "_range").orderBy(direction).rowsBetween(W.unboundedPreceding, 0)
     )
-    joined = ranged.join(shifts, [*keys, "_range"])
+    joined = _matched(ranged, shifts, [*keys, "_range"], "inner")
     return joined.withColumns(
         {f"cum_{n}": F.sum(n).over(inside) + F.col(f"_before_{n}") for n in sums}
     ).drop("_range", *[f"_before_{n}" for n in sums])
@@ -160,7 +193,8 @@ def bh_adjust(
     """Add Benjamini-Hochberg adjusted p-values; a missing p counts as 1."""
     keys = list(by)
     tests = cut_lineage(df.withColumn("_p", F.coalesce(F.col(p_value), F.lit(1.0))))
-    if not _range_cuts(tests, "_p", keys):
+    fits = tests.count() <= ONE_TASK_ROWS if not keys else _too_large(tests, keys).isEmpty()
+    if fits:
         up = W.partitionBy(*keys).orderBy("_p")
         down = W.partitionBy(*keys).orderBy(F.col("_p").desc())  # with all ties of the current p
         share = F.col("_p") * F.count(F.lit(1)).over(W.partitionBy(*keys)) / F.row_number().over(up)
@@ -180,17 +214,17 @@ def suffix_minimum(
 ) -> DataFrame:
     """Per (by, value): the least ``target`` at this value or any larger one."""
     keys = list(by)
-    cuts = _range_cuts(df, value, keys)
+    ranged = _ranged(df, value, keys)
     inside_keys = keys
-    if cuts:
-        df = df.withColumn("_range", _range_of(F.col(value), cuts))
+    if ranged is not None:
+        df = ranged
         inside_keys = [*keys, "_range"]
     down = (
         W.partitionBy(*inside_keys).orderBy(F.col(value).desc())
         .rowsBetween(W.unboundedPreceding, 0)
     )
     out = df.withColumn(name, F.min(target).over(down))
-    if cuts:
+    if ranged is not None:
         after = W.partitionBy(*keys).orderBy(F.col("_range").desc()).rowsBetween(
             W.unboundedPreceding, -1
         )
@@ -198,7 +232,7 @@ def suffix_minimum(
             df.groupBy(*inside_keys).agg(F.min(target).alias("_m"))
             .select(*inside_keys, F.min("_m").over(after).alias("_later"))
         )
-        out = out.join(later, inside_keys).withColumn(name, F.least(name, "_later"))
+        out = _matched(out, later, inside_keys, "inner").withColumn(name, F.least(name, "_later"))
     return out.select(*keys, value, name)
 
 

@@ -445,15 +445,31 @@ def coexpression_degree(spark, folder):
     return st.coexpression_degree(_matrix(spark, folder), cutoff=0.4)
 
 
-@register("cox_median_split")
+COX_SQL = """
+surv AS (SELECT o_custkey AS sample, CAST(date_diff('day', min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE))) AS DOUBLE) AS months,
+  max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS status FROM orders GROUP BY 1),
+j AS (SELECT gene, months, status, value FROM counts JOIN surv ON cell = sample WHERE months > 0),
+arm AS (SELECT j.gene, months, status, value > med AS high FROM j JOIN (SELECT gene, median(value) AS med FROM j GROUP BY 1) m ON m.gene = j.gene),
+t AS (SELECT gene, months, count(*) FILTER (high) AS r1, count(*) FILTER (NOT high) AS r0,
+  count(*) FILTER (status > 0 AND high) AS d1, count(*) FILTER (status > 0) AS d FROM arm GROUP BY 1, 2),
+risk AS (SELECT gene, d1, d, CAST(sum(r1) OVER w AS DOUBLE) AS n1, CAST(sum(r0) OVER w AS DOUBLE) AS n0 FROM t
+  WINDOW w AS (PARTITION BY gene ORDER BY months DESC)),
+terms AS (SELECT * FROM risk WHERE d > 0),
+newton AS (SELECT gene, 0 AS i, CAST(0 AS DOUBLE) AS beta FROM terms GROUP BY gene
+  UNION ALL
+  SELECT gene, any_value(i) + 1, greatest(-3.0, least(3.0, any_value(beta) + greatest(-1.0, least(1.0,
+    coalesce(sum(d1 - d * share) / nullif(sum(d * share * (1 - share)), 0), 0)))))
+  FROM (SELECT n.gene, i, beta, d1, d, n1 * exp(beta) / (n1 * exp(beta) + n0) AS share FROM newton n JOIN terms ON terms.gene = n.gene WHERE i < 25)
+  GROUP BY gene),
+sizes AS (SELECT gene, count(*) AS n, count(*) FILTER (status > 0) AS events FROM arm GROUP BY 1)
+"""
+
+
+@register("cox_median_split", sql(COX_SQL + "SELECT sizes.gene, " + rsql("CASE WHEN n >= 20 AND events >= 5 THEN exp(coalesce(beta, 0)) ELSE 1.0 END AS hr", digits=5)
+    + " FROM sizes LEFT JOIN newton ON newton.gene = sizes.gene AND i = 25", "counts").replace("WITH ", "WITH RECURSIVE ", 1))
 def cox_median_split(spark, folder):
     orders = b.table(spark, folder, "orders")
     survival = orders.groupBy(F.col("o_custkey").alias("sample")).agg(
         F.date_diff(F.max("o_orderdate"), F.min("o_orderdate")).cast("double").alias("months"),
         F.max((F.col("o_orderstatus") == "F").cast("int")).alias("status"))
-    customers = b.table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("sample"),
-        F.explode(F.create_map(
-            F.lit("balance"), F.col("c_acctbal"), F.lit("nation"), F.col("c_nationkey").cast("double")
-        )).alias("gene", "value"))
-    return rounded(st.cox_median_split(customers, survival))
+    return rounded(st.cox_median_split(b.counts(spark, folder).withColumnRenamed("cell", "sample"), survival), digits=5)

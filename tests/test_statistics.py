@@ -22,6 +22,42 @@ def way(request, monkeypatch):
     return request.param
 
 
+def test_ranges_are_cut_again_until_they_fit(spark, monkeypatch):
+    """Two levels and more through every caller give what one task gives; NULL groups included."""
+    from targetlens.operators import learning as ml
+
+    rng = random.Random(12)
+    rows = [(i, None if i % 4 == 0 else f"g{i % 3}", float(rng.randint(0, 400)), rng.random() < 0.4) for i in range(900)]
+    df = spark.createDataFrame(rows + [(1000, "g0", None, True)], "k int, g string, v double, yes boolean").cache()
+    life = spark.createDataFrame([(i, float(rng.randint(1, 300)), int(rng.random() < 0.7)) for i in range(900)], "sample int, months double, status int")
+    one = F.when(F.col("yes"), 1).otherwise(0)
+
+    def answers():
+        return {name: sorted((tuple(r) for r in found.collect()), key=repr) for name, found in {
+            "pct": od.pct_rank(df, "v", "s", descending=True), "pct_by": od.pct_rank(df.where("g IS NOT NULL"), "v", "s", ["g"]),
+            "totals": od.running_totals(df, "v", {"n": F.count(F.lit(1)), "y": F.sum(one)}, ["g"], descending=True),
+            "bh": od.bh_adjust(df.withColumn("p", F.col("v") / 401), "p"), "quantiles": od.quantiles(df, "v", {"a": 0.1, "b": 0.5, "c": 0.93}),
+            "rank_sum": st.rank_sum(df.where("g IS NOT NULL"), "v", F.col("yes"), ["g"]),
+            "auc": ml.ranking_quality(df.where("v IS NOT NULL").select(one.alias("label"), F.col("v").alias("score"))),
+            "cox": st.cox_median_split(df.select(F.coalesce("g", F.lit("x")).alias("gene"), F.col("k").alias("sample"), F.col("v").alias("value")), life),
+            "suffix": od.suffix_minimum(df.groupBy("v").agg(F.min("k").alias("t")), "v", "t", "m"),
+        }.items()}
+
+    expected = answers()
+    monkeypatch.setattr(od, "ONE_TASK_ROWS", 12)
+    monkeypatch.setattr(od, "RANGES", 4)
+    ranged = od._ranged(df.where("v IS NOT NULL").groupBy("g", "v").agg(F.count(F.lit(1)).alias("n")), "v", ["g"])
+    sizes = [r["count"] for r in ranged.groupBy("g", "_range").count().collect()]
+    assert max(sizes) <= 12 and len(sizes) > 4 * 4  # more ranges than one level can give a group
+    assert sorted(ranged.agg(F.count_distinct("_range")).first()) > [4 * 4]
+    got = answers()
+    for name, rows in expected.items():
+        assert len(got[name]) == len(rows)
+        for a, b in zip(got[name], rows):
+            assert a == pytest.approx(b, nan_ok=True) if all(isinstance(x, (int, float)) for x in b) else all(
+                x == pytest.approx(y) if isinstance(y, float) else x == y for x, y in zip(a, b)), name
+
+
 def average_ranks(values):
     order = sorted(values)
     return [order.index(v) + (order.count(v) + 1) / 2 for v in values]
