@@ -139,6 +139,34 @@ def test_knn_against_brute_force(spark, block):
         assert len({x[1] for x in got[i]} | {i}) == 5
 
 
+def test_knn_of_string_ids(spark):
+    rng = np.random.default_rng(3)
+    v = np.concatenate([rng.normal(0, 1, (60, 3)), np.ones((30, 3))])
+    names = [f"cell-{(i * 37) % 90:02d}" for i in range(90)]
+    df = spark.createDataFrame([(n, x.tolist()) for n, x in zip(names, v)], "id string, v array<double>")
+    rows = em.knn_graph(df, 3, block=8).collect()
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    for i, name in enumerate(names):
+        order = sorted((round(d[i, j], 9), names[j]) for j in range(90) if j != i)[:3]
+        assert [(round(r.distance, 6), r.neighbour) for r in sorted(rows, key=lambda r: r["rank"]) if r.id == name] == [
+            (pytest.approx(x, abs=1e-5), n) for x, n in order]
+
+
+def test_searched_leaves_do_not_grow_with_the_points(spark):
+    searched, number = [], []
+    for n in (2500, 10000, 40000):
+        side = float(np.sqrt(n))
+        points = spark.range(n).select(F.col("id").alias("n"), F.array(F.rand(3) * side, F.rand(4) * side).alias("v"))
+        placed, nodes = em.pivot_tree(points, 64)
+        sizes = [r["count"] for r in placed.groupBy("node").count().collect()]
+        assert max(sizes) <= 64 and sum(sizes) == n
+        leaves = nodes.join(nodes.selectExpr("parent AS node"), "node", "left_anti").selectExpr(
+            "node AS leaf", "center AS center_a", "radius AS radius_a", "2.0D AS reach")
+        number.append(leaves.count())
+        searched.append(em.leaf_pairs(leaves, nodes).count() / number[-1])
+    assert number[2] > 8 * number[0] and searched[2] < 1.5 * searched[0]
+
+
 def test_clusters_and_batches(spark):
     links = [(a, b) for g in (range(0, 5), range(10, 15)) for a in g for b in g if a < b]
     df = spark.createDataFrame(links, "id long, neighbour long")
