@@ -84,17 +84,30 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: list[str] = []
+        self.tables: list[tuple[DataFrame, str]] = []
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = shared_folder(self.spark, "table")
         df.write.parquet(path)
         self.paths.append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((kept, path))
+        return kept
+
+    def _delete(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
     def drop(self, keep_last: int = 0) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         cut = len(self.paths) - keep_last
         for path in self.paths[:cut]:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+            self._delete(path)
         self.paths = self.paths[cut:]
+
+    def only(self, *needed: DataFrame) -> None:
+        """Delete every table but these, which ``keep`` has returned."""
+        wanted = {path for df, path in self.tables if any(df is x for x in needed)}
+        for path in self.paths:
+            if path not in wanted:
+                self._delete(path)
+        self.paths = [path for path in self.paths if path in wanted]
