@@ -1,4 +1,8 @@
-"""Fuzzy line dedup: MinHash bands over character n-grams (or SimHash blocks), edit similarity, components."""
+"""Fuzzy line dedup: SimHash and pigeonhole blocks of normalised lines, edit similarity, components.
+
+Three forms of fingerprint: ``segments`` (the registered one, see ``line_blocks``), block choices of a
+64-bit SimHash of words, and MinHash bands over character n-grams (``grams``).
+"""
 
 from __future__ import annotations
 
@@ -13,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
+from targetlens.llm import line_blocks
 from targetlens.llm.common import Scratch, bounded, boxed, row_identity, unboxed, without_lines
 from targetlens.llm.components import connected_components
 from targetlens.llm.linking import bucket_links, links_between
@@ -37,6 +42,7 @@ _TIMES = _RNG.integers(0, 1 << 31, VALUES, dtype=np.uint32) * np.uint32(2) + np.
 _PLUS = _RNG.integers(0, 1 << 32, VALUES, dtype=np.uint32)
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(GRAM)], dtype=np.uint64)
 WORD = re.compile(r"[^\W_]+")
+MARK = re.compile(r"(?:[^\w\s]|_)+")
 #: Total weight of a line up to which four counters fit in one 64-bit number.
 LANE = (1 << 16) - 1
 #: Words of the texts that are counted in one call, at least.
@@ -49,7 +55,8 @@ def line_words(line: str) -> list[str]:
 
 
 def normalised(line: str) -> str:
-    return " ".join(line_words(line))
+    """The words of a line in lower case with single blanks, as ``line_words`` finds them."""
+    return " ".join(MARK.sub(" ", line.lower()).split()) or " ".join(line.split())
 
 
 def signed(value: int) -> int:
@@ -258,26 +265,31 @@ def similar_members(distance: int, similar: Similar):
 
 
 def line_classes(
-    docs: DataFrame, id_col: str, text_col: str, scratch: Scratch, similar: Similar = similar_words, grams: bool = False
+    docs: DataFrame, id_col: str, text_col: str, scratch: Scratch, similar: Similar = similar_words, grams: bool = False,
+    segments: bool = False,
 ) -> DataFrame:
     """(_id, _h, line, kept) of every line with text; one line of each connected group is kept.
 
     The kept one is the first of the group by (id, text hash, line), NULL ids last.
     """
-    lines = scratch.keep(line_table(docs, id_col, text_col))
+    lines = scratch.keep(line_blocks.line_table(docs, id_col, text_col, normalised) if segments else line_table(docs, id_col, text_col))
     place = F.struct(F.isnull("_id").alias("no"), F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("line").alias("line"))
     nodes = scratch.keep(lines.groupBy("node").agg(
-        F.min("fp").alias("sketch"), F.count(F.lit(1)).alias("weight"), F.min(place).alias("first")
+        F.min("fp").alias("sketch"), F.count(F.lit(1)).alias("weight"), F.min(place).alias("first"),
+        *([F.first("blocks").alias("blocks")] if segments else []),
     ))
-    distance = MAX_SKETCH_DISTANCE if grams else MAX_DISTANCE
+    distance = line_blocks.MAX_DISTANCE if segments else MAX_SKETCH_DISTANCE if grams else MAX_DISTANCE
+    texts_at = line_blocks.wanted_texts if segments else wanted_lines
 
     def line_texts(wanted_nodes: DataFrame) -> DataFrame:
         wanted = scratch.keep(nodes.join(wanted_nodes.distinct(), "node", "left_semi").select(
             F.col("first.id").alias("_id"), F.col("first.h").alias("_h"), F.col("first.line").alias("line"), "node"
         ))
-        return scratch.keep(wanted_lines(docs, wanted, id_col, text_col).withColumnRenamed("text", "t"))
+        return scratch.keep(texts_at(docs, wanted, id_col, text_col).withColumnRenamed("text", "t"))
 
-    if grams:
+    if segments:
+        members = nodes.select(F.explode("blocks").alias("bucket"), "node")
+    elif grams:
         sketched = scratch.keep(line_texts(nodes.select("node")).select("node", "t").mapInArrow(
             _gram_batches, "node long, sketch long, bands array<long>"))
         members = sketched.select(F.explode("bands").alias("bucket"), "node")
@@ -297,6 +309,7 @@ def line_classes(
         return links_between(ends, inside, facts, similar_members(distance, similar))
 
     links = bucket_links(members, nodes, hamming_near(distance), verify, scratch, settle)
+    scratch.only(lines, nodes, links)
     component = connected_components(links).withColumnRenamed("node", "n")
     placed = nodes.join(component, F.col("node") == F.col("n"), "left").select(
         "node", "first", F.coalesce("component", "node").alias("root")
@@ -304,7 +317,7 @@ def line_classes(
     heads = placed.groupBy("root").agg(F.min("first").alias("head"))
     # a node keeps its first place if that is also the first of its group
     keepers = placed.join(heads, "root").where(F.col("first") == F.col("head")).select(F.col("node").alias("k"), "head")
-    return lines.join(keepers, F.col("node") == F.col("k"), "left").select(
+    return lines.drop("blocks").join(keepers, F.col("node") == F.col("k"), "left").select(
         "_id", "_h", "line",
         F.coalesce(
             F.col("_id").eqNullSafe(F.col("head.id")) & (F.col("_h") == F.col("head.h")) & (F.col("line") == F.col("head.line")),
@@ -315,7 +328,7 @@ def line_classes(
 
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: Similar = similar_words,
-    grams: bool = False,
+    grams: bool = False, segments: bool = False,
 ) -> DataFrame:
     """``docs`` with the text of ``text_col`` less its repeated lines, and n_lines, n_kept added as
     ``_n_lines`` and ``_n_kept``.
@@ -323,13 +336,14 @@ def dedup_lines(
     Lines are split at line ends; blank ones always stay and are not counted. Lines whose
     normalised forms are equal, or whose fingerprints differ in at most MAX_DISTANCE bits (with
     ``grams``: that share a MinHash band of their character n-grams and differ in at most
-    MAX_SKETCH_DISTANCE bits of the sketch) and that are ``similar``, form groups (the queries take
-    ``grams`` and ``similar_characters``); the rest of a group goes wherever it stands, in the same text
+    MAX_SKETCH_DISTANCE bits of the sketch; with ``segments``: that share a stretch of words and differ
+    in at most ``line_blocks.MAX_DISTANCE`` bits) and that are ``similar``, form groups (the queries
+    take ``segments`` and ``similar_characters``); the rest of a group goes wherever it stands, in the same text
     too. A NULL text stays NULL. Repeated rows: the same places are kept in each of them. A text
     that loses all of its lines becomes empty, its row stays. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
-    classes = line_classes(docs, id_col, text_col, scratch, similar, grams)
+    classes = line_classes(docs, id_col, text_col, scratch, similar, grams, segments)
     per_row = classes.distinct().groupBy("_id", "_h").agg(
         F.count(F.lit(1)).alias("_n_lines"), F.count(F.when(F.col("kept"), 1)).alias("_n_kept"),
         F.collect_list(F.when(~F.col("kept"), F.col("line"))).alias("gone"),

@@ -24,7 +24,7 @@ from targetlens.llm.warc import archived_pages
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs, similar=similar_characters, grams=True).select(
+    return dedup_lines(docs, similar=similar_characters, segments=True).select(
         "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_kept").alias("n_kept"),
         F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
     )
