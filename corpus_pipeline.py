@@ -21,7 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; every document stays, with ``n_chars`` of what is left of its text."""
-    return dedup_lines(docs, similar=similar_characters, grams=True).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    kept = dedup_lines(docs, similar=similar_characters, segments=True)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
