@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from targetlens.llm.common import Scratch, let, space_words, unboxed
+from targetlens.llm.common import Scratch, bounded, let, space_words, unboxed
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -179,6 +179,22 @@ def quality_report(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns of ``docs``."""
-    return judged(docs).where("_kept").select(*unboxed(docs.columns))
+def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that pass, with the columns of ``docs``.
+
+    The verdict depends on text, language and source only; rows that agree in them share it, repeated
+    rows and NULLs included. The counts are made in one pass and kept beside a 64-bit hash of the
+    three; rejected hashes are joined back. NULL and empty texts fail; an empty table gives no rows.
+    """
+    scratch = Scratch(docs.sparkSession)
+    lang, source = F.col(f"`{lang_col}`"), F.col(f"`{source_col}`")
+    named = lambda c: [F.isnull(c), F.coalesce(c.cast("string"), F.lit(""))]
+    key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), *named(lang), *named(source))
+    counted = scratch.keep(docs.select(
+        key.alias("_key"), lang.alias("lang"), source.alias("source"), text_statistics(F.col(f"`{text_col}`")).alias("_stats")))
+    measured = counted.where(~base_failed("_stats")).select("lang", "source", *[c.alias(n) for n, c in _rates("_stats").items()])
+    judged_rows = _with_verdict(counted, learned_limits(measured), "lang", "source")
+    bad = scratch.keep(judged_rows.where(~F.col("_kept")).select("_key").distinct())
+    scratch.only(bad)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"))
+    return rows.join(bounded(bad, bad.count()), "_key", "left_anti").select(*unboxed(docs.columns))
