@@ -137,10 +137,15 @@ def simhash_near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each near-duplicate group, with the columns of ``docs``."""
+    """One row of each near-duplicate group, with the columns of ``docs``.
+
+    It is the row of the smallest (id, text hash), NULL ids last; of rows that agree in both but not in
+    other columns, the one whose whole content has the smallest hash. NULL and empty texts form
+    groups like any other; an empty table gives no rows.
+    """
     groups = simhash_near_duplicates(docs, id_col, text_col)
     chosen = groups.where("chosen").select("_id", "_h").distinct()
     rows = boxed(docs, id_col, text_col)
-    return rows.join(chosen, same_row(rows, chosen), "left_semi").dropDuplicates(["_id", "_h"]).select(
-        *unboxed(docs.columns)
-    )
+    left = rows.join(chosen, same_row(rows, chosen), "left_semi")
+    one = left.groupBy("_id", "_h").agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row"))
+    return one.select(*unboxed(docs.columns))
