@@ -481,12 +481,13 @@ def top_k_per_group(df: DataFrame, group: str, order: Column, k: int) -> DataFra
 
 
 def cell_communication(
-    means: DataFrame, pairs: DataFrame, sizes: DataFrame, half: float = 0.5, min_cells: int = 10
+    means: DataFrame, pairs: DataFrame, sizes: DataFrame, half: float = 0.5, min_cells: int = 10, by: Sequence[str] = ()
 ) -> DataFrame:
     """(sender, receiver, n_pairs, weight) from ligand-receptor pairs.
 
     Mass action on the type means: L * R / (half + L * R), for cell types of at least
-    ``min_cells`` cells. ``means(gene, celltype, mean)``, ``pairs(ligand, receptor)``.
+    ``min_cells`` cells. ``means(gene, celltype, mean)``, ``pairs(ligand, receptor)``; columns ``by`` of
+    the pairs, e.g. a set name, keep sums apart.
     """
     big = sizes.where(F.col("n") >= min_cells).select("celltype")
     usable = means.join(big, "celltype", "left_semi").where(F.col("mean") > 0)
@@ -499,6 +500,6 @@ def cell_communication(
     force = F.col("_l") * F.col("_r")
     return (
         pairs.join(sent, "ligand").join(received, "receptor")
-        .groupBy("sender", "receiver")
+        .groupBy(*by, "sender", "receiver")
         .agg(F.count(F.lit(1)).alias("n_pairs"), F.sum(force / (half + force)).alias("weight"))
     )

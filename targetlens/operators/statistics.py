@@ -191,35 +191,29 @@ def qc_pvalue_table(metrics: DataFrame, names: Sequence[str], stage: str = "raw"
     )
 
 
-def one_vs_rest_rank_sum(scores: DataFrame, group: str, value: str) -> DataFrame:
-    """Each group against all other rows, ranks taken once over everything."""
-    counted = cut_lineage(scores.groupBy(group, value).agg(F.count(F.lit(1)).alias("k")))
-    ranks = running_totals(counted, value, {"n": F.sum("k")})
+def one_vs_rest_rank_sum(scores: DataFrame, group: str, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Each group against all other rows, ranks taken once over everything (per ``by``, e.g. per gene set)."""
+    keys = list(by)
+    counted = cut_lineage(scores.groupBy(*keys, group, value).agg(F.count(F.lit(1)).alias("k")))
+    ranks = running_totals(counted, value, {"n": F.sum("k")}, keys)
     n = F.col("n").cast("double")
-    ranks = ranks.select(value, (F.col("cum_n") - (n - 1.0) / 2.0).alias("_mid"), "n")
-    whole = ranks.agg(
-        F.struct(
-            F.sum(n * n * n - n).alias("ties"), F.sum("n").alias("n"),
-            F.sum(F.col(value) * F.col("n")).alias("sum"),
-        )
-    ).scalar()
-    per = (
-        counted.join(ranks, value).groupBy(group)
-        .agg(
-            F.sum("k").alias("n_cells"), F.sum(F.col("k") * F.col("_mid")).alias("_w"),
-            F.sum(F.col("k") * F.col(value)).alias("_sum"),
-        )
-        .withColumn("_all", whole)
-    )
+    ranks = ranks.select(*keys, value, (F.col("cum_n") - (n - 1.0) / 2.0).alias("_mid"), "n")
+    facts = F.struct(F.sum(n * n * n - n).alias("ties"), F.sum("n").alias("n"), F.sum(F.col(value) * F.col("n")).alias("sum"))
+    per = counted.join(ranks, [*keys, value]).groupBy(*keys, group).agg(
+        F.sum("k").alias("n_cells"), F.sum(F.col("k") * F.col("_mid")).alias("_w"), F.sum(F.col("k") * F.col(value)).alias("_sum"))
+    if keys:
+        per = per.join(ranks.groupBy(*keys).agg(facts.alias("_all")), keys)
+    else:
+        per = per.withColumn("_all", ranks.agg(facts).scalar())
     rest = F.col("_all.n") - F.col("n_cells")
     statistic, p = _rank_sum(F.col("_w"), F.col("n_cells"), rest, F.col("_all.ties"))
     mean = F.col("_sum") / F.col("n_cells")
     other = ratio(F.col("_all.sum") - F.col("_sum"), rest)
     tested = per.select(
-        group, "n_cells", mean.alias("module_mean"), other.alias("other_module_mean"),
+        *keys, group, "n_cells", mean.alias("module_mean"), other.alias("other_module_mean"),
         (mean - other).alias("module_diff"), statistic.alias("statistic"), p.alias("p_value"),
     )
-    return bh_adjust(tested, "p_value")
+    return bh_adjust(tested, "p_value", by=keys)
 
 
 def group_score_summary(scores: DataFrame, by: Sequence[str], value: str) -> DataFrame:

@@ -391,20 +391,20 @@ def top_k_per_group(spark, folder):
 
 
 @register("cell_communication", sql(TYPE_MEANS_SQL + """,
-    pairs AS (SELECT DISTINCT a.p_name AS ligand, 'small ' || split_part(a.p_name, ' ', 2) AS receptor
-      FROM part a WHERE a.p_name LIKE 'hot %')
-    SELECT l.celltype AS sender, r.celltype AS receiver, count(*) AS n_pairs,
+    pairs AS (SELECT DISTINCT split_part(a.p_name, ' ', 1) AS set_name, a.p_name AS ligand,
+      'small ' || split_part(a.p_name, ' ', 2) AS receptor FROM part a)
+    SELECT set_name, l.celltype AS sender, r.celltype AS receiver, count(*) AS n_pairs,
     """ + rsql("sum(l.mean * r.mean / (0.5 + l.mean * r.mean)) AS weight") + """ FROM pairs
-    JOIN means l ON l.gene = ligand JOIN means r ON r.gene = receptor GROUP BY 1, 2""",
+    JOIN means l ON l.gene = ligand JOIN means r ON r.gene = receptor GROUP BY 1, 2, 3""",
     "counts", "norm", "cells"))
 def cell_communication(spark, folder):
     people = b.cells(spark, folder)
     means = ex.type_means(b.normalised(spark, folder), people)
     sizes = people.groupBy("celltype").agg(F.count(F.lit(1)).alias("n"))
-    pairs = b.word_sets(spark, folder).where("set_name = 'hot'").select(
-        F.col("gene").alias("ligand"),
+    pairs = b.word_sets(spark, folder).select(
+        "set_name", F.col("gene").alias("ligand"),
         F.concat(F.lit("small "), F.split_part("gene", F.lit(" "), F.lit(2))).alias("receptor"))
-    return rounded(ex.cell_communication(means, pairs, sizes))
+    return rounded(ex.cell_communication(means, pairs, sizes, by=["set_name"]))
 
 
 @register("validate_inputs", sql("""

@@ -175,47 +175,46 @@ def qc_pvalue_table(spark, folder):
     return rounded(st.qc_pvalue_table(metrics, names))
 
 
-def _blue_scores(spark, folder):
-    sets = b.word_sets(spark, folder).where("set_name = 'blue'")
+def _set_scores(spark, folder):
     people = b.cells(spark, folder)
-    scores = ex.module_score(b.normalised(spark, folder), sets, people, controls=5, bins=6)
+    scores = ex.module_score(b.normalised(spark, folder), b.word_sets(spark, folder), people, controls=5, bins=6)
     return rounded(scores, "score", digits=9).join(people, "cell")
 
 
-BLUE_SQL = MODULE_SQL.replace(
-    "roles AS (", "blue AS (SELECT * FROM word_sets WHERE set_name = 'blue'), roles AS (").replace(
-    "1 AS in_set FROM word_sets", "1 AS in_set FROM blue").replace("0 FROM word_sets w", "0 FROM blue w") + """,
-scored AS (SELECT cell, condition, celltype, round(score, 9) + 0.0 AS score FROM module JOIN cells USING (cell))
+SETS_SQL = MODULE_SQL + """,
+scored AS (SELECT set_name, cell, condition, celltype, round(score, 9) + 0.0 AS score FROM module JOIN cells USING (cell))
 """
 
 
-@register("one_vs_rest_rank_sum", sql(BLUE_SQL + f""",
-    m AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk,
-      count(*) OVER (PARTITION BY score) AS t FROM scored),
-    s AS (SELECT celltype, count(*) AS n1, {{N}} - count(*) AS n2, CAST(sum(rk) AS DOUBLE) AS w,
-      (SELECT CAST(sum(t * t - 1) AS DOUBLE) FROM m) AS ties, avg(score) AS module_mean,
-      ((SELECT sum(score) FROM scored) - sum(score)) / ({{N}} - count(*)) AS other_module_mean FROM m GROUP BY 1),
+@register("one_vs_rest_rank_sum", sql(SETS_SQL + f""",
+    m AS (SELECT *, rank() OVER (PARTITION BY set_name ORDER BY score) + (count(*) OVER (PARTITION BY set_name, score) - 1) / 2.0 AS rk,
+      count(*) OVER (PARTITION BY set_name, score) AS t FROM scored),
+    a AS (SELECT set_name, count(*) AS n, CAST(sum(t * t - 1) AS DOUBLE) AS ties, sum(score) AS total FROM m GROUP BY 1),
+    s AS (SELECT set_name, celltype, count(*) AS n1, any_value(a.n) - count(*) AS n2, CAST(sum(rk) AS DOUBLE) AS w, any_value(a.ties) AS ties,
+      avg(score) AS module_mean, (any_value(a.total) - sum(score)) / (any_value(a.n) - count(*)) AS other_module_mean
+      FROM m JOIN a USING (set_name) GROUP BY 1, 2),
     p AS (SELECT *, {_U} AS statistic, {_P} AS p_value FROM s),
-    h AS ({bh_sql('p')})
-    SELECT celltype, n1 AS n_cells, {rsql('module_mean', 'other_module_mean',
-      'module_mean - other_module_mean AS module_diff', 'statistic', 'p_value', 'p_adjust')} FROM h
-    """.replace("{N}", "(SELECT count(*) FROM scored)"), "counts", "norm", "cells", "word_sets"))
+    h AS (SELECT *, least(1, min(p_value * k / r) OVER (PARTITION BY set_name ORDER BY p_value DESC)) AS p_adjust
+      FROM (SELECT *, row_number() OVER (PARTITION BY set_name ORDER BY p_value) AS r, count(*) OVER (PARTITION BY set_name) AS k FROM p))
+    SELECT set_name, celltype, n1 AS n_cells, {rsql('module_mean', 'other_module_mean',
+      'module_mean - other_module_mean AS module_diff', 'statistic', 'p_value', 'p_adjust')} FROM h""",
+    "counts", "norm", "cells", "word_sets"))
 def one_vs_rest_rank_sum(spark, folder):
-    return rounded(st.one_vs_rest_rank_sum(_blue_scores(spark, folder), "celltype", "score"))
+    return rounded(st.one_vs_rest_rank_sum(_set_scores(spark, folder), "celltype", "score", ["set_name"]))
 
 
-@register("celltype_summary", sql(BLUE_SQL + "SELECT celltype, count(*) AS n_cells, "
-    + rsql("avg(score) AS module_mean", "median(score) AS module_median") + " FROM scored GROUP BY 1",
+@register("celltype_summary", sql(SETS_SQL + "SELECT set_name, celltype, count(*) AS n_cells, "
+    + rsql("avg(score) AS module_mean", "median(score) AS module_median") + " FROM scored GROUP BY 1, 2",
     "counts", "norm", "cells", "word_sets"))
 def celltype_summary(spark, folder):
-    return rounded(st.group_score_summary(_blue_scores(spark, folder), ["celltype"], "score"))
+    return rounded(st.group_score_summary(_set_scores(spark, folder), ["set_name", "celltype"], "score"))
 
 
-@register("condition_summary", sql(BLUE_SQL + "SELECT condition, celltype, count(*) AS n_cells, "
-    + rsql("avg(score) AS module_mean", "median(score) AS module_median") + " FROM scored GROUP BY 1, 2",
+@register("condition_summary", sql(SETS_SQL + "SELECT set_name, condition, celltype, count(*) AS n_cells, "
+    + rsql("avg(score) AS module_mean", "median(score) AS module_median") + " FROM scored GROUP BY 1, 2, 3",
     "counts", "norm", "cells", "word_sets"))
 def condition_summary(spark, folder):
-    return rounded(st.group_score_summary(_blue_scores(spark, folder), ["condition", "celltype"], "score"))
+    return rounded(st.group_score_summary(_set_scores(spark, folder), ["set_name", "condition", "celltype"], "score"))
 
 
 # The test on a dense gene x cell grid; the operator never writes the zeros.

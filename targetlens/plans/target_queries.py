@@ -14,6 +14,7 @@ from targetlens.plans import bindings as b
 from targetlens.plans.bindings import sql
 from targetlens.plans.registry import Family, rounded, rsql
 from targetlens.plans.statistics_queries import COEX_SQL
+from targetlens.plans.network_queries import GRAPH_SQL
 
 family = Family()
 register = family.register
@@ -129,6 +130,15 @@ SIGNATURE = tuple(f"blue {n}" for n in ("anvil", "bolt", "gear", "gizmo"))
 PATHWAYS = {"one": ["blue bolt", "cold gear"], "two": ["hot plate", "old widget", "cold gear"]}
 
 
+def gene_links(spark, folder):
+    """(protein1, protein2): names of parts on consecutive lines of an order in progress."""
+    orders = b.table(spark, folder, "orders").where("o_orderstatus = 'P'").select("o_orderkey")
+    lines = _lines(spark, folder).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", F.col("p_name").alias("protein1")).distinct()
+    following = lines.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("protein1").alias("protein2"))
+    return lines.join(following, ["l_orderkey", "l_linenumber"]).select("protein1", "protein2")
+
+
 def _ranked(spark, folder):
     options = tg.ScoringOptions(
         signature=SIGNATURE, disease_up=SIGNATURE, pathways=PATHWAYS, corr_cutoff=0.4, lineage="liver a")
@@ -136,12 +146,12 @@ def _ranked(spark, folder):
     return tg.rank_targets(
         b.expression(spark, folder), roles(spark, folder),
         b.samples(spark, folder).select("sample", "cell_type"), dependency(spark, folder),
-        prognosis(spark, folder), extra, extra, options=options)
+        prognosis(spark, folder), extra, extra, gene_links(spark, folder), options=options)
 
 
 _S = ("expression_score", "proliferation_score", "hub_score", "depmap_score", "reversal_score",
       "pathway_score", "specificity_score", "prognosis_score", "druggability_score", "knockout_score",
-      "target_score")
+      "target_score", "ppi_degree", "ppi_clustering", "ppi_hub_score")
 RANK_SQL = SIDES_SQL.replace("\nmat AS", "\n" + COEX_SQL.strip().replace("mat AS", "mat AS", 1).split(",\npairs")[0].replace("mat AS", "unused AS", 1) + ",\nmat AS", 1) + f""",
 pairs AS (SELECT a.gene, b.gene AS other, abs(corr(a.v, b.v)) AS r FROM mat a JOIN mat b
   ON a.sample = b.sample AND a.gene <> b.gene GROUP BY 1, 2),
@@ -158,10 +168,17 @@ tm AS (SELECT gene, cell_type, sum(v) / max(n) AS mean FROM mat JOIN samples USI
   JOIN (SELECT cell_type, count(*) AS n FROM samples GROUP BY 1) USING (cell_type) GROUP BY 1, 2),
 spec AS (SELECT gene, greatest(0, least(1, 1 + sum(p * log2(p)) / log2(4))) AS specificity
   FROM (SELECT gene, greatest(1e-12, mean / sum(mean) OVER (PARTITION BY gene)) AS p FROM tm) GROUP BY 1),
+named AS (SELECT DISTINCT l_orderkey, l_linenumber, upper(p_name) AS name FROM lineitem JOIN part ON l_partkey = p_partkey
+  JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'P'),
+edges AS (SELECT DISTINCT least(a.name, b.name) AS src, greatest(a.name, b.name) AS dst FROM named a JOIN named b
+  ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber WHERE a.name <> b.name),
+{GRAPH_SQL.strip()},
+ppi AS (SELECT *, {prank('ppi_degree')} AS ppi_hub_score FROM (SELECT g.gene, CAST(coalesce(ppi_degree, 0) AS DOUBLE) AS ppi_degree,
+  coalesce(ppi_clustering, 0) AS ppi_clustering FROM (SELECT DISTINCT gene FROM mat) g LEFT JOIN clus ON clus.gene = upper(g.gene))),
 alls AS (SELECT *, case_mean - normal_mean AS log2fc, log2fc * rc AS rs,
   sign(log2fc) * ln(prognosis_hr) AS pe FROM lfc JOIN hub USING (gene) JOIN prolif USING (gene) JOIN rev USING (gene)
   JOIN pw USING (gene) JOIN spec USING (gene) JOIN dep USING (gene) JOIN hrs USING (gene) JOIN drug USING (gene)
-  JOIN off_t USING (gene)),
+  JOIN off_t USING (gene) JOIN ppi USING (gene)),
 sc AS (SELECT *, {prank('log2fc')} AS expression_score, {prank('prolif')} AS proliferation_score,
   {prank('hub_degree')} AS hub_score, {prank('-depmap_effect')} AS depmap_score, {prank('rs')} AS reversal_score,
   {prank('pathway_control')} AS pathway_score, {prank('specificity')} AS specificity_score,
@@ -169,7 +186,7 @@ sc AS (SELECT *, {prank('log2fc')} AS expression_score, {prank('prolif')} AS pro
 ko AS (SELECT *, 0.35 * expression_score + 0.25 * proliferation_score + 0.2 * hub_score + 0.2 * depmap_score
   AS knockout_score FROM sc),
 ts AS (SELECT *, greatest(0, least(1, (0.35 * knockout_score + 0.2 * reversal_score + 0.15 * pathway_score
-  + 0.1 * specificity_score + 0.1 * prognosis_score + 0.1 * druggability_score) - 0.05 * safety_concern))
+  + 0.1 * specificity_score + 0.1 * prognosis_score + 0.1 * druggability_score + 0.1 * ppi_hub_score) - 0.05 * safety_concern))
   AS target_score FROM ko),
 ranked AS (SELECT *, row_number() OVER (ORDER BY round(target_score, 9) DESC, gene) AS rank,
   CASE WHEN knockout_score >= 0.75 AND (depmap_score >= 0.6 OR reversal_score >= 0.6) THEN 'core_driver'
@@ -179,9 +196,9 @@ ranked AS (SELECT *, row_number() OVER (ORDER BY round(target_score, 9) DESC, ge
 """
 RANK_SQL = RANK_SQL.replace(
     RANK_SQL[RANK_SQL.index("unused AS"):RANK_SQL.index("\nmat AS")], "").replace("\n\nmat AS", "\nmat AS")
-# The weights of the dimensions at hand are rescaled (no interaction network here).
+# The weights of the dimensions at hand sum to 1.1 and are rescaled.
 RANK_SQL = RANK_SQL.replace(
-    "(0.35 * knockout_score + 0.2 * reversal_score", "1 / 1.0 * (0.35 * knockout_score + 0.2 * reversal_score")
+    "(0.35 * knockout_score + 0.2 * reversal_score", "1 / 1.1 * (0.35 * knockout_score + 0.2 * reversal_score")
 _RANK_BINDINGS = ("counts", "cells", "expression", "samples")
 
 
