@@ -20,12 +20,10 @@ from xxhash import xxh64_intdigest
 from targetlens.llm.common import row_identity
 from targetlens.llm.phrases import Filter, Polynomial, mixed
 
-#: Words of a stretch on average, in lines of up to SHORT words and in longer ones.
-SHORT, FEW, MANY = 12, 2, 5
-#: A stretch of fewer words is no block, but in lines that have no other.
-FEWEST = 2
-#: Bits of the SimHash in which a pair may differ: similar lines are 13 bits apart, unlike ones 32.
-MAX_DISTANCE = 22
+#: Lines of up to SHORT words have stretches of two words and more, about 4; longer ones of three and more, about 7.
+SHORT = 28
+#: Bits of the SimHash in which a pair may differ: at 0.9 similar lines are 9 bits apart, at 0.8 13, unlike ones about 26 to 32.
+MAX_DISTANCE = 17
 #: Total weight of a line up to which four counters fit in one 64-bit number.
 LANE = (1 << 16) - 1
 #: Bytes of normalised lines that are hashed in one call.
@@ -62,14 +60,20 @@ def line_prints(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
     prints = majority(hashes, (ends - starts).astype(np.uint64), first)
     sizes = np.diff(np.append(first, len(hashes)))
-    every = np.where(sizes <= SHORT, FEW, MANY)[line].astype(np.uint64)
-    cut = mixed(hashes + np.uint64(77)) % every == 0
+    brief = (sizes <= SHORT)[line]
+    wish = mixed(hashes + np.uint64(77)) % np.where(brief, 2, 3).astype(np.uint64) == 0
+    # no end right behind another one: known from the words before, so that an edit moves near ends only
+    place = np.arange(len(hashes)) - np.repeat(first, sizes)
+    after = np.concatenate([[False], wish[:-1]]) & (place >= 1)
+    again = np.concatenate([[False, False], wish[:-2]])[:len(wish)] & (place >= 2) & ~brief
+    cut = wish & ~after & ~again
     cut[np.append(first[1:], len(hashes)) - 1] = True  # a stretch ends with its line
     stop = np.flatnonzero(cut) + 1
     begin = np.concatenate([[0], stop[:-1]])
     owner = line[begin]
     blocks = mixed(_WORDS.ranges(hashes, begin, stop)).view(np.int64)
-    good = stop - begin >= FEWEST
+    # what is left at a line's end may be a word or two: no block, but in lines that have no other
+    good = stop - begin >= np.where(brief[begin], 2, 3)
     lone = np.bincount(owner, weights=good, minlength=len(lines)) == 0
     good |= lone[owner]
     return prints, np.bincount(owner[good], minlength=len(lines)), blocks[good]
@@ -112,8 +116,8 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, normal) -> DataFrame
         run, f"_id {kind}, _h long, line int, node long, fp long, blocks array<long>")
 
 
-def wanted_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, text) of the lines at the places (_id, _h, line, node) of ``wanted``, a written table.
+def wanted_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, normal) -> DataFrame:
+    """(node, text) of the lines at the places (_id, _h, line, node) of ``wanted``, a written table, in normal form.
 
     A Bloom filter of bounded size leaves out nearly all other texts before they are split; the join
     after it is exact.
@@ -130,7 +134,7 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
                     if line and not line.isspace():
                         rows.append(int(row))
                         places.append(i)
-                        lines.append(line)
+                        lines.append(normal(line))
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(places, pa.int32()), pa.array(lines, pa.string())],

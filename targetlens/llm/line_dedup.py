@@ -245,6 +245,12 @@ def similar_characters(a: str, b: str, least: float = MIN_SIMILARITY) -> bool:
     return abs(len(x) - len(y)) <= allowed and edit_distance(x, y, allowed) <= allowed
 
 
+def similar_normal(x: str, y: str, least: float = MIN_SIMILARITY) -> bool:
+    """As ``similar_characters``, for lines that are in normal form already."""
+    allowed = int((1 - least) * max(len(x), len(y)) + 1e-9)
+    return abs(len(x) - len(y)) <= allowed and edit_distance(x, y, allowed) <= allowed
+
+
 def edit_similar(similar: Similar):
     @F.pandas_udf(T.BooleanType())
     def tested(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -253,13 +259,23 @@ def edit_similar(similar: Similar):
     return tested
 
 
-def similar_members(distance: int, similar: Similar):
+def similar_members(distance: int, similar: Similar, by_length: bool = False):
     """Lookup for ``links_between``: members with a close fingerprint and a similar line."""
 
     def lookup(inside: pd.DataFrame):
         close, _ = close_members(distance)(inside)
         texts = dict(zip(inside["node"], inside["t"]))
-        return close, lambda end, other: similar(end.t, texts[other])
+        if not by_length:
+            return close, lambda end, other: similar(end.t, texts[other])
+        sizes, names = inside["t"].str.len().to_numpy(), inside["node"].to_numpy()
+        prints = inside["sketch"].to_numpy().astype(np.uint64)
+
+        def near(end) -> np.ndarray:
+            n = len(end.t)
+            fits = (sizes >= MIN_SIMILARITY * n - 1e-9) & (n >= MIN_SIMILARITY * sizes - 1e-9)
+            return names[fits & (np.bitwise_count(prints ^ np.uint64(end.sketch & (1 << 64) - 1)) <= distance)]
+
+        return near, lambda end, other: similar(end.t, texts[other])
 
     return lookup
 
@@ -279,7 +295,11 @@ def line_classes(
         *([F.first("blocks").alias("blocks")] if segments else []),
     ))
     distance = line_blocks.MAX_DISTANCE if segments else MAX_SKETCH_DISTANCE if grams else MAX_DISTANCE
-    texts_at = line_blocks.wanted_texts if segments else wanted_lines
+    if segments:
+        texts_at = lambda *which: line_blocks.wanted_texts(*which, normalised)
+        similar = similar_normal if similar is similar_characters else similar
+    else:
+        texts_at = wanted_lines
 
     def line_texts(wanted_nodes: DataFrame) -> DataFrame:
         wanted = scratch.keep(nodes.join(wanted_nodes.distinct(), "node", "left_semi").select(
@@ -306,7 +326,7 @@ def line_classes(
 
     def settle(ends: DataFrame, inside: DataFrame) -> DataFrame:
         facts = line_texts(inside.select("node")).join(nodes.select("node", "sketch"), "node")
-        return links_between(ends, inside, facts, similar_members(distance, similar))
+        return links_between(ends, inside, facts, similar_members(distance, similar, segments))
 
     links = bucket_links(members, nodes, hamming_near(distance), verify, scratch, settle)
     scratch.only(lines, nodes, links)
