@@ -448,13 +448,13 @@ def genome_positions(genes: DataFrame) -> DataFrame:
 
 
 def stratified_cap(cells: DataFrame, group: str, n: int, seed: int = 42, key: str = "cell") -> DataFrame:
-    """At most ``n`` cells of each group, chosen by a seeded hash.
+    """At most ``n`` cells of each group, chosen by a seeded hash (the smallest MD5 of ``seed:key``).
 
     Every group is first spread over salts that each keep at most ``n`` cells, so a group of any
     size is cut down in parallel before its survivors meet.
     """
-    mark = F.xxhash64(F.lit(seed), F.col(key))
-    salted = cells.withColumn("_h", mark).withColumn("_salt", F.pmod("_h", F.lit(1024)))
+    mark = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    salted = cells.withColumn("_h", mark).withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(1024)))
     first = W.partitionBy(group, "_salt").orderBy("_h", key)
     kept = salted.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= n)
     last = W.partitionBy(group).orderBy("_h", key)

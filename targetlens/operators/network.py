@@ -110,73 +110,94 @@ def clustering_coef(edges: DataFrame) -> DataFrame:
     )
 
 
-def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
-    """(gene, ppi_betweenness): normalised betweenness by level-synchronous shortest-path counts.
+def sampled_nodes(edges: DataFrame, k: int) -> DataFrame:
+    """(gene): ``k`` nodes in hash order, the same ones on every run; all of them in a smaller graph."""
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("gene")).distinct()
+    return nodes.orderBy(F.md5(F.col("gene").cast("binary")), "gene").limit(k)
 
-    All sources advance together, one join per distance level; then dependencies flow back one
-    level at a time. ``sources(gene)`` restricts the starting nodes (scaled up accordingly).
-    Only the loop counter and a row count per level reach the driver.
+
+def _dependencies(links: DataFrame, starts: DataFrame) -> DataFrame:
+    """(source, node, delta): dependency of each source of the batch on the nodes it reaches.
+
+    All sources of the batch advance together, one join per distance. In an undirected graph the
+    neighbours of a level lie in it or next to it, so a new level is told from the two before it
+    and nothing else is remembered. Dependencies then flow back one level at a time.
     """
-    links = cut_lineage(both_directions(edges))
-    nodes = links.select(F.col("node").alias("gene")).distinct()
-    starts = nodes if sources is None else nodes.join(sources.select("gene"), "gene", "left_semi")
-    frontier = starts.select(
-        F.col("gene").alias("source"), F.col("gene").alias("node"), F.lit(1.0).alias("paths")
-    )
-    seen = frontier.select("source", "node")
-    levels = [cut_lineage(frontier)]
+    levels = [cut_lineage(starts.select(F.col("gene").alias("source"), F.col("gene").alias("node"), F.lit(1.0).alias("paths")))]
     while True:
-        reached = (
-            levels[-1].join(links, "node")
-            .groupBy("source", F.col("neighbour").alias("node"))
-            .agg(F.sum("paths").alias("paths"))
-        )
-        fresh = cut_lineage(reached.join(seen, ["source", "node"], "left_anti"))
+        reached = levels[-1].join(links, "node").groupBy("source", F.col("neighbour").alias("node")).agg(F.sum("paths").alias("paths"))
+        for near in levels[-2:]:
+            reached = reached.join(near.select("source", "node"), ["source", "node"], "left_anti")
+        fresh = cut_lineage(reached)
         if fresh.isEmpty():
             break
-        seen = seen.unionByName(fresh.select("source", "node"))
         levels.append(fresh)
-    dependency = levels[-1].select("source", "node", "paths", F.lit(0.0).alias("delta"))
-    collected = [dependency]
-    for level in reversed(levels[:-1]):
-        shares = dependency.select(
-            "source", "node", ((1.0 + F.col("delta")) / F.col("paths")).alias("share")
-        )
-        credit = (
-            shares.join(links, "node")
-            .groupBy("source", F.col("neighbour").alias("node"))
-            .agg(F.sum("share").alias("share"))
-        )
-        dependency = cut_lineage(
-            level.join(credit, ["source", "node"], "left").select(
-                "source", "node", "paths",
-                (F.col("paths") * F.coalesce(F.col("share"), F.lit(0.0))).alias("delta"),
-            )
-        )
-        collected.append(dependency)
-    flows = collected[0]
-    for part in collected[1:]:
-        flows = flows.unionByName(part)
-    n = nodes.agg(F.count(F.lit(1)).cast("double")).scalar()
-    k = starts.agg(F.count(F.lit(1)).cast("double")).scalar()
-    sums = (
-        flows.where(F.col("source") != F.col("node"))
-        .groupBy(F.col("node").alias("gene")).agg(F.sum("delta").alias("flow"))
-    )
-    scaled = F.try_divide(F.col("flow") * n, k * (n - 1.0) * (n - 2.0))
+    dependency = levels[-1].withColumn("delta", F.lit(0.0))
+    found = [dependency]
+    for level in reversed(levels[1:-1]):
+        shares = dependency.select("source", "node", ((1.0 + F.col("delta")) / F.col("paths")).alias("share"))
+        credit = shares.join(links, "node").groupBy("source", F.col("neighbour").alias("node")).agg(F.sum("share").alias("share"))
+        dependency = cut_lineage(level.join(credit, ["source", "node"], "left").select(
+            "source", "node", "paths", (F.col("paths") * F.coalesce(F.col("share"), F.lit(0.0))).alias("delta")))
+        found.append(dependency)
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out.where("source <> node").select("source", "node", "delta")
+
+
+#: Rows (source, node) that a batch of sources may hold at once.
+STATE_ROWS = 20_000_000
+
+
+def betweenness(
+    edges: DataFrame, sources: DataFrame | None = None, state_rows: int = STATE_ROWS, error: float | None = None
+) -> DataFrame:
+    """(gene, ppi_betweenness): normalised betweenness from shortest-path counts, in batches of sources.
+
+    A batch holds so many sources that its state stays within ``state_rows`` rows, whatever the size
+    of the graph; its dependencies are summed per node before the next one starts. ``sources(gene)``
+    restricts the starting nodes (scaled up accordingly). With ``error``, sources come in hash order
+    and the batches end as soon as the largest standard error of a node's value, from the variance
+    over the sources so far, is within it. Sums per node stay in tables; the driver sees counts.
+    """
+    links = cut_lineage(both_directions(edges))
+    nodes = cut_lineage(links.select(F.col("node").alias("gene")).distinct())
+    starts = nodes if sources is None else nodes.join(sources.select("gene"), "gene", "left_semi")
+    numbered = cut_lineage(row_numbers(starts, [F.md5(F.col("gene").cast("binary")), F.col("gene")], "_i"))
+    n, total = nodes.count(), numbered.count()
+    size = max(1, state_rows // max(n, 1))
+    scale = float(n) / ((n - 1.0) * (n - 2.0)) if n > 2 else None
+    sums, done = None, 0
+    while done < total:
+        batch = numbered.where((F.col("_i") > done) & (F.col("_i") <= done + size)).select("gene")
+        found = _dependencies(links, batch).groupBy(F.col("node").alias("gene")).agg(
+            F.sum("delta").alias("flow"), F.sum(F.col("delta") * F.col("delta")).alias("square"))
+        sums = found if sums is None else sums.unionByName(found).groupBy("gene").agg(F.sum("flow").alias("flow"), F.sum("square").alias("square"))
+        sums = cut_lineage(sums)
+        done = min(done + size, total)
+        if error is not None and scale is not None and 1 < done < total:
+            mean = F.col("flow") / done
+            spread = F.sqrt(F.greatest(F.col("square") / done - mean * mean, F.lit(0.0)) / (done - 1.0)) * scale
+            if (sums.agg(F.max(spread)).first()[0] or 0.0) <= error:
+                break
+    if sums is None or scale is None:
+        return nodes.select("gene", F.lit(0.0).alias("ppi_betweenness"))
     return nodes.join(sums, "gene", "left").select(
-        "gene", F.coalesce(scaled, F.lit(0.0)).alias("ppi_betweenness")
-    )
+        "gene", F.coalesce(F.col("flow") * (scale / done), F.lit(0.0)).alias("ppi_betweenness"))
 
 
 def hub_scores(
-    edges: DataFrame, genes: DataFrame | None = None, with_betweenness: bool = False
+    edges: DataFrame, genes: DataFrame | None = None, with_betweenness: bool = False, sample: int | None = None
 ) -> DataFrame:
-    """Metrics of the requested genes (0 when absent) and the percentile rank of the degree."""
-    clean = edge_clean(edges)
+    """Metrics of the requested genes (0 when absent) and the percentile rank of the degree.
+
+    ``with_betweenness`` adds ppi_betweenness, from ``sample`` sources if that is given.
+    """
+    clean = cut_lineage(edge_clean(edges))
     metrics = clustering_coef(clean)
     if with_betweenness:
-        metrics = metrics.join(betweenness(clean), "gene", "left")
+        metrics = metrics.join(betweenness(clean, None if sample is None else sampled_nodes(clean, sample)), "gene", "left")
     if genes is not None:
         metrics = normalize_keys(genes, "gene").join(metrics, "gene", "left")
     filled = metrics.fillna(0)

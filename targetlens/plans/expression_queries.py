@@ -367,7 +367,8 @@ def inferred_cnv(spark, folder):
     return rounded(ex.inferred_cnv(_windows(spark, folder)).withColumnRenamed("window", "window_id"))
 
 
-@register("stratified_cap")
+@register("stratified_cap", sql("""SELECT cell, sample, condition, celltype FROM (SELECT *, row_number() OVER (
+    PARTITION BY condition ORDER BY md5('42:' || CAST(cell AS VARCHAR)), cell) AS r FROM cells) WHERE r <= 100""", "cells"))
 def stratified_cap(spark, folder):
     return ex.stratified_cap(b.cells(spark, folder), "condition", 100)
 

@@ -8,7 +8,7 @@ from targetlens.operators import network as net
 from targetlens.operators import signals as sig
 from targetlens.plans import bindings as b
 from targetlens.plans.bindings import sql
-from targetlens.plans.registry import Family, rounded
+from targetlens.plans.registry import Family, rounded, rsql
 
 family = Family()
 register = family.register
@@ -97,6 +97,33 @@ clus AS (SELECT gene, ppi_degree, CASE WHEN ppi_degree > 1
   THEN 2.0 * coalesce(t, 0) / (ppi_degree * (ppi_degree - 1.0)) ELSE 0 END AS ppi_clustering
   FROM deg LEFT JOIN tri USING (gene))
 """
+#: Nodes, in hash order, from which the registered betweenness of the whole graph is estimated.
+SOURCES = 32
+DEPTH = 8
+
+
+def _flow_sql() -> str:
+    """Shortest-path counts level by level from the sampled nodes, and the dependencies back (DEPTH levels at most)."""
+    parts = [f""",
+starts AS (SELECT gene FROM deg ORDER BY md5(gene), gene LIMIT {SOURCES}),
+l0 AS (SELECT gene AS s, gene AS v, CAST(1 AS DOUBLE) AS paths FROM starts)"""]
+    for i in range(1, DEPTH + 1):
+        seen = " ".join(f"AND NOT EXISTS (SELECT 1 FROM l{k} x WHERE x.s = a.s AND x.v = e.v)" for k in range(max(0, i - 2), i))
+        parts.append(f"l{i} AS MATERIALIZED (SELECT a.s, e.v, sum(paths) AS paths FROM l{i - 1} a JOIN both_ways e ON a.v = e.u WHERE true {seen} GROUP BY 1, 2)")
+    parts.append(f"d{DEPTH} AS (SELECT s, v, paths, CAST(0 AS DOUBLE) AS delta FROM l{DEPTH})")
+    for i in range(DEPTH - 1, 0, -1):
+        parts.append(f"""d{i} AS MATERIALIZED (SELECT a.s, a.v, any_value(a.paths) AS paths,
+  coalesce(any_value(a.paths) * sum((1 + w.delta) / w.paths), 0) AS delta
+  FROM l{i} a LEFT JOIN (SELECT d.s, e.v, d.delta, d.paths FROM d{i + 1} d JOIN both_ways e ON d.v = e.u) w ON w.s = a.s AND w.v = a.v GROUP BY 1, 2)""")
+    union = " UNION ALL ".join(f"SELECT v, delta FROM d{i}" for i in range(1, DEPTH + 1))
+    parts.append(f"""flow AS (SELECT deg.gene, coalesce(f, 0) * (SELECT count(*) FROM deg)
+  / ((SELECT count(*) FROM starts) * ((SELECT count(*) FROM deg) - 1.0) * ((SELECT count(*) FROM deg) - 2.0)) AS ppi_betweenness
+  FROM deg LEFT JOIN (SELECT v, sum(delta) AS f FROM ({union}) GROUP BY 1) t ON t.v = deg.gene)
+""")
+    return ",\n".join(parts)
+
+
+FLOW_SQL = _flow_sql()
 HUB_SQL = GRAPH_SQL + """,
 filled AS (SELECT gene, coalesce(ppi_degree, 0) AS ppi_degree, coalesce(ppi_clustering, 0) AS ppi_clustering
   FROM disease_genes LEFT JOIN clus USING (gene)),
@@ -130,11 +157,13 @@ def clustering_coef(spark, folder):
 
 
 @register("hub_scores", sql(
-    HUB_SQL + """SELECT gene, CAST(ppi_degree AS BIGINT) AS ppi_degree,
-    round(ppi_clustering, 6) AS ppi_clustering, round(ppi_hub_score, 6) AS ppi_hub_score FROM hubs""",
+    HUB_SQL.strip() + FLOW_SQL + """SELECT gene, CAST(ppi_degree AS BIGINT) AS ppi_degree,
+    round(ppi_clustering, 6) AS ppi_clustering, round(coalesce(ppi_betweenness, 0), 8) AS ppi_betweenness,
+    round(ppi_hub_score, 6) AS ppi_hub_score FROM hubs LEFT JOIN flow USING (gene)""",
     "interactions", "edges", "disease_genes"))
 def hub_scores(spark, folder):
-    return rounded(net.hub_scores(b.interactions(spark, folder), b.disease_genes(spark, folder)))
+    hubs = net.hub_scores(b.interactions(spark, folder), b.disease_genes(spark, folder), True, SOURCES)
+    return rounded(rounded(hubs, "ppi_betweenness", digits=8), "ppi_clustering", "ppi_hub_score")
 
 
 @register("overlap_with_hubs", sql(
@@ -179,24 +208,11 @@ def ctpd_network(spark, folder):
     return net.ctpd_network(overlap, b.interactions(spark, folder))[1]
 
 
-@register("betweenness")
+@register("betweenness", sql(
+    GRAPH_SQL + FLOW_SQL + "SELECT gene, " + rsql("ppi_betweenness", digits=8) + " FROM flow", "interactions", "edges"))
 def betweenness(spark, folder):
-    # Nations joined by suppliers and customers of the same line item.
-    lines = b.table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey")
-    orders = b.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    suppliers, customers = b.table(spark, folder, "supplier"), b.table(spark, folder, "customer")
-    trade = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("s_nationkey", "c_nationkey").agg(F.count(F.lit(1)).alias("n"))
-    )
-    usual = trade.agg(F.avg("n")).scalar()
-    edges = trade.where(F.col("n") >= usual).select(
-        F.col("s_nationkey").cast("string").alias("protein1"),
-        F.col("c_nationkey").cast("string").alias("protein2"),
-    )
-    return rounded(net.betweenness(net.edge_clean(edges)))
+    clean = net.edge_clean(b.interactions(spark, folder))
+    return rounded(net.betweenness(clean, net.sampled_nodes(clean, SOURCES)), digits=8)
 
 
 @register("union_tables", """SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance,
