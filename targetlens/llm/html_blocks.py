@@ -13,7 +13,9 @@ INLINE = set(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 #: Elements whose content is never text of the page.
-OPAQUE = set("script style noscript template svg math iframe object head title textarea select canvas".split())
+OPAQUE = set("script style noscript template svg math iframe object title textarea select canvas".split())
+#: Of these, elements whose content is plain to the end of the page if their end tag is missing.
+RAW = {"script", "style", "title", "textarea"}
 #: An opening tag of the key ends an open element of the values.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -126,10 +128,12 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         at = match.end()
         closing, name, attributes = match[1], match[2].lower(), match[3]
-        if name in OPAQUE:
+        if name == "head":
+            state.close_block()  # what a head may hold is opaque or void
+        elif name in OPAQUE:
             if not closing and not attributes.endswith("/"):
                 end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else size
+                at = end.end() if end else size if name in RAW else at
             if name not in ("svg", "math"):
                 state.close_block()
         elif name in INLINE:
