@@ -255,10 +255,10 @@ def _texts(spark, folder):
 
 @register("text_relevance_train")
 def text_relevance_train(spark, folder):
-    score = ml.text_relevance_train(_texts(spark, folder), "lr", 2000)
+    score = ml.text_relevance_train(_texts(spark, folder), "lr")
     return rounded(score(b.table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "ml_score"), digits=4)
 
 
 @register("text_relevance_eval")
 def text_relevance_eval(spark, folder):
-    return ml.evaluation_summary(ml.text_relevance_eval(_texts(spark, folder), "doc_id", "lr", 3, 2000), {"model": "lr"})
+    return ml.evaluation_summary(ml.text_relevance_eval(_texts(spark, folder), "doc_id", "lr"), {"model": "lr"})

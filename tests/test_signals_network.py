@@ -94,6 +94,18 @@ def test_clustering_and_betweenness_against_brute_force(spark):
     assert got == pytest.approx(between)
 
 
+def test_betweenness_in_batches_and_from_a_sample(spark):
+    rng = random.Random(5)
+    pairs = {tuple(sorted(rng.sample([f"N{i:02d}" for i in range(40)], 2))) for _ in range(90)}
+    between = brute_graph(pairs)[1]
+    edges = net.edge_clean(spark.createDataFrame(sorted(pairs), "protein1 string, protein2 string"))
+    got = {r.gene: r.ppi_betweenness for r in net.betweenness(edges, state_rows=40 * 15).collect()}
+    assert got == pytest.approx(between)
+    # a loose bound ends the batches early, and the values stay near
+    rough = {r.gene: r.ppi_betweenness for r in net.betweenness(edges, state_rows=40 * 10, error=0.05).collect()}
+    assert max(abs(rough[g] - between[g]) for g in between) < 0.2 and rough != pytest.approx(between)
+
+
 def test_venn(spark):
     rows = [("a", "s1"), ("a", "s2"), ("b", "s1"), ("c", "s2"), ("c", "s2"), ("d", "s2")]
     got = {r.region: r.n for r in net.venn_regions(spark.createDataFrame(rows, "gene string, set_name string")).collect()}
