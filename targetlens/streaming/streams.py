@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from targetlens.operators.qc import qc_gate
 from targetlens.operators.screening import pending_work
@@ -99,16 +102,38 @@ def append_once(path: str, key: str = "id") -> Callable[[DataFrame, int], None]:
 
 
 def latest_results(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
-    """One row per key of what ``append_once`` has written: an ok row if there is one, else the latest."""
-    rows = spark.read.option("basePath", path).parquet(path)
+    """One row per key of what ``stream_results_append`` (or ``append_once``) has written: an ok row if there is one, else the latest."""
+    rows = spark.read.parquet(path)
     columns = [c for c in rows.columns if c != "batch"]
     newest = F.max_by(F.struct(*columns), F.struct((F.col("status") == "ok").alias("ok"), F.col("batch"), F.struct(*columns)))
     return rows.groupBy(key).agg(newest.alias("r")).select("r.*")
 
 
 def stream_results_append(results: DataFrame, path: str, checkpoint: str, key: str = "id") -> StreamingQuery:
-    """Idempotent append of finished work (key, status, ...)."""
+    """Append finished work (key, status, ...) once: nothing more of a key after its first ok row.
+
+    One state row per key tells whether an ok row is stored and how many rows are. A batch reads its
+    own rows and their keys' states, never what is stored; of a key's rows in a batch the best one is
+    appended, an ok row before others. The state and the file sink share the checkpoint, so that a
+    repeated batch appends nothing twice. ``batch`` counts the rows of a key.
+    """
+    columns = results.columns
+    schema = StructType([*results.schema.fields, StructField("batch", LongType())])
+
+    def step(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        done, number = state.get if state.exists else (False, 0)
+        best = None
+        for part in parts:  # a row at most stays of each piece
+            part = part if best is None else pd.concat([best, part])
+            good = part[part["status"] == "ok"]
+            best = (good if len(good) else part).sort_values(columns, na_position="first").tail(1)
+        if done or best is None:
+            return
+        state.update((bool((best["status"] == "ok").any()), number + 1))
+        yield best.assign(batch=number)
+
+    rows = results.groupBy(key).applyInPandasWithState(step, schema, "done boolean, number long", "append", GroupStateTimeout.NoTimeout)
     return (
-        results.writeStream.foreachBatch(append_once(path, key))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        rows.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint).option("path", path)
+        .trigger(availableNow=True).start()
     )

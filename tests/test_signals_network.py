@@ -123,3 +123,5 @@ def test_results_over_several_batches(spark, tmp_path):
         stream_results_append(stream, f"{out}/rows", f"{out}/state").awaitTermination()
     got = {r["id"]: r["status"] for r in latest_results(spark, f"{out}/rows").collect()}
     assert got == {1: "ok", 2: "ok", 3: "failed"}
+    stored = sorted((r["id"], r["batch"], r["status"]) for r in spark.read.parquet(f"{out}/rows").collect())
+    assert stored == [(1, 0, "failed"), (1, 1, "failed"), (1, 2, "ok"), (2, 0, "ok"), (3, 0, "failed")]
