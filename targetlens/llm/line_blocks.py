@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -119,25 +120,29 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, normal) -> DataFrame
 def wanted_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, normal) -> DataFrame:
     """(node, text) of the lines at the places (_id, _h, line, node) of ``wanted``, a written table, in normal form.
 
-    A Bloom filter of bounded size leaves out nearly all other texts before they are split; the join
-    after it is exact.
+    A Bloom filter of bounded size over the places leaves out nearly all other lines before they are
+    split off; the join after it is exact.
     """
-    texts = wanted.select(F.col("_h").alias("fp"))
-    may = Filter(texts, wanted.count())
+    line = F.col("line").cast("long")
+    spots = wanted.select(F.col("_h").bitwiseXOR(F.shiftleft(line, 5)).bitwiseXOR(F.shiftleft(line, 41)).alias("fp"))
+    may = Filter(spots, wanted.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            rows, places, lines = [], [], []
-            for row in np.flatnonzero(may.holds(keys.view(np.uint64))) if len(keys) else []:
-                for i, line in enumerate((batch.column(2)[int(row)].as_py() or "").split("\n")):
-                    if line and not line.isspace():
-                        rows.append(int(row))
-                        places.append(i)
-                        lines.append(normal(line))
-            take = pa.array(rows, pa.int64())
+            sizes = pc.add(pc.fill_null(pc.count_substring(batch.column(2), "\n"), 0), 1).to_numpy(zero_copy_only=False).astype(np.int64)
+            owner = np.repeat(np.arange(len(keys)), sizes)
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            hit = may.holds((keys[owner] ^ (place << 5) ^ (place << 41)).view(np.uint64))
+            owner, place = owner[hit], place[hit]
+            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else []
+            lines = []
+            for a, b in zip(first, np.append(first[1:], len(owner)), strict=True) if len(owner) else []:
+                held = (batch.column(2)[int(owner[a])].as_py() or "").split("\n")
+                lines += [normal(held[i]) for i in place[a:b]]
+            take = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(places, pa.int32()), pa.array(lines, pa.string())],
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(place.astype(np.int32)), pa.array(lines, pa.string())],
                 names=["l_id", "l_h", "l_line", "text"])
 
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()

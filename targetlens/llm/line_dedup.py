@@ -42,7 +42,8 @@ _TIMES = _RNG.integers(0, 1 << 31, VALUES, dtype=np.uint32) * np.uint32(2) + np.
 _PLUS = _RNG.integers(0, 1 << 32, VALUES, dtype=np.uint32)
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(GRAM)], dtype=np.uint64)
 WORD = re.compile(r"[^\W_]+")
-MARK = re.compile(r"(?:[^\w\s]|_)+")
+MARK = re.compile(r"[^\w\s\x00-\x7f]+")
+ASCII_MARKS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 #: Total weight of a line up to which four counters fit in one 64-bit number.
 LANE = (1 << 16) - 1
 #: Words of the texts that are counted in one call, at least.
@@ -56,7 +57,12 @@ def line_words(line: str) -> list[str]:
 
 def normalised(line: str) -> str:
     """The words of a line in lower case with single blanks, as ``line_words`` finds them."""
-    return " ".join(MARK.sub(" ", line.lower()).split()) or " ".join(line.split())
+    low = line.lower()
+    if not low.isascii() and MARK.search(low):
+        low = MARK.sub(" ", low)
+    # the other marks are single bytes of UTF-8
+    plain = low.encode("utf-8", "surrogatepass").translate(ASCII_MARKS).decode("utf-8", "surrogatepass")
+    return " ".join(plain.split()) or " ".join(line.split())
 
 
 def signed(value: int) -> int:
