@@ -298,6 +298,19 @@ def rescoring(train: DataFrame, score: DataFrame, label: str, model: str = "rf",
     return predicted.select(*[c for c in score.columns if c != "features"], "ml_score")
 
 
+def rescoring_out_of_fold(
+    rows: DataFrame, label: str, key: str, splits: int = 5, model: str = "rf", seed: int = 42
+) -> DataFrame:
+    """``rescoring`` of labelled rows, each by a model trained on the other folds only."""
+    dealt = cut_lineage(folds(rows, label, key, splits, seed))
+    out = None
+    for fold in range(splits):
+        inside = F.col("fold") == fold
+        part = rescoring(dealt.where(~inside).drop("fold"), dealt.where(inside).drop("fold", label), label, model, seed)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---- texts -----------------------------------------------------------------------------------
 
 

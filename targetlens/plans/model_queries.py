@@ -238,14 +238,15 @@ def prediction_confidence(spark, folder):
 
     columns = [f"x{i}" for i in range(8)]
     data = VectorAssembler(inputCols=columns, outputCol="features").transform(_labelled(spark, folder))
-    model = ml.build_classifier("lr", 8, 2).fit(data)
-    return rounded(ml.prediction_confidence(model.transform(data), "id", ["even", "odd"]), digits=4)
+    # out of fold: a row's confidence comes from a model that has not seen it
+    scored = ml.cross_predict(ml.folds(data, "label", "id", 5), ml.build_classifier("lr", 8, 2), 5)
+    return rounded(ml.prediction_confidence(scored, "id", ["even", "odd"]), digits=4)
 
 
 @register("rescoring")
 def rescoring(spark, folder):
     points = _points(spark, folder).select("id", F.col("v").alias("features"), (F.col("label") % 2).alias("active"))
-    return rounded(ml.rescoring(points, points.drop("active"), "active"), digits=4)
+    return rounded(ml.rescoring_out_of_fold(points, "active", "id"), digits=4)
 
 
 def _texts(spark, folder):

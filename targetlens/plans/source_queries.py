@@ -238,9 +238,9 @@ def scan_structure_box(spark, folder):
 
 
 @register("scan_hetero_groups", """SELECT l_orderkey AS file, 'A' AS chain, CAST(l_suppkey % 3 AS VARCHAR) AS resseq, 'LIG' AS resname,
-    count(*) AS atoms FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'O' GROUP BY 1, 3 HAVING count(*) >= 2""")
+    count(*) AS atoms FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'O' GROUP BY 1, 3 HAVING count(*) >= 3""")
 def scan_hetero_groups(spark, folder):
-    return ps.scan_hetero_groups(_atom_lines(spark, folder), fewest=2)
+    return ps.scan_hetero_groups(_atom_lines(spark, folder))
 
 
 def _log_lines(spark, folder):

@@ -67,7 +67,7 @@ def prank(value: str) -> str:
             " / count(*) OVER ()")
 
 
-@register("dependency_effect", sql(SIDES_SQL + "SELECT gene, " + rsql("depmap_effect") + " FROM dep",
+@register("dependency_effect", sql(SIDES_SQL + "SELECT gene, " + rsql("depmap_effect") + ", (SELECT count(*) FROM dep) AS n_models FROM dep",
     "counts", "cells", "expression", "samples"))
 def dependency_effect(spark, folder):
     return rounded(tg.dependency_effect(dependency(spark, folder), "liver a"))
