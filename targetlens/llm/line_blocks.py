@@ -9,12 +9,12 @@ decides which pairs that share a block are worth an edit check.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -81,13 +81,13 @@ def line_prints(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str, normal) -> DataFrame:
-    """(_id, _h, line, node, fp, blocks) of every line with a character that is not blank.
+    """(_id, _h, line, node, size, fp, blocks) of every line with a character that is not blank.
 
-    ``line`` counts from 0; ``node`` is the hash of the line in the form that ``normal`` gives it.
+    ``line`` counts from 0; ``node`` and ``size`` are hash and length of the form that ``normal`` gives it.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, keys, held, size, parts = [], [], [], [], 0, []
+            rows, places, keys, sizes, held, size, parts = [], [], [], [], [], 0, []
             for row, text in enumerate(batch.column(2)):
                 for i, line in enumerate((text.as_py() or "").split("\n")):
                     if line and not line.isspace():
@@ -96,6 +96,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, normal) -> DataFrame
                         places.append(i)
                         held.append(line)
                         keys.append(xxh64_intdigest(line))
+                        sizes.append(len(line))
                         size += len(line)
                 if size >= TOGETHER:
                     parts.append(line_prints(held))
@@ -108,13 +109,26 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, normal) -> DataFrame
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(take), batch.column(1).take(take), pa.array(places, pa.int32()),
-                pa.array(np.array(keys, dtype=np.uint64).view(np.int64)), pa.array(prints),
+                pa.array(np.array(keys, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prints),
                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(blocks)),
-            ], names=["_id", "_h", "line", "node", "fp", "blocks"])
+            ], names=["_id", "_h", "line", "node", "size", "fp", "blocks"])
 
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
     return docs.select(*row_identity(id_col, text_col), F.col(text_col).alias("t")).mapInArrow(
-        run, f"_id {kind}, _h long, line int, node long, fp long, blocks array<long>")
+        run, f"_id {kind}, _h long, line int, node long, size int, fp long, blocks array<long>")
+
+
+def may_be_similar(least: float) -> tuple[Callable, Callable]:
+    """Test of two sketches (fp, size) by distance and length, for columns and for arrays."""
+    def columns(a: Column, b: Column) -> Column:
+        fits = F.least(a["size"], b["size"]) >= least * F.greatest(a["size"], b["size"]) - 1e-9
+        return fits & (F.bit_count(a["fp"].bitwiseXOR(b["fp"])) <= MAX_DISTANCE)
+
+    def arrays(a: dict, b: dict) -> np.ndarray:
+        fits = np.minimum(a["size"], b["size"]) >= least * np.maximum(a["size"], b["size"]) - 1e-9
+        return fits & (np.bitwise_count((a["fp"] ^ b["fp"]).view(np.uint64)) <= MAX_DISTANCE)
+
+    return columns, arrays
 
 
 def wanted_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, normal) -> DataFrame:

@@ -20,7 +20,7 @@ from xxhash import xxh64_intdigest
 from targetlens.llm import line_blocks
 from targetlens.llm.common import Scratch, bounded, boxed, row_identity, unboxed, without_lines
 from targetlens.llm.components import connected_components
-from targetlens.llm.linking import bucket_links, links_between
+from targetlens.llm.linking import bucket_links, links_between, near_rows
 from targetlens.llm.simhash_dedup import block_keys, close_members, hamming_near
 
 Similar = Callable[[str, str], bool]
@@ -297,7 +297,7 @@ def line_classes(
     lines = scratch.keep(line_blocks.line_table(docs, id_col, text_col, normalised) if segments else line_table(docs, id_col, text_col))
     place = F.struct(F.isnull("_id").alias("no"), F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("line").alias("line"))
     nodes = scratch.keep(lines.groupBy("node").agg(
-        F.min("fp").alias("sketch"), F.count(F.lit(1)).alias("weight"), F.min(place).alias("first"),
+        F.min(F.struct("fp", "size") if segments else "fp").alias("sketch"), F.count(F.lit(1)).alias("weight"), F.min(place).alias("first"),
         *([F.first("blocks").alias("blocks")] if segments else []),
     ))
     distance = line_blocks.MAX_DISTANCE if segments else MAX_SKETCH_DISTANCE if grams else MAX_DISTANCE
@@ -331,10 +331,17 @@ def line_classes(
         return pairs.join(left, "a").join(right, "b").where(edit_similar(similar)(F.col("ta"), F.col("tb"))).select("a", "b")
 
     def settle(ends: DataFrame, inside: DataFrame) -> DataFrame:
-        facts = line_texts(inside.select("node")).join(nodes.select("node", "sketch"), "node")
+        known = nodes.select("node", "sketch")
+        if segments:
+            known = nodes.select("node", "sketch.fp", "sketch.size")
+            left = scratch.keep(near_rows(ends, inside, known, near_arrays))
+            ends, inside = left.where("end").select("bucket", "node"), left.select("bucket", "node").distinct()
+            known = known.select("node", F.col("fp").alias("sketch"))
+        facts = line_texts(inside.select("node")).join(known, "node")
         return links_between(ends, inside, facts, similar_members(distance, similar, segments))
 
-    links = bucket_links(members, nodes, hamming_near(distance), verify, scratch, settle)
+    near_columns, near_arrays = line_blocks.may_be_similar(MIN_SIMILARITY)
+    links = bucket_links(members, nodes, near_columns if segments else hamming_near(distance), verify, scratch, settle)
     scratch.only(lines, nodes, links)
     component = connected_components(links).withColumnRenamed("node", "n")
     placed = nodes.join(component, F.col("node") == F.col("n"), "left").select(
@@ -343,7 +350,7 @@ def line_classes(
     heads = placed.groupBy("root").agg(F.min("first").alias("head"))
     # a node keeps its first place if that is also the first of its group
     keepers = placed.join(heads, "root").where(F.col("first") == F.col("head")).select(F.col("node").alias("k"), "head")
-    return lines.drop("blocks").join(keepers, F.col("node") == F.col("k"), "left").select(
+    return lines.drop("blocks", "size").join(keepers, F.col("node") == F.col("k"), "left").select(
         "_id", "_h", "line",
         F.coalesce(
             F.col("_id").eqNullSafe(F.col("head.id")) & (F.col("_h") == F.col("head.h")) & (F.col("line") == F.col("head.line")),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,6 +75,51 @@ def bucket_links(
     return scratch.keep(first.unionByName(settle(ends, inside)).distinct())
 
 
+def _dealt(ends: DataFrame, inside: DataFrame, facts: DataFrame) -> tuple[DataFrame, Column]:
+    """(bucket, i, j, node, end, facts) of both sides, and the call that a pair of pieces belongs to."""
+    pieces = lambda df, name: df.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias(f"{name}_rows"), F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias(f"n_{name}"))
+    counts = pieces(ends, "ends").join(pieces(inside, "inside"), "bucket")
+    rows = counts.agg(F.sum(F.expr("ends_rows * n_inside + inside_rows * n_ends"))).first()[0] or 0
+    calls = int(rows // (2 * PIECE)) + 1
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = ends.join(counts, "bucket").select("bucket", own("n_ends").alias("i"), upto("n_inside").alias("j"), "node", F.lit(True).alias("end"))
+    right = inside.join(counts, "bucket").select("bucket", upto("n_ends").alias("i"), own("n_inside").alias("j"), "node", F.lit(False).alias("end"))
+    return left.unionByName(right).join(facts, "node"), F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(calls))
+
+
+def near_rows(ends: DataFrame, inside: DataFrame, facts: DataFrame, near: Callable) -> DataFrame:
+    """(bucket, node, end): the ends and members that have a partner on the other side of their bucket.
+
+    ``near(a, b)`` tells from the facts of two arrays of rows (as dictionaries of columns, ``a`` as a
+    column and ``b`` as a row of a table) which pairs may be similar. Nothing large needs to be
+    among the facts, so that only what is left must meet with its text.
+    """
+    dealt, call = _dealt(ends, inside, facts)
+    names = [c for c in facts.columns if c != "node"]
+
+    def partners(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["bucket", "i", "j"], kind="stable")
+        bucket, node, end = (part[c].to_numpy() for c in ("bucket", "node", "end"))
+        key = part[["bucket", "i", "j"]].to_numpy()
+        columns = {c: part[c].to_numpy() for c in names}
+        kept = np.zeros(len(part), dtype=bool)
+        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])) if len(part) else []
+        for a, b in zip(first, np.append(first[1:], len(part)), strict=True) if len(part) else []:
+            side = end[a:b]
+            asked, there = a + np.flatnonzero(side), a + np.flatnonzero(~side)
+            for at in range(0, len(asked), 256):
+                rows = asked[at:at + 256]
+                hit = near({c: v[rows][:, None] for c, v in columns.items()}, {c: v[there][None, :] for c, v in columns.items()})
+                hit &= node[rows][:, None] != node[there][None, :]
+                kept[rows[hit.any(axis=1)]] = True
+                kept[there[hit.any(axis=0)]] = True
+        return pd.DataFrame({"bucket": bucket[kept], "node": node[kept], "end": end[kept]})
+
+    return dealt.groupBy(call.alias("call")).applyInPandas(partners, "bucket long, node long, end boolean").distinct()
+
+
 def links_between(
     ends: DataFrame, inside: DataFrame, facts: DataFrame, lookup: Callable[[pd.DataFrame], Callable]
 ) -> DataFrame:
@@ -87,16 +133,7 @@ def links_between(
     the members that may be linked to it and, if that needs confirming, a test of an end and a
     member, which is made only while the two are not connected yet.
     """
-    pieces = lambda df, name: df.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias(f"{name}_rows"), F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias(f"n_{name}"))
-    counts = pieces(ends, "ends").join(pieces(inside, "inside"), "bucket")
-    rows = counts.agg(F.sum(F.expr("ends_rows * n_inside + inside_rows * n_ends"))).first()[0] or 0
-    calls = int(rows // (2 * PIECE)) + 1
-    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = ends.join(counts, "bucket").select("bucket", own("n_ends").alias("i"), upto("n_inside").alias("j"), "node", F.lit(True).alias("end"))
-    right = inside.join(counts, "bucket").select("bucket", upto("n_ends").alias("i"), own("n_inside").alias("j"), "node", F.lit(False).alias("end"))
-    dealt = left.unionByName(right).join(facts, "node")
+    dealt, call = _dealt(ends, inside, facts)
 
     def forest(part: pd.DataFrame) -> list[tuple[int, int]]:
         up: dict[int, int] = {}
@@ -120,5 +157,4 @@ def links_between(
         links = [link for _, part in parts.groupby(["bucket", "i", "j"], sort=False) for link in forest(part)]
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    call = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(calls))
     return dealt.groupBy(call.alias("call")).applyInPandas(forests, "a long, b long").distinct()
