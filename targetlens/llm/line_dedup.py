@@ -338,7 +338,7 @@ def line_classes(
             ends, inside = left.where("end").select("bucket", "node"), left.select("bucket", "node").distinct()
             known = known.select("node", F.col("fp").alias("sketch"))
         facts = line_texts(inside.select("node")).join(known, "node")
-        return links_between(ends, inside, facts, similar_members(distance, similar, segments))
+        return links_between(ends, inside, facts, similar_members(distance, similar, segments), together=segments)
 
     near_columns, near_arrays = line_blocks.may_be_similar(MIN_SIMILARITY)
     links = bucket_links(members, nodes, near_columns if segments else hamming_near(distance), verify, scratch, settle)

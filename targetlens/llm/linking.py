@@ -75,18 +75,26 @@ def bucket_links(
     return scratch.keep(first.unionByName(settle(ends, inside)).distinct())
 
 
-def _dealt(ends: DataFrame, inside: DataFrame, facts: DataFrame) -> tuple[DataFrame, Column]:
-    """(bucket, i, j, node, end, facts) of both sides, and the call that a pair of pieces belongs to."""
+def _dealt(ends: DataFrame, inside: DataFrame, facts: DataFrame, together: bool = True) -> DataFrame:
+    """(bucket, i, j, node, end, facts, call) of both sides; a pair of pieces belongs to one call."""
     pieces = lambda df, name: df.groupBy("bucket").agg(
         F.count(F.lit(1)).alias(f"{name}_rows"), F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias(f"n_{name}"))
-    counts = pieces(ends, "ends").join(pieces(inside, "inside"), "bucket")
+    # buckets of the same lines have their smallest member in common mostly, and so meet in one call
+    anchors = inside.groupBy("bucket").agg(F.min("node").alias("anchor"))
+    counts = pieces(ends, "ends").join(pieces(inside, "inside"), "bucket").join(anchors, "bucket")
     rows = counts.agg(F.sum(F.expr("ends_rows * n_inside + inside_rows * n_ends"))).first()[0] or 0
     calls = int(rows // (2 * PIECE)) + 1
     own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = ends.join(counts, "bucket").select("bucket", own("n_ends").alias("i"), upto("n_inside").alias("j"), "node", F.lit(True).alias("end"))
-    right = inside.join(counts, "bucket").select("bucket", upto("n_ends").alias("i"), own("n_inside").alias("j"), "node", F.lit(False).alias("end"))
-    return left.unionByName(right).join(facts, "node"), F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(calls))
+    left = ends.join(counts, "bucket").select("bucket", own("n_ends").alias("i"), upto("n_inside").alias("j"), "anchor", "node", F.lit(True).alias("end"))
+    right = inside.join(counts, "bucket").select("bucket", upto("n_ends").alias("i"), own("n_inside").alias("j"), "anchor", "node", F.lit(False).alias("end"))
+    call = F.pmod(F.xxhash64("anchor" if together else "bucket", "i", "j"), F.lit(calls))
+    dealt = left.unionByName(right).join(facts, "node").withColumn("call", call).drop("anchor")
+    if not together:
+        return dealt
+    # comparisons cost far more than their bytes tell, so the calls are not merged into fewer tasks
+    tasks = min(calls, int(ends.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.repartition(tasks, "call")
 
 
 def near_rows(ends: DataFrame, inside: DataFrame, facts: DataFrame, near: Callable) -> DataFrame:
@@ -96,7 +104,7 @@ def near_rows(ends: DataFrame, inside: DataFrame, facts: DataFrame, near: Callab
     column and ``b`` as a row of a table) which pairs may be similar. Nothing large needs to be
     among the facts, so that only what is left must meet with its text.
     """
-    dealt, call = _dealt(ends, inside, facts)
+    dealt = _dealt(ends, inside, facts)
     names = [c for c in facts.columns if c != "node"]
 
     def partners(part: pd.DataFrame) -> pd.DataFrame:
@@ -117,11 +125,11 @@ def near_rows(ends: DataFrame, inside: DataFrame, facts: DataFrame, near: Callab
                 kept[there[hit.any(axis=0)]] = True
         return pd.DataFrame({"bucket": bucket[kept], "node": node[kept], "end": end[kept]})
 
-    return dealt.groupBy(call.alias("call")).applyInPandas(partners, "bucket long, node long, end boolean").distinct()
+    return dealt.groupBy("call").applyInPandas(partners, "bucket long, node long, end boolean").distinct()
 
 
 def links_between(
-    ends: DataFrame, inside: DataFrame, facts: DataFrame, lookup: Callable[[pd.DataFrame], Callable]
+    ends: DataFrame, inside: DataFrame, facts: DataFrame, lookup: Callable[[pd.DataFrame], Callable], together: bool = False
 ) -> DataFrame:
     """Links (a, b) that connect ``ends`` (bucket, node) to the similar members ``inside`` their buckets.
 
@@ -131,13 +139,13 @@ def links_between(
     all, as most buckets are small. ``facts`` has what
     is compared per node; ``lookup`` turns the members of a piece into a function from an end to
     the members that may be linked to it and, if that needs confirming, a test of an end and a
-    member, which is made only while the two are not connected yet.
+    member, which is made only while the two are not connected yet. With ``together``, buckets of the
+    same lines meet in one call mostly, and what one has connected or told apart is not compared
+    again in another; for comparisons that cost far more than a bucket's row.
     """
-    dealt, call = _dealt(ends, inside, facts)
-
-    def forest(part: pd.DataFrame) -> list[tuple[int, int]]:
-        up: dict[int, int] = {}
+    dealt = _dealt(ends, inside, facts, together)
 
+    def forest(part: pd.DataFrame, up: dict[int, int], unlike: set[tuple[int, int]]) -> list[tuple[int, int]]:
         def root(x: int) -> int:
             while up.setdefault(x, x) != x:
                 up[x] = up[up[x]]
@@ -148,13 +156,22 @@ def links_between(
         for end in part[part["end"]].itertuples(index=False):
             for other in similar(end):
                 a, b = root(int(end.node)), root(int(other))
-                if a != b and (confirm is None or confirm(end, other)):
+                pair = (min(int(end.node), int(other)), max(int(end.node), int(other)))
+                if a == b or pair in unlike:
+                    continue
+                if confirm is None or confirm(end, other):
                     up[max(a, b)] = min(a, b)
-                    out.append((min(int(end.node), int(other)), max(int(end.node), int(other))))
+                    out.append(pair)
+                else:
+                    unlike.add(pair)
         return out
 
     def forests(parts: pd.DataFrame) -> pd.DataFrame:
-        links = [link for _, part in parts.groupby(["bucket", "i", "j"], sort=False) for link in forest(part)]
+        up: dict[int, int] = {}
+        unlike: set[tuple[int, int]] = set()
+        links = []
+        for _, part in parts.groupby(["bucket", "i", "j"], sort=False):
+            links += forest(part, up, unlike) if together else forest(part, {}, set())
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy(call.alias("call")).applyInPandas(forests, "a long, b long").distinct()
+    return dealt.groupBy("call").applyInPandas(forests, "a long, b long").distinct()
