@@ -167,6 +167,28 @@ def test_searched_leaves_do_not_grow_with_the_points(spark):
     assert number[2] > 8 * number[0] and searched[2] < 1.5 * searched[0]
 
 
+@pytest.mark.parametrize("classes", [2, 3])
+def test_lasso_svm(spark, classes):
+    """The informative features stay, and rows are predicted by models that have not seen them."""
+    from pyspark.ml.functions import array_to_vector
+
+    from targetlens.operators import learning as ml
+
+    rng = np.random.default_rng(2)
+    labels = rng.integers(0, classes, 240)
+    noise = rng.normal(0, 1, (240, 6))
+    noise[:, 2] += 3 * labels
+    noise[:, 4] -= 3 * (labels == 1)
+    df = spark.createDataFrame([(i, float(y), x.tolist()) for i, (y, x) in enumerate(zip(labels, noise))], "id long, label double, x array<double>").coalesce(1)
+    data = df.select("id", "label", array_to_vector("x").alias("features"))
+    model = ml.LassoSVC(classes, most=2).fit(data)
+    assert set(model.stages[0].getIndices()) == {2, 4}
+    scored = ml.cross_predict(ml.folds(data, "label", "id", 3), ml.build_classifier("lasso_svm", 6, classes), 3)
+    rows = scored.select("id", "label", "prediction", "probability").collect()
+    assert len(rows) == 240 and np.mean([r.label == r.prediction for r in rows]) > 0.85
+    assert all(abs(sum(r.probability) - 1) < 1e-6 and int(np.argmax(r.probability)) == r.prediction for r in rows)
+
+
 def test_clusters_and_batches(spark):
     links = [(a, b) for g in (range(0, 5), range(10, 15)) for a in g for b in g if a < b]
     df = spark.createDataFrame(links, "id long, neighbour long")
