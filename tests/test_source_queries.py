@@ -42,3 +42,8 @@ def test_clinical_join_with_a_customer_without_orders(check):
         "clinical_join", customer="SELECT unnest([1, 2, 3])::BIGINT AS c_custkey",
         orders="SELECT unnest([1, 1, 3])::BIGINT AS o_custkey, unnest(['F', 'O', 'O']) AS o_orderstatus")
     assert [(row[-2], row[-1]) for row in got if "C-2" in row] == [(None, 0.0)]
+
+
+def test_hetero_groups_of_two_atoms(check):
+    rows = [(1, 1, 3, 1, 1, "R", "O"), (1, 2, 6, 2, 1, "R", "O"), (2, 1, 1, 1, 1, "R", "O"), (3, 1, 1, 1, 1, "A", "O"), (3, 1, 1, 2, 1, "A", "O")]
+    assert len(check("scan_hetero_groups", lineitem=line_items(*rows))) == 1
