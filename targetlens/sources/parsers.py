@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from targetlens.functions.columns import number, ratio, safe_name, yes
 from targetlens.functions.ordering import value_ranks
+from targetlens.session import cut_lineage
 
 # Residue names, file-name tokens and label rules.
 WATER_NAMES = ("HOH", "WAT", "DOD")
@@ -574,7 +575,9 @@ def barcode_match_join(cells: DataFrame, metadata: DataFrame, enough: int = 10)
     """(cell, barcode, strategy): the first normalisation that matches at least ``enough`` cells.
 
     All strategies are tried in one join on (kind of key, key); repeated keys on the metadata side
-    keep their first barcode. Without a good strategy the last one counts.
+    keep their first barcode. Without a good strategy the last one counts. The keys are six rows per
+    barcode, which size estimates do not see, so the join is told to sort both sides; what it finds
+    is written once.
     """
     s = F.col("sample") if "sample" in cells.columns else None
     wanted = cells.select("cell", F.posexplode(F.array(*[
@@ -590,8 +593,8 @@ def barcode_match_join(cells: DataFrame, metadata: DataFrame, enough: int = 10)
     known = metadata.select("barcode", F.explode(F.array(*[
         F.struct(F.lit(n).alias("side"), c.alias("key")) for n, c in sides.items()
     ])).alias("k")).groupBy("k.side", "k.key").agg(F.min("barcode").alias("barcode"))
-    matched = wanted.join(known, ["side", "key"])
+    matched = cut_lineage(wanted.join(known.hint("merge"), ["side", "key"]).select("cell", "barcode", "strategy"))
     counts = matched.groupBy("strategy").agg(F.count(F.lit(1)).alias("n"))
     chosen = counts.agg(F.coalesce(
         F.min(F.when(F.col("n") >= enough, F.col("strategy"))), F.max("strategy"))).scalar()
-    return matched.where(F.col("strategy") == chosen).select("cell", "barcode", "strategy")
+    return matched.where(F.col("strategy") == chosen)

@@ -47,3 +47,14 @@ def test_clinical_join_with_a_customer_without_orders(check):
 def test_hetero_groups_of_two_atoms(check):
     rows = [(1, 1, 3, 1, 1, "R", "O"), (1, 2, 6, 2, 1, "R", "O"), (2, 1, 1, 1, 1, "R", "O"), (3, 1, 1, 1, 1, "A", "O"), (3, 1, 1, 2, 1, "A", "O")]
     assert len(check("scan_hetero_groups", lineitem=line_items(*rows))) == 1
+
+
+def test_barcode_keys_are_not_broadcast(spark, monkeypatch):
+    from targetlens.sources import parsers as ps
+
+    plans = []
+    monkeypatch.setattr(ps, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or df)
+    cells = spark.range(40).selectExpr("concat('AC', id, '-1_x') AS cell", "'S' AS sample")
+    found = ps.barcode_match_join(cells, spark.range(0, 40, 2).selectExpr("concat('AC', id, '-1') AS barcode")).collect()
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
+    assert len(found) == 20 and all(r.cell == f"{r.barcode}_x" and r.strategy == 2 for r in found)
