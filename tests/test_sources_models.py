@@ -278,3 +278,16 @@ def test_parsers_on_ordinary_variations(spark):
 def test_fingerprint_tells_fields_apart(spark):
     mark = lambda *row: sk.input_fingerprint(spark.createDataFrame([row], "a string, b string"), "t").first().digest
     assert mark("a|b", "c") != mark("a", "b|c") and mark(None, "a") != mark("-", "a")
+
+
+def test_points_travel_once_a_block_and_not_once_a_leaf(spark, monkeypatch):
+    n, sent, tiles = 1200, [], em._neighbour_tiles
+    monkeypatch.setattr(em, "_neighbour_tiles", lambda q, t, *a: sent.append(max(q.count(), t.count())) or tiles(q, t, *a))
+    v = np.random.default_rng(5).normal(0, 1, (n, 24))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    got = {(r.id, r["rank"]): r.neighbour for r in em.knn_graph(df, 3, block=16).collect()}
+    assert max(sent) <= 9 * n
+    d = ((v[:, None] - v[None]) ** 2).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    best = np.argsort(d, axis=1)
+    assert all(got[i, k + 1] == best[i, k] for i in range(n) for k in range(3))
