@@ -58,3 +58,15 @@ def test_barcode_keys_are_not_broadcast(spark, monkeypatch):
     found = ps.barcode_match_join(cells, spark.range(0, 40, 2).selectExpr("concat('AC', id, '-1') AS barcode")).collect()
     assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
     assert len(found) == 20 and all(r.cell == f"{r.barcode}_x" and r.strategy == 2 for r in found)
+
+
+def test_a_name_is_cleaned_once(spark):
+    from pyspark.sql import functions as F
+
+    from targetlens.functions.columns import safe_name
+
+    rows = [("..a b__", ), ("._", ), (None, ), ("x" * 81, ), ("_" * 90, ), ("a" + "_" * 200 + "b", )]
+    df = spark.createDataFrame(rows, "t string").select("t", safe_name("t", F.lit("doc")).alias("n"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    got = [r.n for r in df.collect()]
+    assert got[:3] == ["a_b", "doc", "doc"] and got[4] == "doc" and [len(n) for n in (got[3], got[5])] == [80, 80]
