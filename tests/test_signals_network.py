@@ -125,3 +125,12 @@ def test_results_over_several_batches(spark, tmp_path):
     assert got == {1: "ok", 2: "ok", 3: "failed"}
     stored = sorted((r["id"], r["batch"], r["status"]) for r in spark.read.parquet(f"{out}/rows").collect())
     assert stored == [(1, 0, "failed"), (1, 1, "failed"), (1, 2, "ok"), (2, 0, "ok"), (3, 0, "failed")]
+
+
+def test_betweenness_steps_join_numbers(spark, monkeypatch):
+    kinds, search = [], net._dependencies
+    monkeypatch.setattr(net, "_dependencies", lambda links, starts: kinds.append(dict(links.dtypes)) or search(links, starts))
+    edges = spark.createDataFrame([("A", "B"), ("B", "C"), ("C", "D")], "src string, dst string")
+    got = {r.gene: r.ppi_betweenness for r in net.betweenness(edges).collect()}
+    assert kinds == [{"node": "bigint", "neighbour": "bigint"}]
+    assert got == {"A": 0.0, "B": pytest.approx(2 / 3), "C": pytest.approx(2 / 3), "D": 0.0}
