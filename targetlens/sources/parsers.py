@@ -85,7 +85,8 @@ def scan_mtx(lines: DataFrame, genes: DataFrame, barcodes: DataFrame) -> DataFra
     become GeneN / CellN.
     """
     body = lines.where(~F.startswith("value", F.lit("%")) & (F.trim("value") != ""))
-    head = body.groupBy("file").agg(F.min("line_no").alias("_head"))
+    # a small table of its own, so that the lines of a file need not meet in one task
+    head = cut_lineage(body.groupBy("file").agg(F.min("line_no").alias("_head")))
     parts = F.split(F.trim("value"), r"\s+")
     entries = body.join(head, "file").where(F.col("line_no") > F.col("_head")).select(
         "file", parts[0].cast("long").alias("i"), parts[1].cast("long").alias("j"),

@@ -70,3 +70,14 @@ def test_a_name_is_cleaned_once(spark):
     assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
     got = [r.n for r in df.collect()]
     assert got[:3] == ["a_b", "doc", "doc"] and got[4] == "doc" and [len(n) for n in (got[3], got[5])] == [80, 80]
+
+
+def test_first_lines_of_matrix_files_are_a_table_of_their_own(spark, monkeypatch):
+    from targetlens.sources import parsers as ps
+
+    kept, keep = [], ps.cut_lineage
+    monkeypatch.setattr(ps, "cut_lineage", lambda df: kept.append(df.columns) or keep(df))
+    lines = spark.createDataFrame([("f", 1, "%%x"), ("f", 2, "1 1 1"), ("f", 3, "1 1 7")], "file string, line_no long, value string")
+    names = spark.createDataFrame([("f", 1, "a")], "file string, pos long, name string")
+    assert [tuple(r) for r in ps.scan_mtx(lines, names, names).collect()] == [("f", "a", "a", 7.0)]
+    assert kept == [["file", "_head"]]
