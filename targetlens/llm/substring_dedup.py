@@ -39,6 +39,9 @@ MAX_SKETCH_DISTANCE = 9
 #: Zero-width ends of sentences, alike in Python and Java.
 SENTENCE_END = r"(?<=\n)|(?<=[.!?][ \t])"
 CELLS = 1 << 21
+#: A document's sentences that others hold, and its paragraphs of a class.
+SHARED = "array<struct<number int, n_words int, class_id bigint>>"
+REPEATED = ("line", "n_words", "class_id", "kept_id", "kept_line", "kept", "across", "run_words", "passage_words")
 
 
 def tuned_bands(similarity: float, rows: int, recall: float) -> int:
@@ -290,11 +293,12 @@ def sentence_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shared_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(_id, _h, n_sentences, n_shared, shared_words, longest): per row its sentences that other rows hold as well.
+    """(_id, _h, n_sentences, n_shared, shared_words, longest, shared): per row its sentences that other rows hold as well.
 
     A stretch is a sequence of shared sentences with up to MAX_GAP others between two of them.
     ``shared_words`` are the words of the shared sentences in stretches of ``min_words`` or more,
-    ``longest`` those of the longest stretch. Repeated rows are copies and share all of their
+    ``longest`` those of the longest stretch; ``shared`` lists every shared sentence (number, n_words,
+    class_id: the hash that all its rows have) in order, whatever its stretch. Repeated rows are copies and share all of their
     sentences; NULL and empty texts have none. Sentences are counted once per text before the
     shuffle; a Bloom filter of bounded size thins out the texts' sentences before the exact join.
     """
@@ -318,7 +322,7 @@ def shared_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     maybe = texts.select("row", "units", "sizes").mapInArrow(thinned, "row long, fp long, place int, size int")
     # places of a text's shared sentences, in one row per text
-    hits = maybe.join(shared, "fp", "left_semi").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "size"))).alias("hits"))
+    hits = maybe.join(shared, "fp", "left_semi").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "size", "fp"))).alias("hits"))
     start = F.struct(F.lit(-MAX_GAP - 2).alias("last"), F.lit(0).alias("words"), F.lit(0).alias("total"), F.lit(0).alias("longest"))
 
     def step(state: Column, hit: Column) -> Column:
@@ -329,32 +333,39 @@ def shared_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return F.struct(
             hit["place"].alias("last"), words.alias("words"), (state["total"] + gain).alias("total"), F.greatest(state["longest"], words).alias("longest"))
 
-    found = hits.select("row", F.size("hits").alias("n"), F.aggregate("hits", start, step).alias("s"))
+    found = hits.select("row", F.size("hits").alias("n"), F.aggregate("hits", start, step).alias("s"), F.col("hits").cast(SHARED).alias("shared"))
     rows = texts.select("row", "_id", "_h", F.size("units").alias("n_sentences"))
     zero = lambda c, name: F.coalesce(c, F.lit(0)).cast("long").alias(name)
     return rows.join(found, "row", "left").select(
         "_id", "_h", F.col("n_sentences").cast("long").alias("n_sentences"), zero(F.col("n"), "n_shared"), zero(F.col("s.total"), "shared_words"),
-        zero(F.col("s.longest"), "longest"))
+        zero(F.col("s.longest"), "longest"), F.coalesce("shared", F.array().cast(SHARED)).alias("shared"))
 
 
 def passage_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per row of ``docs``: ``_id``, n_sentences, n_shared, longest, n_repeated, n_removable, removable_words,
-    near_words, n_passage_words.
-
-    ``n_repeated`` counts the paragraphs of a class (see :func:`repeated_paragraphs`), ``n_removable``
-    and ``removable_words`` those kept at another place. ``near_words`` are the words of unbroken
-    runs of ``min_words`` of paragraphs that other documents repeat, equal or similar.
-    ``n_passage_words`` is the larger of these and the words of shared stretches of sentences: over 0
-    for documents with a passage that others hold. Repeated rows and NULLs as in the two parts.
+    near_words, n_passage_words, repeated_words, n_shared_words, repeated, shared.
+
+    Nothing is left out for being short: ``repeated`` lists every paragraph of a class with its class
+    id, kept place and runs (see :func:`repeated_paragraphs`, columns REPEATED) and ``shared`` every
+    sentence that others hold (see :func:`shared_stretches`), both in order; empty lists if none.
+    ``n_repeated`` and ``repeated_words`` count the first, ``n_shared`` and ``n_shared_words`` the
+    second, ``n_removable`` and ``removable_words`` the paragraphs kept at another place. Two flags
+    ask for ``min_words``: ``near_words`` are the words of unbroken runs of so many of paragraphs that
+    other documents repeat, equal or similar, and ``n_passage_words`` is the larger of these and the
+    words of shared stretches of sentences. Repeated rows and NULLs as in the two parts.
     """
     run = F.when(F.col("run_words") >= min_words, F.col("n_words")).otherwise(0)
     lines = repeated_paragraphs(docs, id_col, text_col, min_words).groupBy("_id", "_h").agg(
         F.count(F.lit(1)).alias("n_repeated"), F.count_if(~F.col("kept")).alias("n_removable"),
         F.sum(F.when(~F.col("kept"), F.col("n_words")).otherwise(0)).alias("removable_words"), F.sum(run).alias("near_words"),
+        F.sum("n_words").alias("repeated_words"), F.sort_array(F.collect_list(F.struct(*REPEATED))).alias("repeated"),
     ).withColumnsRenamed({"_id": "l_id", "_h": "l_h"})
     rows = shared_stretches(docs, id_col, text_col, min_words)
     joined = rows.join(lines, F.col("_id").eqNullSafe(F.col("l_id")) & (F.col("_h") == F.col("l_h")), "left")
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_repeated", "n_removable", "removable_words", "near_words")]
     return joined.select(
         "_id", "n_sentences", "n_shared", "longest", *counts,
-        F.greatest(F.coalesce("near_words", F.lit(0)), F.col("shared_words")).cast("long").alias("n_passage_words"))
+        F.greatest(F.coalesce("near_words", F.lit(0)), F.col("shared_words")).cast("long").alias("n_passage_words"),
+        F.coalesce("repeated_words", F.lit(0)).cast("long").alias("repeated_words"),
+        F.aggregate("shared", F.lit(0).cast("long"), lambda n, x: n + x["n_words"]).alias("n_shared_words"),
+        F.coalesce("repeated", F.array().cast(lines.schema["repeated"].dataType)).alias("repeated"), "shared")

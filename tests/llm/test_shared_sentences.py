@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from targetlens.llm.substring_dedup import SENTENCE_END, passage_report, shared_stretches
+from targetlens.llm.substring_dedup import SENTENCE_END, passage_report, repeated_paragraphs, shared_stretches
 
 
 def plain_stretches(docs, least=50, gap=1):
@@ -63,3 +63,23 @@ def test_passage_inside_lines_of_own_text(spark):
 def test_report_on_messy_rows(messy, nothing):
     docs = messy.select("doc_id", "text", "lang", "node", "line", "kept")
     assert passage_report(docs).count() == docs.count() and passage_report(nothing).count() == 0
+
+
+def test_report_lists_what_is_under_fifty_words(spark):
+    rng = np.random.default_rng(5)
+    prose = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n))
+    line, sentence = prose(20), prose(12) + "!"
+    rows = [(1, f"{prose(30)}\n{line}"), (2, f"{line}\n{prose(30)}"), (3, f"{prose(9)}. {sentence} {prose(9)}"), (4, f"{sentence} {prose(40)}")]
+    rows += [(5, prose(60)), (6, None)]
+    report = {r["_id"]: r for r in passage_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [report[i]["n_passage_words"] for i in range(1, 7)] == [0] * 6
+    at = {i: [(x["line"], x["n_words"], x["kept_id"], x["kept_line"], x["kept"]) for x in report[i]["repeated"]] for i in report}
+    assert at == {1: [(1, 20, 1, 1, True)], 2: [(0, 20, 1, 1, False)], 3: [], 4: [], 5: [], 6: []}
+    assert report[1]["repeated"][0]["class_id"] == report[2]["repeated"][0]["class_id"] and report[2]["repeated_words"] == 20
+    assert [[(x["number"], x["n_words"]) for x in report[i]["shared"]] for i in range(1, 7)] == [[(1, 20)], [(0, 20)], [(1, 12)], [(0, 12)], [], []]
+    assert report[3]["shared"][0]["class_id"] == report[4]["shared"][0]["class_id"] and report[3]["n_shared_words"] == 12
+
+
+def test_report_holds_every_place(documents):
+    listed = {(r["_id"], x["line"], x["class_id"]) for r in passage_report(documents).collect() for x in r["repeated"]}
+    assert listed == {(r["_id"], r["line"], r["class_id"]) for r in repeated_paragraphs(documents).collect()} != set()
