@@ -780,7 +780,9 @@ def cox_median_split(
     with the coefficient kept in [-3, 3]. ``survival(sample, months, status)``.
     """
     usable = survival.where((F.col("months") > 0) & F.col("status").isNotNull())
-    joined = expression.join(usable, "sample").where(F.col("value").isNotNull())
+    # read for the medians, the risk sets and the sizes: written once, with no more than they need
+    joined = cut_lineage(
+        expression.join(usable, "sample").where(F.col("value").isNotNull()).select("gene", "months", "status", "value"))
     middle = quantiles(joined, "value", {"_median": 0.5}, ["gene"])
     armed = joined.join(middle, "gene").select(
         "gene", "months", "status", (F.col("value") > F.col("_median")).alias("_high")

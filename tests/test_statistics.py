@@ -273,3 +273,18 @@ def test_coexpression_in_blocks(spark, monkeypatch, entries):
     assert got == {f"g{i}": float((strength[i] >= 0.5).sum()) for i in range(20)}
     weak = {r["gene"]: r["hub_degree"] for r in st.coexpression_degree(df, cutoff=1.1).collect()}
     assert weak == {f"g{i}": pytest.approx(strength[i].sum() / 20, abs=1e-9) for i in range(20)}
+
+
+def test_cox_reads_its_expression_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(x):
+        read.add(1)
+        return x
+
+    rows = [(g, s, float((s * 7 + ord(g)) % 11)) for g in "ab" for s in range(40)]
+    expression = spark.createDataFrame(rows, "gene string, sample long, value double").withColumn("value", seen("value"))
+    life = spark.createDataFrame([(s, float(1 + s % 9), s % 2) for s in range(40)], "sample long, months double, status int")
+    # the check for NULL and the column itself, of one pass
+    assert st.cox_median_split(expression, life).count() == 2 and read.value <= 2 * len(rows)
