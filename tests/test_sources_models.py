@@ -291,3 +291,26 @@ def test_points_travel_once_a_block_and_not_once_a_leaf(spark, monkeypatch):
     np.fill_diagonal(d, np.inf)
     best = np.argsort(d, axis=1)
     assert all(got[i, k + 1] == best[i, k] for i in range(n) for k in range(3))
+
+
+def test_expression_pca_against_dense_components(spark):
+    import numpy as np
+
+    from targetlens.operators import embedding as em
+
+    rng = np.random.default_rng(6)
+    grid = rng.integers(1, 9, (60, 7)) * (rng.random((60, 7)) < 0.4)
+    grid[0, 0] = 5
+    rows = [(f"g{j}", i, float(grid[i, j])) for i in range(60) for j in range(7) if grid[i, j]]
+    values = spark.createDataFrame(rows, "gene string, cell long, value double")
+    genes = values.select("gene").distinct()
+    vectors, zeros = em.cell_vectors(em.scale_genes(values, F.lit(60.0)))
+    assert sum(r["v"].numNonzeros() for r in vectors.collect()) == len(rows) and len(zeros) == 7
+    got = {r["cell"]: np.array(r["pcs"]) for r in em.expression_pca(values, F.lit(60.0), genes, 3).collect()}
+    held = sorted(got)
+    shown = {r["gene"]: (r["mean"], r["variance"]) for r in em.gene_moments(values, F.lit(60.0)).collect()}
+    z = np.stack([(grid[held, j] - shown[f"g{j}"][0]) / np.sqrt(shown[f"g{j}"][1]) for j in range(7)], axis=1)
+    _, axes = np.linalg.eigh(np.cov(z.T))
+    want = z @ axes[:, ::-1][:, :3]
+    have = np.stack([got[c] for c in held])
+    assert np.allclose(np.abs(have), np.abs(want), atol=1e-8)
