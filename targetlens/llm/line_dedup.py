@@ -20,7 +20,8 @@ from xxhash import xxh64_intdigest
 from targetlens.llm import line_blocks
 from targetlens.llm.common import Scratch, bounded, boxed, row_identity, unboxed, without_lines
 from targetlens.llm.components import connected_components
-from targetlens.llm.linking import bucket_links, links_between, near_rows
+from targetlens.llm.edit_distances import edit_distances
+from targetlens.llm.linking import bucket_links, links_between, links_together, near_rows
 from targetlens.llm.simhash_dedup import block_keys, close_members, hamming_near
 
 Similar = Callable[[str, str], bool]
@@ -265,25 +266,28 @@ def edit_similar(similar: Similar):
     return tested
 
 
-def similar_members(distance: int, similar: Similar, by_length: bool = False):
+def similar_members(distance: int, similar: Similar):
     """Lookup for ``links_between``: members with a close fingerprint and a similar line."""
 
     def lookup(inside: pd.DataFrame):
         close, _ = close_members(distance)(inside)
         texts = dict(zip(inside["node"], inside["t"]))
-        if not by_length:
-            return close, lambda end, other: similar(end.t, texts[other])
-        sizes, names = inside["t"].str.len().to_numpy(), inside["node"].to_numpy()
-        prints = inside["sketch"].to_numpy().astype(np.uint64)
+        return close, lambda end, other: similar(end.t, texts[other])
 
-        def near(end) -> np.ndarray:
-            n = len(end.t)
-            fits = (sizes >= MIN_SIMILARITY * n - 1e-9) & (n >= MIN_SIMILARITY * sizes - 1e-9)
-            return names[fits & (np.bitwise_count(prints ^ np.uint64(end.sketch & (1 << 64) - 1)) <= distance)]
+    return lookup
 
-        return near, lambda end, other: similar(end.t, texts[other])
 
-    return lookup
+def similar_pairs(similar: Similar) -> Callable[[Sequence[str], Sequence[str]], np.ndarray]:
+    """``similar`` for many pairs; pairs of lines in normal form are compared together."""
+    normal = similar is similar_normal
+
+    def tested(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+        if not normal:
+            return np.array([similar(x, y) for x, y in zip(a, b)], dtype=bool)
+        allowed = np.array([int((1 - MIN_SIMILARITY) * max(len(x), len(y)) + 1e-9) for x, y in zip(a, b)], dtype=np.int64)
+        return edit_distances(a, b, allowed) <= allowed
+
+    return tested
 
 
 def line_classes(
@@ -331,14 +335,14 @@ def line_classes(
         return pairs.join(left, "a").join(right, "b").where(edit_similar(similar)(F.col("ta"), F.col("tb"))).select("a", "b")
 
     def settle(ends: DataFrame, inside: DataFrame) -> DataFrame:
-        known = nodes.select("node", "sketch")
+        known = nodes.select("node", "sketch.fp", "sketch.size") if segments else nodes.select("node", "sketch")
         if segments:
-            known = nodes.select("node", "sketch.fp", "sketch.size")
             left = scratch.keep(near_rows(ends, inside, known, near_arrays))
             ends, inside = left.where("end").select("bucket", "node"), left.select("bucket", "node").distinct()
-            known = known.select("node", F.col("fp").alias("sketch"))
         facts = line_texts(inside.select("node")).join(known, "node")
-        return links_between(ends, inside, facts, similar_members(distance, similar, segments), together=segments)
+        if segments:
+            return links_together(ends, inside, facts, near_arrays, similar_pairs(similar))
+        return links_between(ends, inside, facts, similar_members(distance, similar))
 
     near_columns, near_arrays = line_blocks.may_be_similar(MIN_SIMILARITY)
     links = bucket_links(members, nodes, near_columns if segments else hamming_near(distance), verify, scratch, settle)

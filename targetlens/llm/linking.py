@@ -14,6 +14,8 @@ from targetlens.llm.common import Scratch, bounded
 Near = Callable[[Column, Column], Column]
 #: Rows of one side of a comparison task.
 PIECE = 4096
+#: Pairs that a call holds before they are confirmed.
+WAITING = 1 << 16
 
 
 def unordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -97,6 +99,22 @@ def _dealt(ends: DataFrame, inside: DataFrame, facts: DataFrame, together: bool
     return dealt.repartition(tasks, "call")
 
 
+def _hits(part: pd.DataFrame, names: list[str], near: Callable):
+    """(rows of ends, rows of members, places of the near pairs in both) of a call sorted by bucket, i and j."""
+    node, end = part["node"].to_numpy(), part["end"].to_numpy()
+    key = part[["bucket", "i", "j"]].to_numpy()
+    columns = {c: part[c].to_numpy() for c in names}
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])) if len(part) else []
+    for a, b in zip(first, np.append(first[1:], len(part)), strict=True) if len(part) else []:
+        side = end[a:b]
+        asked, there = a + np.flatnonzero(side), a + np.flatnonzero(~side)
+        for at in range(0, len(asked), 256):
+            rows = asked[at:at + 256]
+            hit = near({c: v[rows][:, None] for c, v in columns.items()}, {c: v[there][None, :] for c, v in columns.items()})
+            hit &= node[rows][:, None] != node[there][None, :]
+            yield rows, there, np.nonzero(hit)
+
+
 def near_rows(ends: DataFrame, inside: DataFrame, facts: DataFrame, near: Callable) -> DataFrame:
     """(bucket, node, end): the ends and members that have a partner on the other side of their bucket.
 
@@ -109,27 +127,98 @@ def near_rows(ends: DataFrame, inside: DataFrame, facts: DataFrame, near: Callab
 
     def partners(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["bucket", "i", "j"], kind="stable")
-        bucket, node, end = (part[c].to_numpy() for c in ("bucket", "node", "end"))
-        key = part[["bucket", "i", "j"]].to_numpy()
-        columns = {c: part[c].to_numpy() for c in names}
         kept = np.zeros(len(part), dtype=bool)
-        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])) if len(part) else []
-        for a, b in zip(first, np.append(first[1:], len(part)), strict=True) if len(part) else []:
-            side = end[a:b]
-            asked, there = a + np.flatnonzero(side), a + np.flatnonzero(~side)
-            for at in range(0, len(asked), 256):
-                rows = asked[at:at + 256]
-                hit = near({c: v[rows][:, None] for c, v in columns.items()}, {c: v[there][None, :] for c, v in columns.items()})
-                hit &= node[rows][:, None] != node[there][None, :]
-                kept[rows[hit.any(axis=1)]] = True
-                kept[there[hit.any(axis=0)]] = True
-        return pd.DataFrame({"bucket": bucket[kept], "node": node[kept], "end": end[kept]})
+        for asked, there, hit in _hits(part, names, near):
+            kept[asked[hit[0]]] = True
+            kept[there[hit[1]]] = True
+        return part.loc[kept, ["bucket", "node", "end"]]
 
     return dealt.groupBy("call").applyInPandas(partners, "bucket long, node long, end boolean").distinct()
 
 
+class Forest:
+    """Links found among ``size`` members, and the pairs that wait for being confirmed many at a time."""
+
+    def __init__(self, size: int, confirm: Callable[[np.ndarray, np.ndarray], np.ndarray]):
+        self.size, self.confirm = size, confirm
+        self.root = np.arange(size)
+        self.asked = np.empty(0, dtype=np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.rows = 0
+        self.links: list[np.ndarray] = []
+
+    def offer(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Pairs of members that may be linked; those connected already need no check."""
+        open_ = self.root[a] != self.root[b]
+        pairs = np.unique(np.minimum(a, b)[open_] * self.size + np.maximum(a, b)[open_])
+        self.waiting.append(pairs)
+        self.rows += len(pairs)
+        if self.rows >= WAITING:
+            self.settle()
+
+    def _join(self, pairs: np.ndarray) -> None:
+        up = self.root
+        for pair in pairs.tolist():
+            a, b = divmod(pair, self.size)
+            while up[a] != a:
+                a = up[a]
+            while up[b] != b:
+                b = up[b]
+            up[max(a, b)] = min(a, b)
+        while (up[up] != up).any():
+            up = up[up]
+        self.root = up
+
+    def settle(self) -> None:
+        """Confirm what waits. A round takes the first pairs of each member, so that a group of copies is
+        connected by the first round and few of its pairs are checked; twice as many where few are confirmed."""
+        left = np.setdiff1d(np.concatenate([*self.waiting, np.empty(0, dtype=np.int64)]), self.asked)
+        self.waiting, self.rows = [], 0
+        most = 1
+        while len(left):
+            a, b = left // self.size, left % self.size
+            take = np.zeros(len(left), dtype=bool)
+            for side in (a, b):
+                order = np.argsort(side, kind="stable")
+                ranks = np.arange(len(left)) - np.searchsorted(side[order], side[order])
+                take[order[ranks < most]] = True
+            found = self.confirm(a[take], b[take])
+            most = most * 2 if found.sum() * 8 < len(found) else 1
+            self.asked = np.union1d(self.asked, left[take][~found])
+            self.links.append(left[take][found])
+            self._join(left[take][found])
+            left = left[~take]
+            left = left[self.root[left // self.size] != self.root[left % self.size]]
+
+
+def links_together(
+    ends: DataFrame, inside: DataFrame, facts: DataFrame, near: Callable, confirm: Callable[[pd.Series, pd.Series], np.ndarray],
+) -> DataFrame:
+    """As ``links_between``, for comparisons that cost far more than a bucket's row.
+
+    Buckets of the same lines meet in one call mostly, and what one has connected or told apart is not compared
+    again in another. ``near`` is as for ``near_rows``; ``confirm`` tests many pairs at once on their texts ``t``.
+    """
+    dealt = _dealt(ends, inside, facts)
+    names = [c for c in facts.columns if c not in ("node", "t")]
+
+    def forests(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["bucket", "i", "j"], kind="stable")
+        nodes, place, member = np.unique(part["node"].to_numpy(), return_index=True, return_inverse=True)
+        texts = part["t"].to_numpy()[place]
+        forest = Forest(len(nodes), lambda a, b: confirm(texts[a], texts[b]))
+        for a, b, hit in _hits(part, names, near):
+            forest.offer(member[a][hit[0]], member[b][hit[1]])
+        forest.settle()
+        links = np.concatenate([*forest.links, np.empty(0, dtype=np.int64)])
+        return pd.DataFrame({"a": nodes[links // len(nodes)], "b": nodes[links % len(nodes)]}) if len(links) else (
+            pd.DataFrame({"a": [], "b": []}, dtype="int64"))
+
+    return dealt.groupBy("call").applyInPandas(forests, "a long, b long").distinct()
+
+
 def links_between(
-    ends: DataFrame, inside: DataFrame, facts: DataFrame, lookup: Callable[[pd.DataFrame], Callable], together: bool = False
+    ends: DataFrame, inside: DataFrame, facts: DataFrame, lookup: Callable[[pd.DataFrame], Callable],
 ) -> DataFrame:
     """Links (a, b) that connect ``ends`` (bucket, node) to the similar members ``inside`` their buckets.
 
@@ -139,13 +228,14 @@ def links_between(
     all, as most buckets are small. ``facts`` has what
     is compared per node; ``lookup`` turns the members of a piece into a function from an end to
     the members that may be linked to it and, if that needs confirming, a test of an end and a
-    member, which is made only while the two are not connected yet. With ``together``, buckets of the
-    same lines meet in one call mostly, and what one has connected or told apart is not compared
-    again in another; for comparisons that cost far more than a bucket's row.
+    member, which is made only while the two are not connected yet.
     """
-    dealt = _dealt(ends, inside, facts, together)
+    dealt = _dealt(ends, inside, facts, together=False)
+
+    def forest(part: pd.DataFrame) -> list[tuple[int, int]]:
+        up: dict[int, int] = {}
+        unlike: set[tuple[int, int]] = set()
 
-    def forest(part: pd.DataFrame, up: dict[int, int], unlike: set[tuple[int, int]]) -> list[tuple[int, int]]:
         def root(x: int) -> int:
             while up.setdefault(x, x) != x:
                 up[x] = up[up[x]]
@@ -167,11 +257,9 @@ def links_between(
         return out
 
     def forests(parts: pd.DataFrame) -> pd.DataFrame:
-        up: dict[int, int] = {}
-        unlike: set[tuple[int, int]] = set()
         links = []
         for _, part in parts.groupby(["bucket", "i", "j"], sort=False):
-            links += forest(part, up, unlike) if together else forest(part, {}, set())
+            links += forest(part)
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("call").applyInPandas(forests, "a long, b long").distinct()
