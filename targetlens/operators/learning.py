@@ -15,7 +15,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import (
-    CountVectorizer, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover,
+    CountVectorizerModel, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover,
     StringIndexer, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -370,24 +370,45 @@ def relevance_text() -> Column:
                ("disease", "research_direction", "accession", "title", "summary", "organism")])
 
 
-def text_features(df: DataFrame, vocabulary: int = 8000, min_df: int = 1):
-    """Fit TF-IDF on words and word pairs of ``text``; returns a function adding ``features``.
+def frequent_terms(tokens: DataFrame, most: int, min_df: int = 1) -> list[str]:
+    """The ``most`` terms of the arrays ``_terms`` with the largest counts, ties in order of the term.
 
-    Counts are damped to 1 + ln(count), weighted by inverse document frequency, scaled to length 1.
+    Terms combine before the shuffle and the first ones are taken part by part. The outer form of explode
+    lets no filter on the array's size be derived, for which each text would be cut into words again.
     """
+    each = lambda terms: tokens.select(F.explode_outer(terms).alias("term")).where(F.col("term").isNotNull()).groupBy("term")
+    counts = each("_terms").agg(F.count(F.lit(1)).alias("n"))
+    if min_df > 1:
+        within = each(F.array_distinct("_terms")).agg(F.count(F.lit(1)).alias("df"))
+        counts = counts.join(within.where(F.col("df") >= min_df), "term", "left_semi")
+    return [r["term"] for r in counts.orderBy(F.desc("n"), "term").limit(most).collect()]
+
+
+def _fit_texts(df: DataFrame, vocabulary: int, min_df: int):
+    """``text_features`` and the features of ``df`` itself, whose texts are cut into words twice in all."""
     words = Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="_tokens", pattern=r"\b\w\w+\b", gaps=False, toLowercase=True),
         StopWordsRemover(inputCol="_tokens", outputCol="_words"),
         NGram(n=2, inputCol="_words", outputCol="_pairs"),
         SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__"),
     ]).fit(df)
-    tokens = words.transform(df)
-    counter = CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=vocabulary, minDF=min_df).fit(tokens)
+    terms = frequent_terms(words.transform(df), vocabulary, min_df)
+    counter = CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol="_counts")
     damp = lambda x: counter.transform(words.transform(x)).withColumn("_tf", _damped("_counts"))
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(damp(df))
+    hidden = ["_tokens", "_words", "_pairs", "_terms", "_counts"]
+    own = cut_lineage(damp(df).drop("text", *hidden))  # for the document frequencies and the features
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(own)
     scale = Normalizer(inputCol="_idf", outputCol="features")
-    hidden = ["_tokens", "_words", "_pairs", "_terms", "_counts", "_tf", "_idf"]
-    return (lambda x: scale.transform(idf.transform(damp(x))).drop(*hidden)), len(counter.vocabulary)
+    weigh = lambda x: scale.transform(idf.transform(x)).drop("_tf", "_idf")
+    return (lambda x: weigh(damp(x).drop(*hidden))), len(terms), weigh(own)
+
+
+def text_features(df: DataFrame, vocabulary: int = 8000, min_df: int = 1):
+    """Fit TF-IDF on words and word pairs of ``text``; returns a function adding ``features``.
+
+    Counts are damped to 1 + ln(count), weighted by inverse document frequency, scaled to length 1.
+    """
+    return _fit_texts(df, vocabulary, min_df)[:2]
 
 
 def text_relevance_train(samples: DataFrame, model: str = "lr", vocabulary: int = 8000, seed: int = 42):
@@ -395,9 +416,9 @@ def text_relevance_train(samples: DataFrame, model: str = "lr", vocabulary: int
 
     The scorer adds ``ml_score``, the probability of label 1.
     """
-    featurize, width = text_features(samples, vocabulary)
+    featurize, width, own = _fit_texts(samples, vocabulary, 1)
     fitted = build_classifier(model, width, 2, seed).fit(
-        featurize(samples).select("features", F.col("label").cast("double").alias("label")))
+        own.select("features", F.col("label").cast("double").alias("label")))
 
     def score(rows: DataFrame) -> DataFrame:
         scored = fitted.transform(featurize(rows))
@@ -416,8 +437,8 @@ def text_relevance_eval(
     """
     fewest = samples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
     n = max(2, min(splits, fewest))
-    featurize, width = text_features(samples, vocabulary)
-    data = cut_lineage(featurize(samples).select(key, F.col("label").cast("double").alias("label"), "features"))
+    _, width, own = _fit_texts(samples, vocabulary, 1)
+    data = cut_lineage(own.select(key, F.col("label").cast("double").alias("label"), "features"))
     scored = cross_predict(folds(data, "label", key, n, seed), build_classifier(model, width, 2, seed), n)
     return scored.select(key, "label", "prediction", vector_to_array("probability")[1].alias("score"))
 

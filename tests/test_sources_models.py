@@ -221,6 +221,17 @@ def test_text_relevance(spark):
     assert out.samples == 20 and out.accuracy == 1.0 and out.roc_auc == 1.0
 
 
+def test_frequent_terms(spark):
+    """Most frequent first, ties by term whatever the order of the rows; empty and missing arrays count nothing."""
+    rows = [(["b", "a", "c", "a"],), (["c", "d", "d", "d"],), ([],), (None,)]
+    for part in (rows, rows[::-1]):
+        df = spark.createDataFrame(part, "_terms array<string>").repartition(3)
+        assert ml.frequent_terms(df, 3) == ["d", "a", "c"]
+        assert ml.frequent_terms(df, 9, min_df=2) == ["c"]
+        plan = df.select("_terms").withColumn("_terms", F.transform("_terms", lambda x: F.upper(x)))
+        assert ml.frequent_terms(plan, 1) == ["D"]
+
+
 def test_classifier_and_selection(spark):
     rng = random.Random(3)
     rows = [(i, "A" if i % 2 else "B", rng.random() + 2 * (i % 2), rng.random(), rng.random() - (i % 2)) for i in range(40)]
