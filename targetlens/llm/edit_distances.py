@@ -8,8 +8,8 @@ import numpy as np
 
 #: Pairs, and numbers of the table of character places, that one call of ``_together`` holds at most.
 PAIRS, NUMBERS = 1024, 1 << 20
-#: Pairs up to which much shorter ones join a call.
-FEW = 64
+#: Blocks of all pairs of a call up to which much shorter pairs join it: they are treated as if they were as long.
+FEW = 512
 _ONE, _TOP, _ALL = np.uint64(1), np.uint64(63), ~np.uint64(0)
 
 
@@ -110,7 +110,7 @@ def edit_distances(a: Sequence[str], b: Sequence[str], most: Sequence[int] | Non
         blocks = -(-len(long[order[-1]]) // 64)
         part = order[-max(1, min(PAIRS, NUMBERS // (blocks * 64))):]
         alike = sum(len(long[i]) * 5 >= len(long[part[-1]]) * 4 for i in part)
-        part = part[-max(alike, FEW):]
+        part = part[-max(alike, FEW // blocks):]
         del order[-len(part):]
         out[part] = _together([short[i] for i in part], [long[i] for i in part], max(1, int(limits[part].max())))
     return out

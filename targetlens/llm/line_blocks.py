@@ -28,7 +28,9 @@ MAX_DISTANCE = 17
 #: Total weight of a line up to which four counters fit in one 64-bit number.
 LANE = (1 << 16) - 1
 #: Bytes of normalised lines that are hashed in one call.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
+#: Lines that a task knows as printed before it begins anew.
+REMEMBERED = 1 << 19
 _LETTERS, _WORDS = Polynomial(0x5851F42D4C957F2D), Polynomial(0x14057B7EF767814F)
 
 
@@ -81,41 +83,54 @@ def line_prints(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str, normal) -> DataFrame:
-    """(_id, _h, line, node, size, fp, blocks) of every line with a character that is not blank.
+    """(_id, _h, line, n, node, size, fp, blocks) of every line with a character that is not blank.
 
-    ``line`` counts from 0; ``node`` and ``size`` are hash and length of the form that ``normal`` gives it.
+    ``line`` counts from 0; ``n`` is the number of such lines of the text, in the row of its first one only; ``node``
+    and ``size`` are hash and length of its normal form; ``normal`` gives the places and these forms of a text. ``size``, ``fp`` and ``blocks`` are NULL
+    where the task has given them for an equal line before; each node has them in a row at least.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            rows, places, keys, sizes, held, size, parts = [], [], [], [], [], 0, []
+            rows, places, keys, fresh, totals, held, size, parts, sizes = [], [], [], [], [], [], 0, [], []
             for row, text in enumerate(batch.column(2)):
-                for i, line in enumerate((text.as_py() or "").split("\n")):
-                    if line and not line.isspace():
-                        line = normal(line)
-                        rows.append(row)
-                        places.append(i)
+                first = len(rows)
+                for i, line in normal(text.as_py() or ""):
+                    key = xxh64_intdigest(line)
+                    rows.append(row)
+                    places.append(i)
+                    keys.append(key)
+                    fresh.append(key not in seen)
+                    if fresh[-1]:
+                        seen.add(key)
                         held.append(line)
-                        keys.append(xxh64_intdigest(line))
                         sizes.append(len(line))
                         size += len(line)
+                totals += [len(rows) - first] * (len(rows) > first) + [None] * (len(rows) - first - 1)
                 if size >= TOGETHER:
                     parts.append(line_prints(held))
                     held, size = [], 0
+                if len(seen) > REMEMBERED:
+                    seen.clear()
             if held:
                 parts.append(line_prints(held))
-            if not parts:
+            if not rows:
                 continue
-            prints, counts, blocks = (np.concatenate(x) for x in zip(*parts, strict=True))
-            take = pa.array(rows, pa.int64())
+            none = np.empty(0, dtype=np.int64)
+            prints, counts, blocks = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (none,) * 3
+            take, fresh = pa.array(rows, pa.int64()), np.array(fresh, dtype=bool)
+            # the place among the fresh lines, NULL for the others
+            at = pa.array(np.cumsum(fresh) - 1, mask=~fresh)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(blocks))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(take), batch.column(1).take(take), pa.array(places, pa.int32()),
-                pa.array(np.array(keys, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prints),
-                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(blocks)),
-            ], names=["_id", "_h", "line", "node", "size", "fp", "blocks"])
+                batch.column(0).take(take), batch.column(1).take(take), pa.array(places, pa.int32()), pa.array(totals, pa.int32()),
+                pa.array(np.array(keys, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int32()).take(at), pa.array(prints).take(at),
+                lists.take(at),
+            ], names=["_id", "_h", "line", "n", "node", "size", "fp", "blocks"])
 
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
     return docs.select(*row_identity(id_col, text_col), F.col(text_col).alias("t")).mapInArrow(
-        run, f"_id {kind}, _h long, line int, node long, size int, fp long, blocks array<long>")
+        run, f"_id {kind}, _h long, line int, n int, node long, size int, fp long, blocks array<long>")
 
 
 def may_be_similar(least: float) -> tuple[Callable, Callable]:

@@ -21,7 +21,7 @@ from targetlens.llm import line_blocks
 from targetlens.llm.common import Scratch, bounded, boxed, row_identity, unboxed, without_lines
 from targetlens.llm.components import connected_components
 from targetlens.llm.edit_distances import edit_distances
-from targetlens.llm.linking import bucket_links, links_between, links_together, near_rows
+from targetlens.llm.linking import bucket_links, crowded, links_between, links_inside, links_together, near_rows
 from targetlens.llm.simhash_dedup import block_keys, close_members, hamming_near
 
 Similar = Callable[[str, str], bool]
@@ -45,6 +45,7 @@ _POWERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(GRAM)
 WORD = re.compile(r"[^\W_]+")
 MARK = re.compile(r"[^\w\s\x00-\x7f]+")
 ASCII_MARKS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
+ASCII_MARKS_IN_LINES = ASCII_MARKS[:10] + b"\n" + ASCII_MARKS[11:]
 #: Total weight of a line up to which four counters fit in one 64-bit number.
 LANE = (1 << 16) - 1
 #: Words of the texts that are counted in one call, at least.
@@ -66,6 +67,20 @@ def normalised(line: str) -> str:
     return " ".join(plain.split()) or " ".join(line.split())
 
 
+def normal_lines(text: str) -> Iterator[tuple[int, str]]:
+    """(place, normal form) of the lines of a text that hold a character that is not blank."""
+    lines, low = text.split("\n"), text.lower()
+    if not low.isascii():
+        low = MARK.sub(" ", low)
+    plain = low.encode("utf-8", "surrogatepass").translate(ASCII_MARKS_IN_LINES).decode("utf-8", "surrogatepass").split("\n")
+    for i, line in enumerate(plain):
+        words = line.split()
+        if words:
+            yield i, " ".join(words)
+        elif lines[i] and not lines[i].isspace():
+            yield i, " ".join(lines[i].split())
+
+
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -160,8 +175,9 @@ def _gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines of many texts are counted together: a call per text would cost more than its words."""
     for batch in batches:
-        rows, places, keys, prints, held, n_words = [], [], [], [], [], 0
+        rows, places, keys, totals, prints, held, n_words = [], [], [], [], [], [], 0
         for row, text in enumerate(batch.column(2)):
+            first = len(rows)
             for i, line in enumerate((text.as_py() or "").split("\n")):
                 if line and not line.isspace():
                     words = line_words(line)
@@ -170,6 +186,7 @@ def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     keys.append(signed(xxh64_intdigest(" ".join(words))))
                     held.append(words)
                     n_words += len(words)
+            totals += [len(rows) - first] * (len(rows) > first) + [None] * (len(rows) - first - 1)
             if n_words >= WORDS_TOGETHER:
                 prints.append(line_fingerprints(held))
                 held, n_words = [], 0
@@ -178,18 +195,18 @@ def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         take = pa.array(rows, pa.int64())
         yield pa.RecordBatch.from_arrays([
             batch.column(0).take(take), batch.column(1).take(take), pa.array(places, pa.int32()),
-            pa.array(keys, pa.int64()), pa.array(np.concatenate(prints) if prints else [], pa.int64()),
-        ], names=["_id", "_h", "line", "node", "fp"])
+            pa.array(totals, pa.int32()), pa.array(keys, pa.int64()), pa.array(np.concatenate(prints) if prints else [], pa.int64()),
+        ], names=["_id", "_h", "line", "n", "node", "fp"])
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, _h, line, node, fp) of every line with a character that is not blank.
+    """(_id, _h, line, n, node, fp) of every line with a character that is not blank.
 
-    ``line`` counts from 0; ``node`` is the hash of the normalised line: equal lines are one node.
+    ``line`` counts from 0; ``n`` is as in ``line_blocks.line_table``; ``node`` is the hash of the normalised line: equal lines are one node.
     """
     schema = T.StructType([
         T.StructField("_id", docs.schema[id_col].dataType), T.StructField("_h", T.LongType()),
-        T.StructField("line", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("fp", T.LongType()),
+        T.StructField("line", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("fp", T.LongType()),
     ])
     return docs.select(*row_identity(id_col, text_col), F.col(text_col).alias("t")).mapInArrow(_line_batches, schema)
 
@@ -258,14 +275,6 @@ def similar_normal(x: str, y: str, least: float = MIN_SIMILARITY) -> bool:
     return abs(len(x) - len(y)) <= allowed and edit_distance(x, y, allowed) <= allowed
 
 
-def edit_similar(similar: Similar):
-    @F.pandas_udf(T.BooleanType())
-    def tested(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([similar(x, y) for x, y in zip(a, b)], dtype=bool)
-
-    return tested
-
-
 def similar_members(distance: int, similar: Similar):
     """Lookup for ``links_between``: members with a close fingerprint and a similar line."""
 
@@ -277,6 +286,26 @@ def similar_members(distance: int, similar: Similar):
     return lookup
 
 
+def common_start(a: str, b: str) -> int:
+    """Number of characters at the beginning in which two texts agree, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def differing(a: str, b: str) -> tuple[str, str]:
+    """Two texts without their common beginning and end."""
+    start = common_start(a, b)
+    a, b = a[start:], b[start:]
+    end = common_start(a[::-1], b[::-1])
+    return a[:len(a) - end], b[:len(b) - end]
+
+
 def similar_pairs(similar: Similar) -> Callable[[Sequence[str], Sequence[str]], np.ndarray]:
     """``similar`` for many pairs; pairs of lines in normal form are compared together."""
     normal = similar is similar_normal
@@ -285,25 +314,61 @@ def similar_pairs(similar: Similar) -> Callable[[Sequence[str], Sequence[str]],
         if not normal:
             return np.array([similar(x, y) for x, y in zip(a, b)], dtype=bool)
         allowed = np.array([int((1 - MIN_SIMILARITY) * max(len(x), len(y)) + 1e-9) for x, y in zip(a, b)], dtype=np.int64)
-        return edit_distances(a, b, allowed) <= allowed
+        # a common beginning and end change no distance; most copies differ in a short stretch between them
+        inner = [differing(x, y) for x, y in zip(a, b)]
+        alike = np.array([max(len(x), len(y)) for x, y in inner], dtype=np.int64) <= allowed
+        left = np.flatnonzero(~alike)
+        alike[left] = edit_distances([inner[i][0] for i in left], [inner[i][1] for i in left], allowed[left]) <= allowed[left]
+        return alike
 
     return tested
 
 
-def line_classes(
-    docs: DataFrame, id_col: str, text_col: str, scratch: Scratch, similar: Similar = similar_words, grams: bool = False,
-    segments: bool = False,
-) -> DataFrame:
-    """(_id, _h, line, kept) of every line with text; one line of each connected group is kept.
+def edit_similar(similar: Similar):
+    """Column test of two lines: the pairs of a batch are compared together."""
+    together = similar_pairs(similar)
 
-    The kept one is the first of the group by (id, text hash, line), NULL ids last.
+    @F.pandas_udf(T.BooleanType())
+    def tested(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(together(a.tolist(), b.tolist()), dtype=bool)
+
+    return tested
+
+
+def gone_lines(lines: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(_id, _h, line) of the lines of ``lines`` that repeat or resemble another one of their group.
+
+    The first line of each group by (id, text hash, line), NULL ids last, is not among them. A line that is alone
+    meets neither a join nor an order of places.
     """
-    lines = scratch.keep(line_blocks.line_table(docs, id_col, text_col, normalised) if segments else line_table(docs, id_col, text_col))
+    repeated = lines.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    grouped = repeated.select("node", F.lit(None).cast("long").alias("component")).unionByName(connected_components(links))
+    grouped = scratch.keep(grouped.groupBy("node").agg(F.coalesce(F.max("component"), "node").alias("root")))
+    place = F.struct(F.isnull("_id").alias("no"), F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("line").alias("line"))
+    placed = scratch.keep(lines.select("_id", "_h", "line", "node").join(grouped.withColumnRenamed("node", "g"), F.col("node") == F.col("g"))
+                          .select("root", place.alias("place")))
+    heads = placed.groupBy("root").agg(F.min("place").alias("head"))
+    return placed.join(heads, "root").where(F.col("place") != F.col("head")).select(
+        F.col("place.id").alias("_id"), F.col("place.h").alias("_h"), F.col("place.line").alias("line"))
+
+
+def line_links(
+    docs: DataFrame, id_col: str, text_col: str, scratch: Scratch, similar: Similar = similar_words, grams: bool = False,
+    segments: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The table of the lines with text, and the links (a, b) of similar ones between their nodes."""
+    lines = scratch.keep(line_blocks.line_table(docs, id_col, text_col, normal_lines) if segments else line_table(docs, id_col, text_col))
     place = F.struct(F.isnull("_id").alias("no"), F.col("_id").alias("id"), F.col("_h").alias("h"), F.col("line").alias("line"))
-    nodes = scratch.keep(lines.groupBy("node").agg(
-        F.min(F.struct("fp", "size") if segments else "fp").alias("sketch"), F.count(F.lit(1)).alias("weight"), F.min(place).alias("first"),
-        *([F.first("blocks").alias("blocks")] if segments else []),
-    ))
+    if segments:
+        # most lines are alone in their buckets: only the others are made nodes
+        twos, inside = crowded(lines.select(F.explode("blocks").alias("bucket"), "node"), scratch)
+        inside = scratch.keep(inside)
+        wanted = inside.select("node").unionByName(twos.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+        rows = lines.where(F.col("blocks").isNotNull()).join(wanted, "node", "left_semi")
+        sketch = F.struct(F.min("fp").alias("fp"), F.min("size").alias("size"))
+    else:
+        rows, sketch = lines, F.min("fp")
+    nodes = scratch.keep(rows.groupBy("node").agg(sketch.alias("sketch"), F.count(F.lit(1)).alias("weight"), F.min(place).alias("first")))
     distance = line_blocks.MAX_DISTANCE if segments else MAX_SKETCH_DISTANCE if grams else MAX_DISTANCE
     if segments:
         texts_at = lambda *which: line_blocks.wanted_texts(*which, normalised)
@@ -317,14 +382,12 @@ def line_classes(
         ))
         return scratch.keep(texts_at(docs, wanted, id_col, text_col).withColumnRenamed("text", "t"))
 
-    if segments:
-        members = nodes.select(F.explode("blocks").alias("bucket"), "node")
-    elif grams:
+    if grams:
         sketched = scratch.keep(line_texts(nodes.select("node")).select("node", "t").mapInArrow(
             _gram_batches, "node long, sketch long, bands array<long>"))
         members = sketched.select(F.explode("bands").alias("bucket"), "node")
         nodes = scratch.keep(nodes.drop("sketch").join(sketched.drop("bands"), "node"))
-    else:
+    elif not segments:
         members = nodes.select(F.explode(block_keys(F.col("sketch"), BLOCKS, MAX_DISTANCE)).alias("bucket"), "node")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -345,22 +408,13 @@ def line_classes(
         return links_between(ends, inside, facts, similar_members(distance, similar))
 
     near_columns, near_arrays = line_blocks.may_be_similar(MIN_SIMILARITY)
-    links = bucket_links(members, nodes, near_columns if segments else hamming_near(distance), verify, scratch, settle)
-    scratch.only(lines, nodes, links)
-    component = connected_components(links).withColumnRenamed("node", "n")
-    placed = nodes.join(component, F.col("node") == F.col("n"), "left").select(
-        "node", "first", F.coalesce("component", "node").alias("root")
-    )
-    heads = placed.groupBy("root").agg(F.min("first").alias("head"))
-    # a node keeps its first place if that is also the first of its group
-    keepers = placed.join(heads, "root").where(F.col("first") == F.col("head")).select(F.col("node").alias("k"), "head")
-    return lines.drop("blocks", "size").join(keepers, F.col("node") == F.col("k"), "left").select(
-        "_id", "_h", "line",
-        F.coalesce(
-            F.col("_id").eqNullSafe(F.col("head.id")) & (F.col("_h") == F.col("head.h")) & (F.col("line") == F.col("head.line")),
-            F.lit(False),
-        ).alias("kept"),
-    )
+    near = near_columns if segments else hamming_near(distance)
+    if segments:
+        links = links_inside(twos, inside, nodes, near, verify, scratch, settle)
+    else:
+        links = bucket_links(members, nodes, near, verify, scratch, settle)
+    scratch.only(lines, links)
+    return lines, links
 
 
 def dedup_lines(
@@ -380,14 +434,15 @@ def dedup_lines(
     that loses all of its lines becomes empty, its row stays. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
-    classes = line_classes(docs, id_col, text_col, scratch, similar, grams, segments)
-    per_row = classes.distinct().groupBy("_id", "_h").agg(
-        F.count(F.lit(1)).alias("_n_lines"), F.count(F.when(F.col("kept"), 1)).alias("_n_kept"),
-        F.collect_list(F.when(~F.col("kept"), F.col("line"))).alias("gone"),
-    )
-    per_row = per_row.select(F.col("_id").alias("r_id"), F.col("_h").alias("r_h"), "_n_lines", "_n_kept", F.sort_array("gone").alias("gone"))
+    lines, links = line_links(docs, id_col, text_col, scratch, similar, grams, segments)
+    of_rows = lines.where("n IS NOT NULL").select("_id", "_h", "n", F.lit(None).cast("int").alias("line")).unionByName(
+        gone_lines(lines, links, scratch).select("_id", "_h", F.lit(None).cast("int").alias("n"), "line"))
+    per_row = of_rows.groupBy("_id", "_h").agg(F.max("n").cast("long").alias("_n_lines"), F.sort_array(F.collect_set("line")).alias("gone"))
+    per_row = per_row.select(
+        F.col("_id").alias("r_id"), F.col("_h").alias("r_h"), "_n_lines", (F.col("_n_lines") - F.size("gone")).alias("_n_kept"), "gone")
     rows = boxed(docs, id_col, text_col)
-    joined = rows.join(per_row, F.col("_id").eqNullSafe(F.col("r_id")) & (F.col("_h") == F.col("r_h")), "left")
+    # the texts are not sorted for it: their side of the join is by far the wider one
+    joined = rows.join(per_row.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("r_id")) & (F.col("_h") == F.col("r_h")), "left")
     text = without_lines(F.col("_row")[text_col], F.col("gone"))
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("_n_lines", "_n_kept")]
     return joined.select(*unboxed([c for c in docs.columns if c not in ("_n_lines", "_n_kept")], {text_col: text}), *counts)
