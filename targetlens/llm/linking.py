@@ -50,21 +50,13 @@ def bucket_links(
     """Verified pairs (a, b) that connect everything the verified pairs of all buckets would.
 
     ``members`` has (bucket, node), two longs; ``nodes`` has one row per node with weight and
-    sketch. Most buckets hold one node and some hold two (see ``crowded``). In larger buckets, members that are verified
+    sketch. Most buckets hold one node and some hold two: a count with the smallest and largest
+    node finds them. In larger buckets, members that are verified
     against the bucket's center need no link among each other. Only the others are compared with
     all members of the bucket, by ``settle`` (see ``links_between``), so what is written grows with
     the links that are needed, not with the square of a group of copies. ``near`` is the cheap test
     on sketches, ``verify`` the exact one; ``settle`` gets both sides as (bucket, node).
     """
-    return links_inside(*crowded(members, scratch), nodes, near, verify, scratch, settle)
-
-
-def crowded(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) that are alone in a bucket, and (bucket, node) of larger buckets.
-
-    A count with the smallest and largest node tells which buckets hold one node, two or more. Rows of ``members``
-    may be repeated: a bucket of two nodes may then be among the larger ones.
-    """
     # two longs per row are dealt by bucket and counted there; partial counts would only be wider
     crowds = scratch.keep(
         members.select("bucket", "node").repartition("bucket").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"))
@@ -72,14 +64,27 @@ def crowded(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]
     )
     large = crowds.where("n > 2").select("bucket")
     inside = members.join(bounded(large, large.count()), "bucket", "left_semi").distinct()
-    return unordered(crowds.where("n = 2"), "lo", "hi"), inside
+    return links_inside(unordered(crowds.where("n = 2"), "lo", "hi"), inside, nodes, near, verify, scratch, settle)
+
+
+def crowded(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) that are alone in a bucket, and the distinct (bucket, node) of larger buckets.
+
+    A count with the smallest and largest node tells which buckets hold one node, two or more. Rows of ``members``
+    may be repeated: a bucket of two nodes may then be among the larger ones. The rows are dealt by bucket once,
+    for the counts and for what meets them again, however many buckets there are.
+    """
+    dealt = members.select("bucket", "node").repartition("bucket")
+    counts = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    held = scratch.keep(dealt.join(counts.where("n > 1 and lo != hi").hint("shuffle_hash"), "bucket"))
+    return unordered(held.where("n = 2"), "lo", "hi"), held.where("n > 2").select("bucket", "node").distinct()
 
 
 def links_inside(
     twos: DataFrame, inside: DataFrame, nodes: DataFrame, near: Near, verify: Callable[[DataFrame], DataFrame], scratch: Scratch,
     settle: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> DataFrame:
-    """``bucket_links`` of what ``crowded`` has found; ``nodes`` needs the nodes of these buckets only."""
+    """``bucket_links`` of pairs and members that are found already; ``nodes`` needs the nodes of these buckets only."""
     twos = with_sketches(twos, nodes, near)
     crowd = scratch.keep(inside.join(nodes.select("node", "weight", "sketch"), "node"))
     around = scratch.keep(_spokes(crowd, near))
