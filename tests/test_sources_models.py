@@ -325,3 +325,18 @@ def test_expression_pca_against_dense_components(spark):
     want = z @ axes[:, ::-1][:, :3]
     have = np.stack([got[c] for c in held])
     assert np.allclose(np.abs(have), np.abs(want), atol=1e-8)
+
+
+def test_expression_pca_has_every_cell(spark):
+    rows = [("a", 1, 2.0), ("b", 1, 1.0), ("a", 2, 5.0), ("b", 2, 3.0), ("b", 3, 4.0), ("c", 4, 1.0)]
+    values = spark.createDataFrame(rows, "gene string, cell long, value double")
+    genes = spark.createDataFrame([("a",), ("b",)], "gene string")
+    cells = spark.createDataFrame([(i,) for i in range(1, 6)], "cell long")
+    got = {r["cell"]: np.array(r["pcs"]) for r in em.expression_pca(values, F.lit(5.0), genes, 2, cells).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5]  # 4 has none of the genes, 5 has no row at all
+    assert np.allclose(got[4], got[5])
+    x = np.array([[2.0, 1.0], [5.0, 3.0], [0.0, 4.0], [0.0, 0.0], [0.0, 0.0]])
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    want = z @ np.linalg.eigh(np.cov(z.T))[1][:, ::-1]
+    assert np.allclose(np.abs(np.stack([got[c] for c in sorted(got)])), np.abs(want), atol=1e-8)
+    assert sorted(r["cell"] for r in em.expression_pca(values, F.lit(4.0), genes, 2).collect()) == [1, 2, 3, 4]
