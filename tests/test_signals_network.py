@@ -134,3 +134,30 @@ def test_betweenness_steps_join_numbers(spark, monkeypatch):
     got = {r.gene: r.ppi_betweenness for r in net.betweenness(edges).collect()}
     assert kinds == [{"node": "bigint", "neighbour": "bigint"}]
     assert got == {"A": 0.0, "B": pytest.approx(2 / 3), "C": pytest.approx(2 / 3), "D": 0.0}
+
+
+def test_registered_betweenness_starts_from_every_node(spark, tmp_path):
+    from targetlens.plans import network_queries as nq
+
+    rng = random.Random(8)
+    lines = [(order, line, rng.randrange(60)) for order in range(40) for line in range(1, 5)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    pairs = {tuple(sorted((f"P{a[2]}", f"P{b[2]}"))) for a, b in zip(lines, lines[1:]) if a[0] == b[0] and a[2] != b[2]}
+    between = brute_graph(pairs)[1]
+    got = {r.gene: r.ppi_betweenness for r in nq.betweenness(spark, str(tmp_path)).collect()}
+    assert len(got) > nq.SOURCES and got == pytest.approx(between, abs=1e-8)
+    assert "LIMIT" not in nq.ORACLES["betweenness"]
+
+
+@pytest.mark.parametrize("part_links", [4, 40, 1 << 20])
+def test_betweenness_of_components_large_and_small(spark, part_links):
+    rng = random.Random(9)
+    pairs = {tuple(sorted(rng.sample([f"{c}{i:02d}" for i in range(12)], 2))) for c in "ABC" for _ in range(16)}
+    pairs |= {(f"D{i:02d}", f"D{i + 1:02d}") for i in range(20)} | {("X", "Y")}
+    between = brute_graph(pairs)[1]
+    edges = net.edge_clean(spark.createDataFrame(sorted(pairs), "protein1 string, protein2 string"))
+    got = {r.gene: r.ppi_betweenness for r in net.betweenness(edges, part_links=part_links).collect()}
+    assert got == pytest.approx(between)
+    starts = spark.createDataFrame([("A00",), ("D03",)], "gene string")
+    some = [{r.gene: r.ppi_betweenness for r in net.betweenness(edges, starts, part_links=k).collect()} for k in (part_links, 1 << 20)]
+    assert some[0] == pytest.approx(some[1])
