@@ -340,3 +340,22 @@ def test_expression_pca_has_every_cell(spark):
     want = z @ np.linalg.eigh(np.cov(z.T))[1][:, ::-1]
     assert np.allclose(np.abs(np.stack([got[c] for c in sorted(got)])), np.abs(want), atol=1e-8)
     assert sorted(r["cell"] for r in em.expression_pca(values, F.lit(4.0), genes, 2).collect()) == [1, 2, 3, 4]
+
+
+def test_knn_of_copies_searches_each_point_once(spark, monkeypatch):
+    searched, search = [], em._nearest_points
+    monkeypatch.setattr(em, "_nearest_points", lambda p, *a: searched.append([tuple(r) for r in p.select("n", "asked").collect()]) or search(p, *a))
+    v = np.concatenate([np.repeat([[0.0, 0.0], [1.0, 0.0]], 30, axis=0), np.repeat([[0.0, 2.0], [3.0, 1.0]], 2, axis=0), [[0.0, 1.0], [5.0, 5.0]]])
+    order = np.random.default_rng(4).permutation(len(v))
+    v = v[order]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    for condition, ids in ((None, range(len(v))), (F.col("id") % 3 == 0, range(0, len(v), 3))):
+        got = {}
+        for r in em.knn_graph(df, 4, 8, condition).collect():
+            got.setdefault(r.id, []).append((r["rank"], r.neighbour, r.distance))
+        assert sorted(got) == list(ids)
+        for i in ids:
+            want = sorted((d[i, j], j) for j in range(len(v)) if j != i)[:4]
+            assert [(x, n) for _, n, x in sorted(got[i])] == want
+    assert len(searched[0]) == 6 and sum(a for _, a in searched[0]) == 4 and sum(a for _, a in searched[1]) < 4
